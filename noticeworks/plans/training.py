@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.timestamps import normalise_times
 from ..operators.units import harmonise_amounts
+from ..runtime import small
 from ..tables import table
 
 
@@ -21,5 +23,15 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return harmonise_amounts(rows, "budget", "summary").where("fen is not null").select("id", "fen")
 
 
-QUERIES = {"p2_found": p2_found, "p2_units": p2_units}
+def p4_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Every stated point of time with the reading that was chosen."""
+    fields = ["notice_id", "source_name", "first_seen_at", "published_at", "bid_deadline", "registration_period"]
+    return normalise_times(table(spark, folder, "verified_notices").select(*fields), small(table(spark, folder, "source_names")))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p4_times(spark, folder).select("notice_id", "field", "utc_ms")
+
+
+QUERIES = {"p2_found": p2_found, "p2_units": p2_units, "p4_found": p4_found, "p4_times": p4_times}
 SQL: dict[str, str] = {}
