@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..tables import table
 from .bpe import decode_texts, encode_texts
+from .leaks import find_leaks, remove_leaks
 
 
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,5 +24,14 @@ def p7_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_ids", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("same"))
 
 
-QUERIES = {"p7_ids": p7_ids, "p7_round_trip": p7_round_trip}
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "eval_items"))
+
+
+def p8_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document after its leaked spans were cut, or dropped where they cover most of it."""
+    return remove_leaks(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "eval_items"))
+
+
+QUERIES = {"p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean}
 SQL: dict[str, str] = {}
