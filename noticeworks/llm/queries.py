@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..tables import table
 from .bpe import decode_texts, encode_texts
 from .leaks import find_leaks, remove_leaks
+from .quality import text_quality
 
 
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,5 +34,16 @@ def p8_clean(spark: SparkSession, folder: str) -> DataFrame:
     return remove_leaks(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "eval_items"))
 
 
-QUERIES = {"p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean}
+def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of every document, with the failed rules in one text."""
+    out = text_quality(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "common_words"))
+    return out.withColumn("failures", F.concat_ws("; ", "failures"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    out = text_quality(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "common_words"))
+    return out.where("kind is not null").select("doc_id", "kind")
+
+
+QUERIES = {"p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_statistics": p9_statistics}
 SQL: dict[str, str] = {}
