@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..tables import table
 from .bpe import decode_texts, encode_texts
+from .history import repeats
 from .leaks import find_leaks, remove_leaks
 from .looks import one_form, same_look
 from .quality import text_quality
@@ -22,6 +23,10 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return same_look(table(spark, folder, "tenders"), "id", ["title", "buyer"])
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats(table(spark, folder, "tenders").select("id", "batch_no", "fingerprint", "canonical_url"))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_texts(table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -56,5 +61,5 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return out.where("kind is not null").select("doc_id", "kind")
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_statistics": p9_statistics}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_statistics": p9_statistics}
 SQL: dict[str, str] = {}
