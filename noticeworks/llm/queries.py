@@ -10,6 +10,7 @@ from .bpe import decode_texts, encode_texts
 from .history import repeats
 from .leaks import find_leaks, remove_leaks
 from .looks import one_form, same_look
+from .overlap import similar_pairs
 from .quality import text_quality
 
 
@@ -27,6 +28,17 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeats(table(spark, folder, "tenders").select("id", "batch_no", "fingerprint", "canonical_url"))
 
 
+def p6_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of notices with content that share most of it, with their similarity."""
+    rows = table(spark, folder, "verified_notices").where("project_content is not null and project_content != ''")
+    out = similar_pairs(rows.select("notice_id", "title", "project_name", "project_content"), "notice_id", ["title", "project_name", "project_content"])
+    return out.select(F.col("id_a").alias("notice_id_a"), F.col("id_b").alias("notice_id_b"), F.round("similarity", 6).alias("similarity"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p6_pairs(spark, folder).select("notice_id_a", "notice_id_b")
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_texts(table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -61,5 +73,5 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return out.where("kind is not null").select("doc_id", "kind")
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_statistics": p9_statistics}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_statistics": p9_statistics}
 SQL: dict[str, str] = {}
