@@ -10,6 +10,7 @@ from .bpe import decode_texts, encode_texts
 from .history import repeats
 from .leaks import find_leaks, remove_leaks
 from .looks import one_form, same_look
+from .names import link_names
 from .overlap import similar_pairs
 from .quality import text_quality
 
@@ -28,6 +29,18 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeats(table(spark, folder, "tenders").select("id", "batch_no", "fingerprint", "canonical_url"))
 
 
+def p5_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Every buyer and agency that is registered, with the organisation and the edits between."""
+    rows = table(spark, folder, "tenders").select("id", "buyer", "agency")
+    return link_names(rows, table(spark, folder, "organizations"), "id", ["buyer", "agency"])
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    names = table(spark, folder, "organizations").select(F.col("org_id").cast("bigint").alias("org_id"), "name")
+    out = p5_names(spark, folder).join(names, "org_id")
+    return out.where("value != name").select("id", "field", "org_id")
+
+
 def p6_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """All pairs of notices with content that share most of it, with their similarity."""
     rows = table(spark, folder, "verified_notices").where("project_content is not null and project_content != ''")
@@ -73,5 +86,5 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return out.where("kind is not null").select("doc_id", "kind")
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_statistics": p9_statistics}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p5_found": p5_found, "p5_names": p5_names, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_statistics": p9_statistics}
 SQL: dict[str, str] = {}
