@@ -11,15 +11,17 @@ named columns are read, so extra columns never clash; texts of any length are se
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from datetime import datetime, timedelta
+from functools import lru_cache
+from zoneinfo import ZoneInfo
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.width import SPACES, fold_width
-
 DEFAULT_ZONE = "Asia/Shanghai"
 #: Years a notice may speak of; readings outside are not generated.
 FIRST_YEAR, LAST_YEAR = 1990, 2100
@@ -33,150 +35,155 @@ ZONE_HOURS = {
 # The names of the months.
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 
-_CN_ZONE = "北京时间|中国标准时间"
+_CN_ZONES = ("北京时间", "中国标准时间")
 _ABBR = "|".join(sorted((k for k in ZONE_HOURS if k != "z"), key=len, reverse=True))
 _MONTH = "(" + "|".join(MONTHS) + ")[a-z]*\\.?"
 _HALF = "上午|下午|晚上|中午|凌晨|早上|傍晚|夜间"
 
 
-def tidy(text: Column) -> Column:
+_SPACES = re.compile(r"\s+")
+_QUOTES = re.compile("^[ '\"“”‘’`]+|[ '\"“”‘’`]+$")
+_AROUND = re.compile(" ?([年月日时分秒点]) ?")
+_WIDE = {code: code - 0xFEE0 for code in range(0xFF01, 0xFF5F)} | {0x3000: 0x20}
+_YMD = re.compile(r"(?:[a-z]{3,9},? )?(\d{4})[-/.年](\d{1,2})[-/.月](\d{1,2})日?")
+_NUM = re.compile(r"(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})")
+_DMON = re.compile(rf"(?:[a-z]{{3,9}},? )?(\d{{1,2}})(?:st|nd|rd|th)?[ -]{_MONTH}[ ,-]+(\d{{4}})")
+_MOND = re.compile(rf"(?:[a-z]{{3,9}},? )?{_MONTH} (\d{{1,2}})(?:st|nd|rd|th)?,? (\d{{4}})")
+_CLOCK = re.compile(r"(\d{1,2})(?:[:时点](\d{1,2})?)(?:[:分](\d{1,2})?)?(?:秒)?(?:[.,](\d{1,9}))?")
+_HALF_DAY = re.compile(rf"({_HALF}|(?<=\d) ?[ap]\.?m\b)")
+_OFFSET = re.compile(r"\d ?(?:\(?(?:utc|gmt))?([+-])(\d{1,2}):?(\d{2})?\)?$")
+_ZONE = re.compile(rf"\b({_ABBR})\)?$")
+_DIGITS = re.compile(r"(\d{5,14})(\.\d+)?")
+_EPOCH = datetime(1970, 1, 1)
+
+
+def tidy(text: str) -> str:
     """Width folded, lower case, quotes and outer spaces gone, no spaces around date characters."""
-    t = F.lower(fold_width(text))
-    t = F.regexp_replace(t, SPACES + "+", " ")
-    t = F.regexp_replace(t, "^[ '\"“”‘’`]+|[ '\"“”‘’`]+$", "")
-    return F.regexp_replace(t, " ?([年月日时分秒点]) ?", "$1")
+    t = _SPACES.sub(" ", text.translate(_WIDE).lower())
+    return _AROUND.sub(r"\1", _QUOTES.sub("", t)).strip()
 
 
-def _int(c: Column) -> Column:
-    return c.try_cast("int")
+def _utc_ms(wall: datetime, zone: ZoneInfo) -> int:
+    """Of a clock time that occurs twice the first; one that was skipped is later by the length of the gap."""
+    return int((wall - _EPOCH).total_seconds() * 1000 + 0.5) - int(wall.replace(tzinfo=zone, fold=0).utcoffset().total_seconds() * 1000)
 
 
-def _wall(y: Column, m: Column, d: Column, h: Column, mi: Column, s: Column) -> Column:
-    """Wall time as if in UTC; null if there is no such day or time. 24:00 is 0:00 of the next day."""
-    y, m, d, h, mi, s = (_int(x) for x in (y, m, d, h, mi, s))
-    next_day = (h == 24) & (mi == 0) & (s == 0)
-    hour = F.when(next_day, 0).otherwise(h)
-    ok = y.between(FIRST_YEAR, LAST_YEAR) & hour.between(0, 23)
-    stamp = F.try_make_timestamp(y, m, d, hour, mi, s.cast("decimal(8,6)"), F.lit("UTC"))
-    return F.when(ok, F.when(next_day, stamp + F.expr("INTERVAL 1 DAY")).otherwise(stamp))
+def _wall(y: int, m: int, d: int, h: int = 0, mi: int = 0, s: int = 0) -> datetime | None:
+    """A wall time if there is such a day and time; 24:00 is 0:00 of the next day."""
+    if not FIRST_YEAR <= y <= LAST_YEAR:
+        return None
+    try:
+        if h == 24 and mi == 0 and s == 0:
+            return datetime(y, m, d) + timedelta(days=1)
+        return datetime(y, m, d, h, mi, s)
+    except ValueError:
+        return None
 
 
-_YMD = r"^(?:[a-z]{3,9},? )?(\d{4})[-/.年](\d{1,2})[-/.月](\d{1,2})日?"
-_NUM = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
-_DMON = rf"^(?:[a-z]{{3,9}},? )?(\d{{1,2}})(?:st|nd|rd|th)?[ -]{_MONTH}[ ,-]+(\d{{4}})"
-_MOND = rf"^(?:[a-z]{{3,9}},? )?{_MONTH} (\d{{1,2}})(?:st|nd|rd|th)?,? (\d{{4}})"
-_CLOCK = r"(\d{1,2})(?:[:时点](\d{1,2})?)(?:[:分](\d{1,2})?)?(?:秒)?(?:[.,](\d{1,9}))?"
-_OFFSET = r"(?:utc|gmt)?([+-])(\d{1,2}):?(\d{2})?\)?$"
+@lru_cache(maxsize=1000)
+def _zone(name: str | None) -> ZoneInfo:
+    try:
+        return ZoneInfo(name or DEFAULT_ZONE)
+    except (KeyError, ValueError, OSError):
+        return ZoneInfo(DEFAULT_ZONE)
 
 
-def with_readings(df: DataFrame, text: str, zone: str, out: str = "cands") -> DataFrame:
-    """Adds all valid readings of a tidied point of time as ``array<struct<reading string, utc_ms bigint>>``, in fixed order; [] if none.
+def readings(t: str, zone_name: str | None) -> list[tuple[str, int]]:
+    """All valid readings of a tidied point of time as (reading, UTC milliseconds), in fixed order; [] if none.
 
-    A zone or offset in the text counts, else the column ``zone``. Of a clock time that occurs twice the first holds; one
-    that was skipped is later by the length of the gap. The steps are columns of their own, so none is computed twice.
+    A zone or offset in the text counts, else ``zone_name``.
     """
-    keep = df.columns
-    t = F.col("_t")
-    df = df.withColumn("_t", F.trim(F.col(text)))
-    df = df.withColumn("_rest", F.regexp_replace(t, rf"(?:{_YMD}|{_NUM}|{_DMON}|{_MOND})", ""))
-    rest = F.col("_rest")
-    df = df.withColumns({f"_c{i}": F.regexp_extract(rest, _CLOCK, i) for i in range(5)})
-    df = df.withColumns(
-        {
-            "_half": F.regexp_extract(rest, rf"({_HALF}|(?<=\d) ?[ap]\.?m\b)", 1),
-            "_sign": F.regexp_extract(rest, _OFFSET, 1),
-            "_oh": F.regexp_extract(rest, _OFFSET, 2),
-            "_om": F.regexp_extract(rest, _OFFSET, 3),
-            "_abbr": F.regexp_extract(rest, rf"\b({_ABBR})\)?$", 1),
-            "_zone": F.when(t.rlike(_CN_ZONE), F.lit("Asia/Shanghai")).otherwise(F.coalesce(F.col(zone), F.lit(DEFAULT_ZONE))),
-            "_digits": t.rlike(r"^\d{5,14}(?:\.\d+)?$"),
-            "_form": F.when(t.rlike(_YMD), "ymd").when(t.rlike(_NUM), "num").when(t.rlike(_DMON), "dmon").when(t.rlike(_MOND), "mond"),
-        }
+    zone = _zone("Asia/Shanghai" if any(name in t for name in _CN_ZONES) else zone_name)
+    whole = _DIGITS.fullmatch(t)
+    if whole:
+        found, n, digits = [], len(whole[1]), whole[1]
+        low, high = (FIRST_YEAR - 1970) * 31_556_952, (LAST_YEAR - 1970) * 31_556_952
+        if n in (12, 13) and not whole[2] and low * 1000 <= int(digits) <= high * 1000:
+            found.append(("milliseconds", int(digits)))
+        if n in (9, 10) and low <= int(digits) <= high:
+            found.append(("seconds", int(digits) * 1000 + int(float(whole[2] or 0) * 1000 + 0.5)))
+        if n in (8, 12, 14) and not whole[2]:
+            wall = _wall(int(digits[:4]), int(digits[4:6]), int(digits[6:8]), int(digits[8:10] or 0), int(digits[10:12] or 0), int(digits[12:14] or 0))
+            if wall:
+                found.append(("compact", _utc_ms(wall, zone)))
+        if n == 5 and 32_874 <= int(digits) <= 73_050:
+            found.append(("day count", _utc_ms(datetime(1899, 12, 30) + timedelta(seconds=round(float(t) * 86400)), zone)))
+        return found
+    for form, pattern in (("ymd", _YMD), ("num", _NUM), ("dmon", _DMON), ("mond", _MOND)):
+        m = pattern.match(t)
+        if m:
+            break
+    else:
+        return []
+    rest = t[m.end() :]
+    clock, half = _CLOCK.search(rest), _HALF_DAY.search(rest)
+    h, mi, s, ms = 0, 0, 0, 0
+    if clock:
+        h, mi, s = int(clock[1]), int(clock[2] or 0), int(clock[3] or 0)
+        ms = int((clock[4] or "0").ljust(3, "0")[:3])
+        if half and half[1].strip()[0] in "下晚傍夜p" and h < 12:
+            h += 12
+        elif half and half[1].strip()[0] in "上凌早a" and h == 12:
+            h = 0
+        elif half and half[1] == "中午" and h < 11:
+            h += 12
+    offset = None
+    signed, named = _OFFSET.search(rest) if clock else None, _ZONE.search(rest)
+    if signed:
+        offset = (-1 if signed[1] == "-" else 1) * (int(signed[2]) * 60 + int(signed[3] or 0))
+    elif rest.endswith("z") and rest[-2:-1].isdigit():
+        offset = 0
+    elif named:
+        offset = int(ZONE_HOURS[named[1]] * 60)
+    g = m.groups()
+    dates = {
+        "ymd": [("ymd", g)], "num": [("mdy", (g[2], g[0], g[1])), ("dmy", (g[2], g[1], g[0]))] if form == "num" else [],
+        "dmon": [("d mon y", (g[2], g[1], g[0]))], "mond": [("mon d y", (g[2], g[0], g[1]))],
+    }[form]
+    found = []
+    for reading, (y, month, d) in dates:
+        wall = _wall(int(y), MONTHS.index(month) + 1 if month in MONTHS else int(month), int(d), h, mi, s)
+        if wall:
+            utc = _utc_ms(wall, zone) if offset is None else int((wall - _EPOCH).total_seconds()) * 1000 - offset * 60_000
+            found.append((reading, utc + ms))
+    return found
+
+
+_DAILY = re.compile(r"[(（][^()（）]*(?:每日|每天|daily|工作日)[^()（）]*[)）]")
+_FROM = re.compile(r"^(?:自|从|由|from )")
+_BOTH = [
+    re.compile(p)
+    for p in (
+        r"(.*\d.*?)起(?:至|到|-|~)(.*\d.*?)(?:止|为止)?",
+        r"(\S+t\S+)/(\S+t\S+)",
+        r"(.*?\d.*?) ?(?:至|到|~|—+|–|－) ?(.*?\d.*?)(?:止)?",
+        r"(.*?\d.*?) (?:-|to|until) (.*?\d.*?)",
+        r"(\d{4}[./]\d{1,2}[./]\d{1,2})-(\d{4}[./]\d{1,2}[./]\d{1,2})",
+        r"(\d{5,14})-(\d{5,14})",
+        r"(\d{4}年.*)-((?:\d{4}年)?\d{1,2}月.*)",
     )
-    half, h = F.col("_half"), _int(F.when(F.col("_c0") == "", F.lit("0")).otherwise(F.col("_c1")))
-    pm, am = half.rlike("下午|晚上|傍晚|夜间|p"), half.rlike("上午|凌晨|早上|a")
-    signed = (F.col("_c0") != "") & (F.col("_sign") != "") & rest.rlike(r"\d ?(?:\(?(?:utc|gmt))?[+-]\d{1,2}:?(?:\d{2})?\)?$")
-    minutes = _int(F.col("_oh")) * 60 + F.coalesce(_int(F.col("_om")), F.lit(0))
-    hours = F.create_map(*[x for k, v in ZONE_HOURS.items() for x in (F.lit(k), F.lit(int(v * 60)))])
-    form = F.col("_form")
-
-    def groups(by_form: dict[str, tuple[str, int]]) -> Column:
-        return F.coalesce(*[F.when(form == name, F.regexp_extract(t, pattern, i)) for name, (pattern, i) in by_form.items()])
-
-    df = df.withColumns(
-        {
-            "_h": F.when(pm & (h < 12), h + 12).when(am & (h == 12), 0).when((half == "中午") & (h < 11), h + 12).otherwise(h),
-            "_mi": F.when(F.col("_c2") == "", "0").otherwise(F.col("_c2")),
-            "_s": F.when(F.col("_c3") == "", "0").otherwise(F.col("_c3")),
-            "_frac": F.when(F.col("_c4") == "", 0).otherwise(_int(F.substring(F.rpad("_c4", 3, "0"), 1, 3))),
-            "_off": F.when(signed, F.when(F.col("_sign") == "-", -1).otherwise(1) * minutes).when(rest.rlike(r"\dz$"), F.lit(0)).when(F.col("_abbr") != "", F.try_element_at(hours, F.col("_abbr"))),
-            "_y": groups({"ymd": (_YMD, 1), "num": (_NUM, 3), "dmon": (_DMON, 3), "mond": (_MOND, 3)}),
-            "_m": groups({"ymd": (_YMD, 2), "num": (_NUM, 1), "dmon": (_DMON, 2), "mond": (_MOND, 1)}),
-            "_d": groups({"ymd": (_YMD, 3), "num": (_NUM, 2), "dmon": (_DMON, 1), "mond": (_MOND, 2)}),
-        }
-    )
-    month = F.when(form.isin("dmon", "mond"), ((F.instr(F.lit("".join(MONTHS)), F.col("_m")) + 2) / 3).cast("int").cast("string")).otherwise(F.col("_m"))
-    zero, n = F.lit("0"), F.length(F.regexp_extract(t, r"^(\d+)", 1))
-    df = df.withColumns(
-        {
-            "_wall": F.when(form.isNotNull(), _wall(F.col("_y"), month, F.col("_d"), F.col("_h"), F.col("_mi"), F.col("_s"))),
-            "_swap": F.when(form == "num", _wall(F.col("_y"), F.col("_d"), F.col("_m"), F.col("_h"), F.col("_mi"), F.col("_s"))),
-            "_compact": F.when(
-                F.col("_digits") & ~t.contains(".") & n.isin(8, 12, 14),
-                _wall(F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2), F.when(n > 8, F.substring(t, 9, 2)).otherwise(zero), F.when(n > 8, F.substring(t, 11, 2)).otherwise(zero), F.when(n == 14, F.substring(t, 13, 2)).otherwise(zero)),
-            ),
-            "_n": F.when(F.col("_digits"), t.try_cast("decimal(20,6)")),
-            "_len": n,
-        }
-    )
-    low, high = (FIRST_YEAR - 1970) * 31_556_952, (LAST_YEAR - 1970) * 31_556_952
-    count, length, offset, named = F.col("_n"), F.col("_len"), F.col("_off"), F.col("_zone")
-    whole = ~t.contains(".")
-    from_serial = F.timestamp_seconds(F.round(count * 86400, 0).cast("bigint") - 2_209_161_600)
-
-    def at(wall: str) -> Column:
-        wall_ms = F.unix_millis(F.col(wall))
-        return F.when(offset.isNotNull(), wall_ms - offset.cast("bigint") * 60_000).otherwise(F.unix_millis(F.to_utc_timestamp(F.col(wall), named))) + F.col("_frac")
-
-    first = at("_wall")
-    found = [
-        ("ymd", F.when(form == "ymd", first)),
-        ("mdy", F.when(form == "num", first)),
-        ("dmy", at("_swap")),
-        ("d mon y", F.when(form == "dmon", first)),
-        ("mon d y", F.when(form == "mond", first)),
-        ("milliseconds", F.when(whole & length.between(12, 13) & count.between(low * 1000, high * 1000), count.cast("bigint"))),
-        ("seconds", F.when(length.between(9, 10) & count.between(low, high), (count * 1000).cast("bigint"))),
-        ("compact", F.unix_millis(F.to_utc_timestamp(F.col("_compact"), named))),
-        ("day count", F.when((length == 5) & count.between(32_874, 73_050), F.unix_millis(F.to_utc_timestamp(from_serial, named)))),
-    ]
-    df = df.withColumns({f"_r{i}": value.cast("bigint") for i, (_, value) in enumerate(found)})
-    every = F.array(*[F.struct(F.lit(name).alias("reading"), F.col(f"_r{i}").alias("utc_ms")) for i, (name, _) in enumerate(found)])
-    return df.select(*[c for c in keep if c != out], F.coalesce(F.filter(every, lambda x: x["utc_ms"].isNotNull()), F.array().cast("array<struct<reading:string,utc_ms:bigint>>")).alias(out))
-
-
-def period_ends(text: Column) -> tuple[Column, Column]:
-    """Start and end texts of a period, null where open. Daily office hours do not count; an end without a year takes the start's."""
-    t = F.regexp_replace(tidy(text), r"[(（][^()（）]*(?:每日|每天|daily|工作日)[^()（）]*[)）]", "")
-    t = F.regexp_replace(t, r"^(?:自|从|由|from )", "")
-    t = F.trim(t)
-    both = [
-        r"^(.*\d.*?)起(?:至|到|-|~)(.*\d.*?)(?:止|为止)?$",
-        r"^(\S+t\S+)/(\S+t\S+)$",
-        r"^(.*?\d.*?) ?(?:至|到|~|—+|–|－) ?(.*?\d.*?)(?:止)?$",
-        r"^(.*?\d.*?) (?:-|to|until) (.*?\d.*?)$",
-        r"^(\d{4}[./]\d{1,2}[./]\d{1,2})-(\d{4}[./]\d{1,2}[./]\d{1,2})$",
-        r"^(\d{5,14})-(\d{5,14})$",
-        r"^(\d{4}年.*)-((?:\d{4}年)?\d{1,2}月.*)$",
-    ]
-    only_end = r"^(?:截止|截至|至|until )?(.*\d.*?)(?:止|前|为止)$"
-    only_start = r"^(.*\d.*?)起$"
-    start = F.coalesce(*[F.when(t.rlike(p), F.regexp_extract(t, p, 1)) for p in both], F.when(t.rlike(only_start), F.regexp_extract(t, only_start, 1)), F.when(~t.rlike(only_end), t))
-    end = F.coalesce(*[F.when(t.rlike(p), F.regexp_extract(t, p, 2)) for p in both], F.when(~t.rlike(only_start) & t.rlike(only_end), F.regexp_extract(t, only_end, 1)))
-    year = F.regexp_extract(start, r"^(\d{4})[-/.年]", 1)
-    yearless = end.rlike(r"^\d{1,2}(?:月|[-/.]\d{1,2}(?:$|[ t日]))") & (year != "")
-    end = F.when(yearless & end.rlike(r"^\d{1,2}月"), F.concat(year, F.lit("年"), end)).when(yearless, F.concat(year, F.lit("-"), end)).otherwise(end)
-    return F.trim(start), F.trim(end)
+]
+_ONLY_END = re.compile(r"(?:截止|截至|至|until )?(.*\d.*?)(?:止|前|为止)")
+_ONLY_START = re.compile(r"(.*\d.*?)起")
+_YEARLESS = re.compile(r"\d{1,2}(?:月|[-/.]\d{1,2}(?:$|[ t日]))")
+
+
+def period_ends(t: str) -> tuple[str | None, str | None]:
+    """Start and end of a tidied period, None where open. Daily office hours do not count; an end without a year takes the start's."""
+    t = _FROM.sub("", _DAILY.sub("", t).strip()).strip()
+    for pattern in _BOTH:
+        m = pattern.fullmatch(t)
+        if m:
+            start, end = m[1].strip(), m[2].strip()
+            year = re.match(r"(\d{4})[-/.年]", start)
+            if year and _YEARLESS.match(end):
+                end = year[1] + ("年" if re.match(r"\d{1,2}月", end) else "-") + end
+            return start, end
+    if m := _ONLY_START.fullmatch(t):
+        return m[1].strip(), None
+    if m := _ONLY_END.fullmatch(t):
+        return None, m[1].strip()
+    return t, None
 
 
 #: Costs of the Viterbi pass: a reading against the source's declared order, a switch of reading, a jump back in time.
@@ -262,25 +269,53 @@ def choose(df: DataFrame, keys: list[str], group: list[str], order: list[str], c
     return narrow.repartition(*group).sortWithinPartitions(*group, *order).mapInArrow(run, schema)
 
 
+def with_readings(rows: DataFrame) -> DataFrame:
+    """One row per stated point of time with its readings: ``notice_id, source_name, first_seen_at, field, date_order, cands``.
+
+    The three texts of a notice are read in one pass over Arrow batches; equal texts of a zone are read once per batch.
+    """
+    schema = f"notice_id bigint, source_name string, first_seen_at {rows.schema['first_seen_at'].dataType.simpleString()}, field string, date_order string, cands array<struct<reading:string,utc_ms:bigint>>"
+    kind = pa.list_(pa.struct([("reading", pa.string()), ("utc_ms", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known: dict[tuple[str, str | None], list[tuple[str, int]]] = {}
+            at, fields, cands = [], [], []
+            published, deadlines, periods, zones = (batch.column(i).to_pylist() for i in range(4, 8))
+            for i in range(batch.num_rows):
+                ends = period_ends(tidy(periods[i])) if periods[i] else (None, None)
+                for field, text in (
+                    ("published_at", published[i] and tidy(published[i])),
+                    ("bid_deadline", deadlines[i] and tidy(deadlines[i])),
+                    ("registration_start", ends[0]),
+                    ("registration_end", ends[1]),
+                ):
+                    if not text:
+                        continue
+                    found = known.get((text, zones[i]))
+                    if found is None:
+                        found = known[text, zones[i]] = readings(text, zones[i])
+                    if found:
+                        at.append(i)
+                        fields.append(field)
+                        cands.append([{"reading": r, "utc_ms": ms} for r, ms in found])
+            taken = batch.select([0, 1, 2, 3]).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [taken.column(0), taken.column(1), taken.column(2), pa.array(fields, pa.string()), taken.column(3), pa.array(cands, kind)],
+                names=["notice_id", "source_name", "first_seen_at", "field", "date_order", "cands"],
+            )
+
+    narrow = rows.select(F.col("notice_id").cast("bigint").alias("notice_id"), "source_name", "first_seen_at", "date_order", "published_at", "bid_deadline", "registration_period", "zone")
+    return narrow.mapInArrow(run, schema)
+
+
 def normalise_times(notices: DataFrame, sources: DataFrame) -> DataFrame:
     """One row per stated point of time: ``notice_id, field, source_name, reading, utc_ms``.
 
     ``notices`` needs notice_id, source_name, first_seen_at and the three text fields; ``sources`` source_name, zone and
     date_order. A notice whose source is null or unknown has the zone ``DEFAULT_ZONE`` and no declared order.
     """
-    start, end = period_ends(F.col("registration_period"))
-    rows = notices.select(
-        "notice_id", "source_name", "first_seen_at",
-        F.array(
-            F.struct(F.lit("published_at").alias("field"), tidy(F.col("published_at")).alias("text")),
-            F.struct(F.lit("bid_deadline").alias("field"), tidy(F.col("bid_deadline")).alias("text")),
-            F.struct(F.lit("registration_start").alias("field"), start.alias("text")),
-            F.struct(F.lit("registration_end").alias("field"), end.alias("text")),
-        ).alias("points"),
-    )
-    rows = rows.select("notice_id", "source_name", "first_seen_at", F.inline("points")).where("text rlike '[0-9]{4}'")
-    rows = rows.withColumn("slice", F.date_trunc("month", F.col("first_seen_at").cast("timestamp"))).repartition("source_name", "field", "slice")
     habits = sources.select(F.col("source_name").alias("_source"), "zone", "date_order")
-    rows = rows.join(habits, F.col("source_name") == F.col("_source"), "left").drop("_source")
-    rows = with_readings(rows, "text", "zone").where(F.size("cands") > 0)
-    return choose(rows, ["notice_id", "field", "source_name"], ["source_name", "field", "slice"], ["first_seen_at", "notice_id"])
+    rows = notices.join(habits, F.col("source_name") == F.col("_source"), "left")
+    points = with_readings(rows).withColumn("slice", F.date_trunc("month", F.col("first_seen_at").cast("timestamp")))
+    return choose(points, ["notice_id", "field", "source_name"], ["source_name", "field", "slice"], ["first_seen_at", "notice_id"])
