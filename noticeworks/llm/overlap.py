@@ -27,9 +27,11 @@ from ..runtime import written
 
 SIMILARITY = Fraction(3, 5)
 #: Parts the trigrams are dealt into, and records one task searches at most before a shard is divided again.
-SHARDS, TASK_RECORDS = 16, 400_000
+SHARDS, TASK_RECORDS = 16, 150_000
 #: Entries of merged lists held at once by one task.
-MERGED = 4_000_000
+MERGED = 1_000_000
+#: Sets of up to so many tokens in a shard are listed by pairs of rare tokens.
+PAIRED = 48
 
 _DROP = re.compile(r"[\W_]+")
 
@@ -59,63 +61,82 @@ def need(a: np.ndarray | int, b: np.ndarray | int, t: Fraction) -> np.ndarray |
     return -(-(num * (a + b)) // den)
 
 
+def _pairs_of(ranks: np.ndarray, starts: np.ndarray, docs: np.ndarray, prefix: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``docs`` all pairs of its ``prefix`` rarest tokens, as one number each, and whose they are."""
+    keys, owners = [], []
+    for j in range(1, int(prefix.max(initial=0))):
+        mine = docs[prefix > j]
+        second = ranks[starts[mine] + j]
+        for i in range(j):
+            keys.append(ranks[starts[mine] + i] * vocabulary + second)
+            owners.append(mine)
+    return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def _meetings(l_key: np.ndarray, l_doc: np.ndarray, q_key: np.ndarray, q_doc: np.ndarray, sizes: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct (asking, listed) records that meet in a list, the asking one the larger (of equals the later)."""
+    by = np.argsort(l_key, kind="stable")
+    l_key, l_doc = l_key[by], l_doc[by]
+    low, high = np.searchsorted(l_key, q_key, "left"), np.searchsorted(l_key, q_key, "right")
+    met = high > low
+    q_doc, low, count = q_doc[met], low[met], (high - low)[met]
+    by = np.argsort(q_doc, kind="stable")
+    q_doc, low, count = q_doc[by], low[by], count[by]
+    n, at, total = len(sizes), 0, np.cumsum(count)
+    while at < len(q_doc):
+        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + MERGED, "right")))
+        while stop < len(q_doc) and q_doc[stop] == q_doc[stop - 1]:  # whole records, so that no pair comes twice
+            stop += 1
+        c = count[at:stop]
+        x = np.repeat(q_doc[at:stop], c)
+        y = l_doc[np.arange(len(x)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(low[at:stop], c)]
+        at = stop
+        sx, sy = sizes[x], sizes[y]
+        keep = ((sy < sx) | ((sy == sx) & (y < x))) & (sy * t.denominator >= sx * t.numerator)
+        pair = np.unique(x[keep] * n + y[keep])
+        yield pair // n, pair % n
+
+
 def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of records (by position) whose sets reach similarity ``t``. ``tokens``: all sets, one after the other."""
+    """Pairs of records (by position) whose sets reach similarity ``t``. ``tokens``: all sets, one after the other.
+
+    If two sets share o tokens, then of each one's |set| - o + k rarest they share k. Up to ``PAIRED`` tokens the short
+    lists are merged for k = 2, by listing pairs of rare tokens; larger sets, and sets of one token, for k = 1.
+    """
     n = len(sizes)
     doc = np.repeat(np.arange(n), sizes)
     _, token, df = np.unique(tokens, return_inverse=True, return_counts=True)
-    rank = np.empty(len(df), np.int64)
-    rank[np.lexsort((np.arange(len(df)), df))] = np.arange(len(df))
-    order = np.argsort(doc * len(df) + rank[token], kind="stable")
-    ranks = rank[token][order]
+    v = len(df)
+    rank = np.empty(v, np.int64)
+    rank[np.argsort(df, kind="stable")] = np.arange(v)
+    probe_key = np.sort(doc * v + rank[token])  # a token in a record: by binary search
+    ranks = probe_key - doc * v
+    del token, rank
     starts = np.concatenate([[0], np.cumsum(sizes)])
+    least = -(-(t.numerator * sizes) // t.denominator)  # overlap with the smallest possible partner
+    listed, asked = sizes - need(sizes, sizes, t), sizes - least
+    everyone = np.arange(n)
+    paired = sizes <= PAIRED
+    parts = []
+    two = everyone[paired & (sizes > 1)]
+    parts.append((*_pairs_of(ranks, starts, two, np.minimum(listed[two] + 2, sizes[two]), v), *_pairs_of(ranks, starts, two, np.minimum(asked[two] + 2, sizes[two]), v)))
     place = np.arange(len(doc)) - starts[doc]
-    size = sizes[doc]
-    probe_key = doc * len(df) + ranks  # sorted: membership of a token in a record by binary search
-    # short lists: a record is listed under its rarest tokens, as many as needed to meet any partner at least as large
-    listed = place < size - need(size, size, t) + 1
-    asks = place < size - -(-(t.numerator * size) // t.denominator) + 1
-    width = int(sizes.max(initial=0)) + 1
-    l_key = ranks[listed] * width + size[listed]
-    by = np.argsort(l_key, kind="stable")
-    l_key, l_doc, l_place = l_key[by], doc[listed][by], place[listed][by]
-    q_doc, q_place, q_rank, q_size = doc[asks], place[asks], ranks[asks], size[asks]
-    low = np.searchsorted(l_key, q_rank * width + -(-(t.numerator * q_size) // t.denominator), "left")
-    high = np.searchsorted(l_key, q_rank * width + q_size, "right")
-    count = high - low
-    # queries in steps of whole records, so that all merged entries of a pair fall into one step
-    per_doc = np.bincount(q_doc, count, minlength=n).astype(np.int64)
-    total = np.cumsum(per_doc)
-    q_starts = np.searchsorted(q_doc, np.arange(n + 1))
-    at = 0
-    while at < n:
-        base = total[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(total, base + MERGED, "right")))
-        rows = slice(q_starts[at], q_starts[stop])
-        at = stop
-        c = count[rows]
-        m = int(c.sum())
-        if not m:
-            continue
-        entry = np.repeat(np.arange(rows.start, rows.stop), c)
-        listing = np.arange(m) - np.repeat(np.cumsum(c) - c, c) + low[entry]
-        x, y = q_doc[entry], l_doc[listing]
-        sx, sy = sizes[x], sizes[y]
-        left = np.minimum(sx - q_place[entry], sy - l_place[listing])
-        keep = ((sy < sx) | (y < x)) & (left >= need(sx, sy, t))
-        pair = np.unique(x[keep] * n + y[keep])
-        x, y = pair // n, pair % n
-        for part in range(0, len(pair), MERGED // 16):
-            px, py = x[part : part + MERGED // 16], y[part : part + MERGED // 16]
-            small, large = np.where(sizes[px] <= sizes[py], px, py), np.where(sizes[px] <= sizes[py], py, px)
-            s = sizes[small]
-            member = np.repeat(np.arange(len(px)), s)
-            pos = np.arange(int(s.sum())) - np.repeat(np.cumsum(s) - s, s) + starts[small][member]
-            wanted = large[member] * len(df) + ranks[pos]
-            hit = probe_key[np.minimum(np.searchsorted(probe_key, wanted), len(probe_key) - 1)] == wanted
-            overlap = np.bincount(member, hit, minlength=len(px))
-            good = overlap >= need(sizes[px], sizes[py], t)
-            yield px[good], py[good]
+    lone = sizes[doc] == 1
+    large = sizes[doc] * t.denominator > PAIRED * t.numerator
+    in_list = (lone | large) & (place < listed[doc] + 1)
+    asks = (lone | ~paired[doc]) & (place < asked[doc] + 1)
+    parts.append((ranks[in_list], doc[in_list], ranks[asks], doc[asks]))
+    for part in parts:
+        for x, y in _meetings(*part, sizes, t):
+            for at in range(0, len(x), MERGED // 16):
+                px, py = x[at : at + MERGED // 16], y[at : at + MERGED // 16]
+                s = sizes[py]  # the smaller one's tokens are probed in the larger one
+                member = np.repeat(np.arange(len(px)), s)
+                pos = np.arange(int(s.sum())) - np.repeat(np.cumsum(s) - s, s) + starts[py][member]
+                wanted = px[member] * v + ranks[pos]
+                hit = probe_key[np.minimum(np.searchsorted(probe_key, wanted), len(probe_key) - 1)] == wanted
+                good = np.bincount(member, hit, minlength=len(px)) >= need(sizes[px], sizes[py], t)
+                yield px[good], py[good]
 
 
 def similarity(a: str, b: str) -> float:
