@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import clean_text
 
@@ -48,7 +49,7 @@ def longest_section(label: str, stop: str, most: int = 6000, least: int = 8):
                 best = value
         return best
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(one)
 
@@ -77,7 +78,7 @@ def first_valid_section(labels: list[str], stop: str, nested: str, most: int = 8
                     return value
         return ""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(one)
 

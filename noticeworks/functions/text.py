@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space in the wide sense: any of Unicode's, for regular expressions of the JVM.
 WHITE = r"[\s\u001c-\u001f\u0085   -     　]"
@@ -36,7 +37,7 @@ def basic_entities(c: Column) -> Column:
     return c
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def all_entities(texts: pd.Series) -> pd.Series:
     """All named and numeric entities decoded; null stays null."""
     return texts.map(lambda t: None if t is None else html.unescape(t))
@@ -139,7 +140,7 @@ def link_text(value: str | None) -> str:
 
 
 def _vectorized(f):
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(values: pd.Series) -> pd.Series:
         return values.map(f)
 
@@ -188,7 +189,7 @@ def table_rows(page: str | None) -> list[list[str]]:
     return [r for r in parser.rows if r]
 
 
-@F.pandas_udf("array<array<string>>")
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
 def table_rows_of(pages: pd.Series) -> pd.Series:
     return pages.map(table_rows)
 

@@ -38,3 +38,25 @@ def fingerprint_form(value: Column) -> Column:
     """The 64 hex digits of a fingerprint in lower case, null if it has none."""
     digits = F.lower(F.regexp_extract(value, r"(?<![0-9A-Fa-f])([0-9A-Fa-f]{64})(?![0-9A-Fa-f])", 1))
     return F.when(digits != "", digits)
+
+
+def host(url: Column) -> Column:
+    """The host of an address in lower case, without port; '' if it has none."""
+    return F.lower(F.regexp_extract(F.trim(F.coalesce(url, F.lit(""))), r"^(?i)https?://([^/?#:]*)", 1))
+
+
+# The parameters that a canonical address leaves out.
+_DROPPED = ["utm_source", "utm_medium", "utm_campaign", "from", "spm"]
+
+
+def canonical_url(url: Column) -> Column:
+    """Scheme and host in lower case, closing slashes, fragment and tracking parameters gone, parameters sorted; null gives ''."""
+    u = F.trim(F.coalesce(url, F.lit("")))
+    scheme, rest = F.lower(F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)), r"^[A-Za-z][A-Za-z0-9+.-]*://"
+    netloc = F.lower(F.regexp_extract(u, rest + r"([^/?#]*)", 1))
+    path = F.regexp_replace(F.regexp_extract(u, rest + r"[^/?#]*([^?#]*)", 1), "/+$", "")
+    key = lambda p: F.lower(F.regexp_extract(p, "^([^=]*)", 1))
+    pairs = F.filter(F.split(F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1), "&"), lambda p: (p != "") & ~key(p).isin(_DROPPED))
+    coded = lambda p: F.coalesce(F.url_encode(F.try_url_decode(p)), p)
+    query = F.array_join(F.array_sort(F.transform(pairs, lambda p: F.concat_ws("=", coded(F.regexp_extract(p, "^([^=]*)", 1)), F.when(p.contains("="), coded(F.regexp_extract(p, "=(.*)$", 1)))))), "&")
+    return F.when(u == "", F.lit("")).otherwise(F.concat(scheme, F.lit("://"), netloc, F.when(path == "", F.lit("/")).otherwise(path), F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
