@@ -19,10 +19,10 @@ _MARK = r"(?s)<!--\s*TENDER_FEEDBACK_JSON\s*(.*?)\s*-->"
 def payloads(spark: SparkSession, path: str, item: T.StructType, tolerant: bool = True) -> tuple[DataFrame, DataFrame]:
     """Items (with ``file`` and their place ``ord``) and warnings of all documents below ``path``. Strict reading fails instead."""
     schema = T.StructType([T.StructField("updated_at", T.StringType()), T.StructField("coverage", T.StringType()), T.StructField("warnings", T.ArrayType(T.StringType())), T.StructField("items", T.ArrayType(item)), T.StructField("_broken", T.StringType())])
-    reader = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE" if tolerant else "FAILFAST").option("columnNameOfCorruptRecord", "_broken")
+    options = {"mode": "PERMISSIVE" if tolerant else "FAILFAST", "columnNameOfCorruptRecord": "_broken"}
     try:
-        docs = reader.json(path).withColumn("file", F.input_file_name())
-        docs.schema  # noqa: B018
+        files = spark.read.text(path, wholetext=True)
+        docs = files.select(F.from_json("value", schema, options).alias("d"), F.input_file_name().alias("file")).select("file", "d.*")
     except Exception as error:
         if not tolerant or "PATH_NOT_FOUND" not in str(error):
             raise
@@ -37,7 +37,7 @@ def payloads(spark: SparkSession, path: str, item: T.StructType, tolerant: bool
 def keywords(spark: SparkSession, path: str) -> DataFrame:
     """The words of a list separated by lines and commas of any width, trimmed, blanks dropped, in order."""
     text = spark.read.text(path, wholetext=True)
-    words = F.filter(F.transform(F.split("value", "[\\n,，、]"), F.trim), lambda w: w != "")
+    words = F.filter(F.transform(F.split("value", "[\\n,，、]"), lambda w: F.trim(w)), lambda w: w != "")
     return text.select(F.posexplode(words).alias("ord", "keyword"))
 
 
