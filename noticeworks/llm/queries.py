@@ -87,4 +87,25 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p5_found": p5_found, "p5_names": p5_names, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_statistics": p9_statistics}
-SQL: dict[str, str] = {}
+_FOLD = "lower(translate(<text>, '" + "".join(map(chr, range(0xFF01, 0xFF5F))).replace("'", "''") + "', '" + "".join(map(chr, range(0x21, 0x7F))).replace("'", "''") + "'))"
+_LETTERS = lambda c: f"regexp_replace({_FOLD.replace('<text>', c)}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+_PAGE = r"""lower(regexp_extract(trim(canonical_url), '(?i)^https?://([^/?#:]+)', 1)) || url_decode(regexp_replace(regexp_extract(trim(canonical_url), '(?i)^https?://[^/?#]*([^?#]*)', 1), '/+$', ''))
+    || '?' || array_to_string(list_sort(list_filter(string_split(regexp_extract(trim(canonical_url), '^[^?#]*[?]([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z0-9_]*|spm|from)='))), '&')"""
+
+SQL: dict[str, str] = {
+    "p3_found": f"""WITH RECURSIVE k AS (
+        SELECT id, 'f' || lower(regexp_extract(fingerprint, '([0-9A-Fa-f]{{64}})', 1)) AS key FROM tenders WHERE regexp_matches(coalesce(fingerprint, ''), '[0-9A-Fa-f]{{64}}')
+        UNION ALL SELECT id, 'u' || {_PAGE} FROM tenders WHERE regexp_matches(trim(coalesce(canonical_url, '')), '(?i)^https?://')),
+    e AS (SELECT DISTINCT x.id AS a, y.id AS b FROM k x JOIN k y ON x.key = y.key AND x.id <> y.id),
+    r AS (SELECT a AS id, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON r.id = e.a)
+    SELECT min(root) AS first_id, r.id FROM r JOIN tenders t ON r.id = t.id WHERE t.batch_no >= 1 GROUP BY r.id HAVING min(root) < r.id""",
+    "p6_found": r"""WITH s AS (SELECT notice_id, regexp_replace(lower(coalesce(title, '') || coalesce(project_name, '') || project_content), '[^\p{L}\p{N}]+', '', 'g') AS t FROM verified_notices WHERE project_content <> ''),
+    g AS (SELECT DISTINCT notice_id, substr(t, i, 3) AS g FROM (SELECT notice_id, t, unnest(range(1, length(t) - 1)) AS i FROM s)),
+    n AS (SELECT notice_id, count(*) AS n FROM g GROUP BY notice_id),
+    o AS (SELECT a.notice_id AS x, b.notice_id AS y, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.notice_id < b.notice_id GROUP BY 1, 2)
+    SELECT x AS notice_id_a, y AS notice_id_b FROM o JOIN n p ON p.notice_id = x JOIN n q ON q.notice_id = y WHERE c >= 0.6 * (p.n + q.n - c)""",
+    "p8_found": f"""WITH i AS (SELECT item_id, {_LETTERS('text')} AS t FROM eval_items), d AS (SELECT doc_id, {_LETTERS('text')} AS t FROM documents WHERE text IS NOT NULL),
+    a AS (SELECT DISTINCT item_id, substr(t, n, 40) AS w FROM (SELECT item_id, t, unnest(range(1, length(t) - 38)) AS n FROM i WHERE length(t) >= 40)),
+    b AS (SELECT DISTINCT doc_id, substr(t, n, 40) AS w FROM (SELECT doc_id, t, unnest(range(1, length(t) - 38)) AS n FROM d WHERE length(t) >= 40))
+    SELECT DISTINCT doc_id, item_id FROM a JOIN b ON a.w = b.w""",
+}
