@@ -49,6 +49,9 @@ LIKE_SOUND = (
     "翔祥 凯楷 拓托 众重 基机 德得 励力 汇会 君军 迅讯 景井 衡横 智志 星兴 信芯 博伯 澎彭 和合 正政 通同 业叶 宇雨 越悦"
 ).split()
 
+# Numbers and directions, which tell names apart also where no registered name has them.
+TELLING = "零一二三四五六七八九十百千0123456789东南西北中上下左右大小新老甲乙丙丁"
+
 _ROLE = re.compile(r"^(?:采购单位|采购人|招标人|招标单位|建设单位|业主单位|业主|代理机构|招标代理机构|采购代理机构|代理|甲方|委托单位|发包人)[:： ]*(?=.{2})")
 _SEAL = re.compile(r"(?:[(（](?:盖章|公章|本级|签章)[)）]|招标办|采购办|[。.．;；,，、]|\s)+$")
 _LATIN_TEXT = re.compile(r"[A-Za-z]{3}")
@@ -279,7 +282,8 @@ def radius_join(typed: DataFrame, forms: DataFrame, letters: frozenset[str], rad
             rows = [r.tobytes() for r in far.astype(np.int16)]
             yield pa.RecordBatch.from_arrays([pa.array([texts[i] for i in who], pa.string()), pa.array(cells), pa.array(ring_of), pa.array([rows[i] for i in who], pa.binary())], names=["core", "cell", "ring", "far"])
 
-    asked = typed.select("core").mapInArrow(place_typed, "core string, cell int, ring int, far binary")
+    longest = forms.agg(F.max(F.length("form"))).first()[0]  # a longer text is further away than the radius
+    asked = typed.select("core").where(F.length("core") <= longest + radius).mapInArrow(place_typed, "core string, cell int, ring int, far binary")
 
     def inside(left: pa.Table, right: pa.Table) -> pa.Table:
         metric = Metric(letters)
@@ -336,7 +340,7 @@ def link_names(rows: DataFrame, register: DataFrame, key: str, fields: list[str]
     low = spelled.groupBy("form").agg(F.min("level").alias("low"))
     lowest = spelled.join(low, "form").where("level = low").groupBy("form").agg(F.min("org_id").alias("org_id"), F.count("*").alias("n"), F.first("level").alias("level"))
     forms = written(lowest.select("form", F.when(F.col("n") == 1, F.col("org_id")).alias("org_id"), "level"), "lowest")
-    letters = frozenset(r["c"] for r in register.select(F.explode(F.split("name", "")).alias("c")).where("c != ''").distinct().limit(50_000).collect())
+    letters = frozenset(TELLING) | frozenset(r["c"] for r in register.select(F.explode(F.split("name", "")).alias("c")).where("c != ''").distinct().limit(50_000).collect())
     distinct = values.select("core").distinct()
     exact = distinct.join(forms, F.col("core") == F.col("form")).select("core", "org_id", F.lit(0).alias("distance"))
     rest = distinct.join(forms.select(F.col("form").alias("core")), "core", "left_anti")

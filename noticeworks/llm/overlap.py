@@ -101,7 +101,7 @@ def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction) -> Iterator[tuple
     """Pairs of records (by position) whose sets reach similarity ``t``. ``tokens``: all sets, one after the other.
 
     If two sets share o tokens, then of each one's |set| - o + k rarest they share k. Up to ``PAIRED`` tokens the short
-    lists are merged for k = 2, by listing pairs of rare tokens; larger sets, and sets of one token, for k = 1.
+    lists are merged for k = 2, by listing pairs of rare tokens; larger sets, and those so small that one may do, for k = 1.
     """
     n = len(sizes)
     doc = np.repeat(np.arange(n), sizes)
@@ -121,7 +121,7 @@ def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction) -> Iterator[tuple
     two = everyone[paired & (sizes > 1)]
     parts.append((*_pairs_of(ranks, starts, two, np.minimum(listed[two] + 2, sizes[two]), v), *_pairs_of(ranks, starts, two, np.minimum(asked[two] + 2, sizes[two]), v)))
     place = np.arange(len(doc)) - starts[doc]
-    lone = sizes[doc] == 1
+    lone = sizes[doc] * t.numerator <= t.denominator  # one shared token may do
     large = sizes[doc] * t.denominator > PAIRED * t.numerator
     in_list = (lone | large) & (place < listed[doc] + 1)
     asks = (lone | ~paired[doc]) & (place < asked[doc] + 1)
