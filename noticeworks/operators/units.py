@@ -164,7 +164,8 @@ def fit_unit_mixture(parsed: DataFrame, components: int = 2, rounds: int = 200)
     base = hist[True] if hist[True].sum() else hist[False]
     if not base.sum():
         return UnitMixture((1.0,), (5.5,), (1.0,), tuple([1 / len(offsets)] * len(offsets)))
-    mean, spread = float(np.average(x, weights=base)), float(np.sqrt(np.cov(x, aweights=base))) or 1.0
+    mean = float(np.average(x, weights=base))
+    spread = max(float(np.sqrt(np.average((x - mean) ** 2, weights=base))), 0.05)
     mu = mean + spread * np.linspace(-0.7, 0.7, components)
     sd = np.full(components, max(spread, 0.05))
     w = np.full(components, 1 / components)
@@ -200,11 +201,12 @@ def harmonise_amounts(df: DataFrame, amount: str, context: str, bare_rule: str |
     names = list(BARE_UNITS)
     best = F.greatest(*post)
     likely = F.coalesce(*[F.when(p == best, F.lit(n)) for p, n in zip(post, names)])
-    bare = (F.col("status") == "amount") & (F.col("unit_source") == "none")
+    parsed = parsed.withColumn("_bare", (F.col("status") == "amount") & (F.col("unit_source") == "none"))
+    bare = F.col("_bare")
     chosen = F.lit(bare_rule) if bare_rule else F.col("likely_unit")
     used = F.coalesce(*[F.when(F.col("unit") == n, p) for p, n in zip(post, names)], F.lit(0.0))
     out = parsed.withColumn("likely_unit", F.when(bare, likely))
     out = out.withColumns({"unit": F.when(bare, chosen).otherwise(F.col("unit")), "unit_source": F.when(bare, "rule" if bare_rule else "posterior").otherwise(F.col("unit_source"))})
     out = out.withColumn("posterior", F.when(bare, used).when(F.col("status") == "amount", F.lit(1.0)))
     fen = F.round(F.col("number") * _factor(F.regexp_replace("unit", "元$", "")) * 100, 0).cast("bigint")
-    return out.withColumns({"fen": F.when(F.col("status") == "amount", fen), "uncertain": F.col("posterior") < sure})
+    return out.withColumns({"fen": F.when(F.col("status") == "amount", fen), "uncertain": F.col("posterior") < sure}).drop("_bare")
