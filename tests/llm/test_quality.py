@@ -23,7 +23,7 @@ def test_kinds_and_statistics(spark):
         assert got[i]["kind"] == kind, (i, (text or "")[:30], got[i])
     assert got[16]["word_count"] == 0 and got[16]["mean_word_length"] is None and "too few words" in got[16]["failures"]
     english = got[18]
-    assert english["word_count"] == 55 and english["punct_line_share"] == 1.0 and english["common_share"] > 0.1
+    assert english["word_count"] == 57 and english["punct_line_share"] == 1.0 and english["common_share"] > 0.1
     assert got[4]["bullet_share"] == 1.0 and "bullet lines" in got[4]["failures"] and "list" in got[4]["failures"]
     assert text_quality(docs.where("false"), common).count() == 0
     assert text_quality(docs, common.where("false")).where("common_share > 0").count() == 0
