@@ -257,7 +257,8 @@ def radius_join(typed: DataFrame, forms: DataFrame, letters: frozenset[str], rad
             ring = far[np.arange(len(texts)), cell]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cell.astype(np.int32)), pa.array(ring.astype(np.int32)), pa.array([r.tobytes() for r in far.astype(np.int16)], pa.binary())], names=["form", "cell", "ring", "far"])
 
-    placed = written(forms.select("form").mapInArrow(place_forms, "form string, cell int, ring int, far binary"), "forms")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))  # distinct texts are few bytes but much work: spread them
+    placed = written(forms.select("form").repartition(n).mapInArrow(place_forms, "form string, cell int, ring int, far binary"), "forms")
     rings = {}
     for r in placed.groupBy("cell", "ring").count().collect():  # bounded by pivots times the longest distance
         rings.setdefault(r["cell"], set()).add(r["ring"])
@@ -283,7 +284,7 @@ def radius_join(typed: DataFrame, forms: DataFrame, letters: frozenset[str], rad
             yield pa.RecordBatch.from_arrays([pa.array([texts[i] for i in who], pa.string()), pa.array(cells), pa.array(ring_of), pa.array([rows[i] for i in who], pa.binary())], names=["core", "cell", "ring", "far"])
 
     longest = forms.agg(F.max(F.length("form"))).first()[0]  # a longer text is further away than the radius
-    asked = typed.select("core").where(F.length("core") <= longest + radius).mapInArrow(place_typed, "core string, cell int, ring int, far binary")
+    asked = typed.select("core").where(F.length("core") <= longest + radius).repartition(n).mapInArrow(place_typed, "core string, cell int, ring int, far binary")
 
     def inside(left: pa.Table, right: pa.Table) -> pa.Table:
         metric = Metric(letters)
@@ -308,7 +309,6 @@ def radius_join(typed: DataFrame, forms: DataFrame, letters: frozenset[str], rad
         x, y, d = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
         return pa.table({"core": pa.array([cores[i] for i in x], pa.string()), "form": pa.array([texts[i] for i in y], pa.string()), "distance": pa.array(d.astype(np.int32))})
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     left = asked.repartition(n, "cell", "ring").groupBy("cell", "ring")
     right = placed.groupBy("cell", "ring")
     return left.cogroup(right).applyInArrow(inside, "core string, form string, distance int")
