@@ -103,3 +103,47 @@ def section_of_lines(lines: Column, label: str, stop: str) -> Column:
 def first_line_value(lines: Column, pattern: str) -> Column:
     """Group 1 of the first line that matches; '' if none does."""
     return F.coalesce(F.regexp_extract(F.try_element_at(F.filter(lines, lambda x: x.rlike(pattern)), F.lit(1)), pattern, 1), F.lit(""))
+
+
+def between(page: Column, start: str, stop: str) -> Column:
+    """The part of a page between two marks, the whole page if they are not there."""
+    p = F.coalesce(page, F.lit(""))
+    found = F.regexp_extract(p, rf"(?is)(?:{start})(.*?)(?:{stop})", 1)
+    return F.when(found == "", p).otherwise(found)
+
+
+def span(text: Column, pattern: str) -> Column:
+    """Two groups of the first match as ``a至b``; '' if there is no match."""
+    t = F.coalesce(text, F.lit(""))
+    return F.when(t.rlike(pattern), F.concat(F.trim(F.regexp_extract(t, pattern, 1)), F.lit("至"), F.trim(F.regexp_extract(t, pattern, 2)))).otherwise(F.lit(""))
+
+
+def party(labels: list[str], stop: str, bad_start: str = "为|应|须|可", least: int = 2, most: int = 80):
+    """A function giving the first valid name after a label: every occurrence is tried, cut at ``stop``, and checked."""
+    label, stops, bad = re.compile("(?:" + "|".join(labels) + r")\s*[:：]?\s*"), re.compile(stop), re.compile(bad_start)
+
+    def one(text: str | None) -> str:
+        for m in label.finditer(text or ""):
+            rest = text[m.end() : m.end() + 120]
+            end = stops.search(rest)
+            name = re.sub(r"\s+", " ", rest[: end.start()] if end else rest).strip(" ：:，,。；;")
+            if least <= len(name) <= most and not bad.match(name) and not re.search(r"[。；;？?！!]", name):
+                return name
+        return ""
+
+    @F.pandas_udf(T.StringType())
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(one)
+
+    run.one = one
+    return run
+
+
+def location_parts(c: Column, districts: dict[str, str] | None = None) -> Column:
+    """``region, prefecture, district`` of a place written with dashes; a district alone finds its region by ``districts``."""
+    parts = F.filter(F.split(clean_text(c), r"\s*[-—－/·]\s*"), lambda x: x != "")
+    n = F.size(parts)
+    at = lambda i: F.coalesce(F.try_element_at(parts, F.lit(i)), F.lit(""))
+    lookup = F.create_map(*[x for k, v in (districts or {"": ""}).items() for x in (F.lit(k), F.lit(v))])
+    last = F.when(n >= 2, at(-1)).otherwise(F.lit(""))
+    return F.struct(at(1).alias("region"), F.when(n >= 3, at(-2)).otherwise(F.coalesce(F.try_element_at(lookup, at(-1)), F.lit(""))).alias("prefecture"), last.alias("district"))

@@ -204,3 +204,32 @@ def beside_label(rows: Column, *labels: str) -> Column:
 
     hits = F.filter(F.transform(rows, in_row), lambda x: x.isNotNull())
     return F.coalesce(F.try_element_at(hits, F.lit(1)), F.lit(""))
+
+
+class _Data(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.parts: list[str] = []
+
+    def handle_data(self, data):
+        self.parts.append(data)
+
+
+def data_text(page: str | None) -> str:
+    """The data between tags, joined by spaces; comments are left out, unlike in ``plain_text``."""
+    parser = _Data()
+    parser.feed(page or "")
+    parser.close()
+    return re.sub(r"\s+", " ", " ".join(parser.parts)).strip()
+
+
+data_text_of = _vectorized(data_text)
+
+
+def project_title(title: Column, body: Column | None = None) -> Column:
+    """A project's name: the labelled value of the body, else the title without its notice ending."""
+    cut = F.regexp_replace(clean_text(title), "(?:" + "|".join(LINK_SUFFIXES) + ")+$", "")
+    if body is None:
+        return cut
+    labelled = F.trim(F.regexp_extract(F.coalesce(body, F.lit("")), r"(?:项目名称|工程名称)\s*[:：]\s*([^\s，。；;]{4,80})", 1))
+    return F.when(labelled != "", labelled).otherwise(cut)

@@ -43,3 +43,27 @@ def apply_verdicts(rows: DataFrame, verdicts: DataFrame, corrections: DataFrame,
 def restored(rows: DataFrame, confirmed: DataFrame) -> DataFrame:
     """Confirmed rows that are missing come back from their snapshot."""
     return rows.unionByName(confirmed.select(*rows.columns).join(rows.select("url"), "url", "left_anti"))
+
+
+def report(events: DataFrame) -> DataFrame:
+    """Events by action, corrections by field and exclusions by reason: ``kind, value, rows, first_place``."""
+    rows = events.select(
+        "place",
+        F.explode(
+            F.array_compact(
+                F.array(
+                    F.struct(F.lit("action").alias("kind"), F.col("action").alias("value")),
+                    F.when(F.col("action") == "correct", F.struct(F.lit("field").alias("kind"), F.col("field").alias("value"))),
+                )
+            )
+        ).alias("x"),
+    )
+    return rows.groupBy("x.kind", "x.value").agg(F.count("*").alias("rows"), F.min("place").alias("first_place"))
+
+
+def pending(events: DataFrame, processed: DataFrame) -> DataFrame:
+    """What a reader sees before events are applied: per notice the last pending verdict and the corrections that will hold."""
+    waiting = events.join(processed.select("event_id").distinct(), "event_id", "left_anti")
+    last = folded_verdicts(waiting).select("url", "status", "events")
+    fields = folded_corrections(waiting).groupBy("url").agg(F.count("*").alias("fields"))
+    return last.join(fields, "url", "left").select("url", "status", "events", F.coalesce("fields", F.lit(0)).alias("fields"))

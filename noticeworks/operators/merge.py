@@ -119,3 +119,13 @@ def apply_changes(rows: DataFrame, changes: DataFrame, key: str, fields: list[st
     patch = changes.groupBy(key).agg(*last, F.max(order).alias("last_change"))
     out = rows.join(patch, key, "left")
     return out.select(*[F.coalesce(filled(F.col(f"_c_{c}")), F.col(c)).alias(c) if c in fields else F.col(c) for c in rows.columns], "last_change")
+
+
+def refreshed(old: DataFrame, new: DataFrame, key: str, day: str, as_of: Column, days: int = 7) -> DataFrame:
+    """Rows of ``new`` replace those of ``old`` that are at most ``days`` old and add what is not there; older rows stay."""
+    o = old.select(key, F.struct(*old.columns).alias("_o"))
+    n = new.select(key, F.struct(*old.columns).alias("_n"))
+    both = o.join(n, key, "full")
+    fixed = F.col(f"_o.{day}") < F.date_sub(as_of, days)
+    pick = F.when(F.col("_o").isNull(), F.col("_n")).when(F.col("_n").isNull() | F.coalesce(fixed, F.lit(False)), F.col("_o")).otherwise(F.col("_n"))
+    return both.select(pick.alias("w")).select("w.*")

@@ -70,3 +70,24 @@ def cached(listing: DataFrame, cache: DataFrame, key: str, as_of: Column, days:
     c = cache.select(key, F.col("detail"), F.col("cached_on"))
     out = listing.join(c, key, "left")
     return out.withColumn("cache", F.when(F.col("cached_on").isNull(), "missing").when(F.datediff(as_of, F.col("cached_on")) < days, "fresh").otherwise("stale"))
+
+
+def advance_cursors(cursors: DataFrame, runs: DataFrame, source: str) -> DataFrame:
+    """Cursors after a run: only complete runs count; a weekly run moves the weekly cursor, a monthly one both.
+
+    ``cursors``: source, last, weekly, monthly; ``runs``: source, mode, started, complete.
+    """
+    done = runs.where("complete").groupBy(source).agg(
+        F.max("started").alias("_last"),
+        F.max(F.when(F.col("mode").isin("weekly", "monthly", "bootstrap"), F.col("started"))).alias("_weekly"),
+        F.max(F.when(F.col("mode").isin("monthly", "bootstrap"), F.col("started"))).alias("_monthly"),
+    )
+    out = cursors.join(done, source, "full")
+    return out.select(source, *[F.greatest(c, f"_{c}").alias(c) for c in ("last", "weekly", "monthly")])
+
+
+def largest_kept(ids: DataFrame, source: str, number: str, most: int) -> DataFrame:
+    """Per source the ``most`` largest numbers."""
+    from .merge import ranked
+
+    return ranked(ids, [source], [F.desc(number)], "_place").where(F.col("_place") <= most).drop("_place")
