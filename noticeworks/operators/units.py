@@ -77,46 +77,49 @@ def context_unit(text: Column) -> Column:
 
 def parse_amounts(df: DataFrame, amount: str, context: str) -> DataFrame:
     """Adds ``number``, ``unit``, ``unit_source`` (text, context, none) and ``status`` (amount or why there is none)."""
-    s = F.lower(F.regexp_replace(fold_width(F.col(amount)), SPACES, ""))
-    df = df.withColumn("_s", s)
     s = F.col("_s")
-    arabic = s.rlike(r"\d")
     first = rf"{_NUMBER}{_UNIT}"
-    label = F.regexp_extract(s, r"[(\[]?(?:单位[:：])?(亿|百万|万|千)?元[)\]]?[:：]¥?[\d.]", 1)
-    labelled = s.rlike(r"元[)\]]?[:：]¥?[\d.]")
-    suffix = F.regexp_extract(s, first, 2)
-    tail = s.rlike(rf"{_NUMBER}{_UNIT}(?:元|圆)")
-    words = F.regexp_extract(s, rf"([{_CHINESE}]+)(?:元|圆|整|$|[)）,，])", 1)
-    number = F.when(arabic, F.expr("try_cast(replace(regexp_extract(_s, '" + _NUMBER.replace("\\", "\\\\") + "', 1), ',', '') as decimal(24,8))"))
-    cents = F.when(s.rlike(r"[元圆][零一二三四五六七八九壹贰叁肆伍陆柒捌玖]角"), chinese_number(F.regexp_extract(s, r"[元圆](.)角", 1)) * F.lit(0.1).cast("decimal(2,1)")).otherwise(F.lit(0))
-    fens = F.when(s.rlike(r"[零一二三四五六七八九壹贰叁肆伍陆柒捌玖]分"), chinese_number(F.regexp_extract(s, r"(.)分", 1)) * F.lit(0.01).cast("decimal(3,2)")).otherwise(F.lit(0))
-    spelled = F.when(~arabic & (words != ""), (chinese_number(words) + cents + fens).cast("decimal(24,8)"))
-    currency = s.rlike(r"¥|rmb|cny|人民币|元|圆")
+    df = df.withColumn("_s", F.lower(F.regexp_replace(fold_width(F.col(amount)), SPACES, "")))
+    # every step is a column of its own, so that none is computed twice
+    df = df.withColumns(
+        {
+            "_number": F.replace(F.regexp_extract(s, _NUMBER, 1), F.lit(","), F.lit("")),
+            "_suffix": F.regexp_extract(s, first, 2),
+            "_words": F.regexp_extract(s, rf"([{_CHINESE}]+)(?:元|圆|整|$|[)）,，])", 1),
+            "_label": F.when(s.rlike(r"元[)\]]?[:：]¥?[\d.]"), F.concat(F.regexp_extract(s, r"[(\[]?(?:单位[:：])?(亿|百万|万|千)?元[)\]]?[:：]¥?[\d.]", 1), F.lit("元"))),
+            "_jiao": F.regexp_extract(s, r"[元圆]([零一二三四五六七八九壹贰叁肆伍陆柒捌玖])角", 1),
+            "_fen": F.regexp_extract(s, r"([零一二三四五六七八九壹贰叁肆伍陆柒捌玖])分", 1),
+            "_given": context_unit(F.col(context)),
+        }
+    )
+    one = lambda c: F.greatest(F.instr(F.lit(_DIGITS), F.translate(F.col(c), "壹贰叁肆伍陆柒捌玖", "一二三四五六七八九")) - 1, F.lit(0))
+    small = F.when(F.col("_jiao") != "", one("_jiao")).otherwise(0) * F.lit(0.1).cast("decimal(2,1)") + F.when(F.col("_fen") != "", one("_fen")).otherwise(0) * F.lit(0.01).cast("decimal(3,2)")
+    spelled = (F.col("_number") == "") & (F.col("_words") != "")
+    df = df.withColumn("number", F.when(F.col("_number") != "", F.col("_number").try_cast("decimal(24,8)")).when(spelled, (chinese_number(F.col("_words")) + small).cast("decimal(24,8)")))
     status = (
         F.when(s.isNull() | (s == ""), "missing")
         .when(s.rlike(_FOREIGN), "foreign")
         .when(s.rlike(_RATE), "rate")
         .when(s.rlike(_RANGE), "range")
         .when(s.rlike(_EACH), "unit price")
-        .when(F.coalesce(number, spelled).isNull() | (F.coalesce(number, spelled) <= 0), "no amount")
+        .when(F.col("number").isNull() | (F.col("number") <= 0), "no amount")
         .otherwise("amount")
     )
     stated = (
-        F.when(spelled.isNotNull(), F.lit("元"))
-        .when((suffix != "") | tail, F.concat(suffix, F.lit("元")))
-        .when(labelled, F.concat(label, F.lit("元")))
-        .when(currency, F.lit("元"))
+        F.when(spelled, F.lit("元"))
+        .when((F.col("_suffix") != "") | s.rlike(rf"{_NUMBER}{_UNIT}(?:元|圆)"), F.concat("_suffix", F.lit("元")))
+        .when(F.col("_label").isNotNull(), F.col("_label"))
+        .when(s.rlike(r"¥|rmb|cny|人民币|元|圆"), F.lit("元"))
     )
-    given = context_unit(F.col(context))
-    out = df.withColumns(
+    out = df.withColumns({"status": status, "_stated": stated})
+    out = out.withColumns(
         {
-            "status": status,
-            "number": F.coalesce(number, spelled),
-            "unit": F.coalesce(stated, given),
-            "unit_source": F.when(stated.isNotNull(), "text").when(given.isNotNull(), "context").otherwise("none"),
+            "unit": F.coalesce("_stated", "_given"),
+            "unit_source": F.when(F.col("_stated").isNotNull(), "text").when(F.col("_given").isNotNull(), "context").otherwise("none"),
+            "number": F.when(F.col("status") == "amount", F.col("number")),
         }
-    ).drop("_s")
-    return out.withColumn("number", F.when(F.col("status") == "amount", F.col("number")))
+    )
+    return out.drop("_s", "_number", "_suffix", "_words", "_label", "_jiao", "_fen", "_given", "_stated")
 
 
 @dataclass(frozen=True)
@@ -128,17 +131,19 @@ class UnitMixture:
     sigmas: tuple[float, ...]
     unit_weights: tuple[float, ...]
 
-    def posterior(self, number: Column) -> list[Column]:
-        x = F.log10(number.cast("double"))
-        parts = []
-        for pi, factor in zip(self.unit_weights, BARE_UNITS.values()):
+    def with_posterior(self, df: DataFrame, number: str, out: list[str]) -> DataFrame:
+        """Adds the posterior of each unit of ``BARE_UNITS`` for a number, as columns ``out``."""
+        x = F.log10(F.col(number).cast("double"))
+        parts = {}
+        for name, pi, factor in zip(out, self.unit_weights, BARE_UNITS.values()):
             density = F.lit(0.0)
             for w, mu, sd in zip(self.weights, self.means, self.sigmas):
-                z = (x + F.lit(math.log10(factor)) - F.lit(mu)) / F.lit(sd)
+                z = (F.col("_x") + F.lit(math.log10(factor) - mu)) / F.lit(sd)
                 density = density + F.lit(w / sd) * F.exp(-z * z / 2)
-            parts.append(F.lit(pi) * density)
-        total = sum(parts[1:], parts[0]) + F.lit(1e-300)
-        return [p / total for p in parts]
+            parts[name] = F.lit(pi) * density
+        df = df.withColumn("_x", x).withColumns(parts)
+        total = sum((F.col(n) for n in out[1:]), F.col(out[0])) + F.lit(1e-300)
+        return df.withColumn("_total", total).withColumns({n: F.col(n) / F.col("_total") for n in out}).drop("_x", "_total")
 
 
 #: Width of a bin of log10 amounts; there are at most BINS of them, whatever the number of rows.
@@ -196,17 +201,16 @@ def harmonise_amounts(df: DataFrame, amount: str, context: str, bare_rule: str |
     unit of highest posterior. ``uncertain`` is set where the posterior of the unit used is below ``sure``.
     """
     parsed = parse_amounts(df, amount, context)
-    mixture = fit_unit_mixture(parsed)
-    post = mixture.posterior(F.col("number"))
     names = list(BARE_UNITS)
-    best = F.greatest(*post)
-    likely = F.coalesce(*[F.when(p == best, F.lit(n)) for p, n in zip(post, names)])
-    parsed = parsed.withColumn("_bare", (F.col("status") == "amount") & (F.col("unit_source") == "none"))
+    posts = [f"_p{i}" for i in range(len(names))]
+    out = fit_unit_mixture(parsed).with_posterior(parsed, "number", posts).withColumn("_bare", (F.col("status") == "amount") & (F.col("unit_source") == "none"))
     bare = F.col("_bare")
+    best = F.greatest(*posts)
+    out = out.withColumn("_best", best).withColumn("likely_unit", F.when(bare, F.coalesce(*[F.when(F.col(p) == F.col("_best"), F.lit(n)) for p, n in zip(posts, names)])))
     chosen = F.lit(bare_rule) if bare_rule else F.col("likely_unit")
-    used = F.coalesce(*[F.when(F.col("unit") == n, p) for p, n in zip(post, names)], F.lit(0.0))
-    out = parsed.withColumn("likely_unit", F.when(bare, likely))
     out = out.withColumns({"unit": F.when(bare, chosen).otherwise(F.col("unit")), "unit_source": F.when(bare, "rule" if bare_rule else "posterior").otherwise(F.col("unit_source"))})
-    out = out.withColumn("posterior", F.when(bare, used).when(F.col("status") == "amount", F.lit(1.0)))
-    fen = F.round(F.col("number") * _factor(F.regexp_replace("unit", "元$", "")) * 100, 0).cast("bigint")
-    return out.withColumns({"fen": F.when(F.col("status") == "amount", fen), "uncertain": F.col("posterior") < sure}).drop("_bare")
+    used = F.coalesce(*[F.when(F.col("unit") == n, F.col(p)) for p, n in zip(posts, names)], F.lit(0.0))
+    out = out.withColumns({"posterior": F.when(bare, used).when(F.col("status") == "amount", F.lit(1.0)), "_factor": _factor(F.regexp_replace("unit", "元$", ""))})
+    fen = F.round(F.col("number") * F.col("_factor") * 100, 0).cast("bigint")
+    out = out.withColumns({"fen": F.when(F.col("status") == "amount", fen), "uncertain": F.col("posterior") < sure})
+    return out.drop("_bare", "_best", "_factor", *posts)
