@@ -317,5 +317,5 @@ def normalise_times(notices: DataFrame, sources: DataFrame) -> DataFrame:
     """
     habits = sources.select(F.col("source_name").alias("_source"), "zone", "date_order")
     rows = notices.join(habits, F.col("source_name") == F.col("_source"), "left")
-    points = with_readings(rows).withColumn("slice", F.date_trunc("month", F.col("first_seen_at").cast("timestamp")))
+    points = with_readings(rows).withColumn("slice", F.date_trunc("week", F.col("first_seen_at").cast("timestamp")))
     return choose(points, ["notice_id", "field", "source_name"], ["source_name", "field", "slice"], ["first_seen_at", "notice_id"])
