@@ -3,8 +3,8 @@
 A record is the set of its character trigrams. The trigrams are dealt into ``shards`` by hash: where two sets reach the
 similarity, their parts in at least one shard do too, so each shard is searched by itself and nothing is lost. Inside a
 shard, DivideSkip: the short inverted lists (each record's rarest trigrams) are merged, and only the pairs they bring up
-are probed, by binary search, in the long lists until the required overlap is certain. Equal sets are searched once. A
-shard too large for one task is divided again, by the trigrams of the short lists. Pairs are then measured exactly.
+are probed, by binary search, in the long lists until the required overlap is certain. Equal sets are searched once. More
+records than one task holds are searched block against block. Pairs are then measured exactly.
 
 Defined results: null parts count as empty; records without content or with fewer than three letters have no partner;
 equal sets are similar (1.0), however many rows share one; repeated keys are rows of their own; an empty table gives an
@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from ..runtime import written
 
 SIMILARITY = Fraction(3, 5)
-#: Parts the trigrams are dealt into, and records one task searches at most before a shard is divided again.
-SHARDS, TASK_RECORDS = 16, 150_000
+#: Parts the trigrams are dealt into, and records that one task holds of a shard (in two blocks, where there are several).
+SHARDS, TASK_RECORDS = 16, 240_000
+#: Records dealt at once.
+DEALT = 4_000
 #: Entries of merged lists held at once by one task.
 MERGED = 1_000_000
 #: Sets of up to so many tokens in a shard are listed by pairs of rare tokens.
@@ -49,10 +51,31 @@ def grams_of(text: str) -> np.ndarray:
     return np.unique(points[:-2] << 42 | points[1:-1] << 21 | points[2:])
 
 
-def _shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
+def _mixed(grams: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        mixed = grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
+        x = grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def dealt_sets(texts: list[str], shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shard, record and token of all trigrams, in this order; a token is a trigram in 31 bits.
+
+    Where trigrams of a set fall on one token, each further one takes the next free number. So a set keeps its size, and two
+    sets share at least as many tokens as trigrams: what is similar stays so.
+    """
+    sets = [grams_of(t) for t in texts]
+    record = np.repeat(np.arange(len(sets)), [len(g) for g in sets])
+    mixed = _mixed(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
+    shard = ((mixed >> np.uint64(3)) % np.uint64(shards)).astype(np.int64)
+    token = (mixed >> np.uint64(33)).astype(np.int64)
+    by = np.lexsort((token, record, shard))
+    shard, record, token = shard[by], record[by], token[by]
+    while True:
+        again = np.flatnonzero((shard[1:] == shard[:-1]) & (record[1:] == record[:-1]) & (token[1:] <= token[:-1])) + 1
+        if not len(again):
+            return shard, record, token
+        token[again] = token[again - 1] + 1
 
 
 def need(a: np.ndarray | int, b: np.ndarray | int, t: Fraction) -> np.ndarray | int:
@@ -73,7 +96,7 @@ def _pairs_of(ranks: np.ndarray, starts: np.ndarray, docs: np.ndarray, prefix: n
     return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
-def _meetings(l_key: np.ndarray, l_doc: np.ndarray, q_key: np.ndarray, q_doc: np.ndarray, sizes: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _meetings(l_key: np.ndarray, l_doc: np.ndarray, q_key: np.ndarray, q_doc: np.ndarray, sizes: np.ndarray, t: Fraction, block: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Distinct (asking, listed) records that meet in a list, the asking one the larger (of equals the later)."""
     by = np.argsort(l_key, kind="stable")
     l_key, l_doc = l_key[by], l_doc[by]
@@ -93,13 +116,17 @@ def _meetings(l_key: np.ndarray, l_doc: np.ndarray, q_key: np.ndarray, q_doc: np
         at = stop
         sx, sy = sizes[x], sizes[y]
         keep = ((sy < sx) | ((sy == sx) & (y < x))) & (sy * t.denominator >= sx * t.numerator)
+        if block is not None:
+            keep &= block[x] != block[y]
         pair = np.unique(x[keep] * n + y[keep])
         yield pair // n, pair % n
 
 
-def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction, block: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of records (by position) whose sets reach similarity ``t``. ``tokens``: all sets, one after the other.
 
+    ``block``: only pairs of different blocks are looked for.
+
     If two sets share o tokens, then of each one's |set| - o + k rarest they share k. Up to ``PAIRED`` tokens the short
     lists are merged for k = 2, by listing pairs of rare tokens; larger sets, and those so small that one may do, for k = 1.
     """
@@ -127,7 +154,7 @@ def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction) -> Iterator[tuple
     asks = (lone | ~paired[doc]) & (place < asked[doc] + 1)
     parts.append((ranks[in_list], doc[in_list], ranks[asks], doc[asks]))
     for part in parts:
-        for x, y in _meetings(*part, sizes, t):
+        for x, y in _meetings(*part, sizes, t, block):
             for at in range(0, len(x), MERGED // 16):
                 px, py = x[at : at + MERGED // 16], y[at : at + MERGED // 16]
                 s = sizes[py]  # the smaller one's tokens are probed in the larger one
@@ -167,64 +194,52 @@ def bare_records(rows: DataFrame, key: str, parts: list[str]) -> DataFrame:
     return rows.select(F.col(key).cast("bigint").alias("id"), text.alias("t")).mapInArrow(run, "id bigint, bare string, digest binary")
 
 
-def _frequent(records: DataFrame, least: int) -> dict[int, int]:
-    """Trigrams in more than ``least`` records. Their number is bounded by all trigrams over ``least``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [grams_of(t) for t in batch.column(0).to_pylist()]
-            grams, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.int64), np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n.astype(np.int64))], names=["gram", "n"])
-
-    counts = records.select("bare").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {r["gram"]: r["n"] for r in counts.where(F.col("n") > least).collect()}
-
-
 def candidates(records: DataFrame, t: Fraction = SIMILARITY, shards: int = SHARDS, task_records: int = TASK_RECORDS) -> DataFrame:
     """Pairs ``a < b`` of ``records`` (``id, bare``) whose sets reach ``t`` in some shard; each pair once."""
     n = records.count()
-    cells = -(-n // task_records)
-    often: dict[int, int] = _frequent(records, max(64, n // 1000)) if cells > 1 else {}
-    held = records.sparkSession.sparkContext.broadcast((np.array(sorted(often), np.int64), np.array([often[g] for g in sorted(often)], np.int64)))
+    blocks = 1 if n <= task_records else -(-2 * n // task_records)
+    tasks = [(i, j) for i in range(blocks) for j in range(i, blocks) if i != j or blocks == 1]
+    if blocks > 1:  # a block by itself is searched too
+        tasks += [(i, i) for i in range(blocks)]
+    place = {pair: k for k, pair in enumerate(tasks)}
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams_often, n_often = held.value
         for batch in batches:
-            cell, ids, sets = [], [], []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                grams = grams_of(text)
-                shard = _shard_of(grams, shards)
-                by = np.argsort(shard, kind="stable")
-                grams, bounds = grams[by], np.searchsorted(shard[by], np.arange(shards + 1))
+            for at in range(0, batch.num_rows, DEALT):
+                ids = batch.column(0).slice(at, DEALT).to_numpy(zero_copy_only=False).astype(np.int64)
+                shard, record, token = dealt_sets(batch.column(1).slice(at, DEALT).to_pylist(), shards)
+                home = (_mixed(ids) % np.uint64(blocks)).astype(np.int64)
+                bounds = np.searchsorted(shard, np.arange(shards + 1))
+                cells, packed = [], []
                 for s in range(shards):
-                    mine = grams[bounds[s] : bounds[s + 1]]
-                    if not len(mine):
-                        continue
-                    places = {0}
-                    if cells > 1:
-                        at = np.minimum(np.searchsorted(grams_often, mine), max(len(grams_often) - 1, 0))
-                        weight = np.where(grams_often[at] == mine, n_often[at], 0) if len(grams_often) else np.zeros(len(mine), np.int64)
-                        prefix = mine[np.lexsort((mine, weight))][: len(mine) - -(-(t.numerator * len(mine)) // t.denominator) + 1]
-                        places = set(((prefix.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)) % np.uint64(cells)).tolist())
-                    for p in sorted(places):
-                        cell.append(s * cells + p)
-                        ids.append(i)
-                        sets.append(mine.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["cell", "id", "grams"])
+                    r, k = record[bounds[s] : bounds[s + 1]], token[bounds[s] : bounds[s + 1]].astype(np.uint32)
+                    for b in range(blocks):
+                        mine = home[r] == b if blocks > 1 else slice(None)
+                        who, counts = np.unique(r[mine], return_counts=True)
+                        if not len(who):
+                            continue
+                        row = (ids[who].tobytes(), counts.astype(np.int32).tobytes(), k[mine].tobytes(), b)
+                        for other in range(blocks):
+                            cells.append(s * len(tasks) + place[min(b, other), max(b, other)])
+                            packed.append(row)
+                columns = list(zip(*packed)) or [(), (), (), ()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cells, pa.int32()), *[pa.array(c, pa.binary()) for c in columns[:3]], pa.array(columns[3], pa.int32())], names=["cell", "ids", "sizes", "tokens", "block"]
+                )
 
     def join(group: pa.Table) -> pa.Table:
-        ids = group.column("id").to_numpy()
-        sets = group.column("grams").to_pylist()
-        by = np.argsort(ids, kind="stable")
-        ids = ids[by]
-        sizes = np.array([len(sets[i]) // 8 for i in by], np.int64)
-        tokens = np.frombuffer(b"".join(sets[i] for i in by), np.int64)
-        found = [np.stack([ids[y], ids[x]]) for x, y in search(sizes, tokens, t)]
+        ids = np.frombuffer(b"".join(group.column("ids").to_pylist()), np.int64)
+        counts = [np.frombuffer(x, np.int32) for x in group.column("sizes").to_pylist()]
+        block = np.repeat(group.column("block").to_numpy(), [len(c) for c in counts])
+        sizes = np.concatenate(counts).astype(np.int64)
+        tokens = np.frombuffer(b"".join(group.column("tokens").to_pylist()), np.uint32).astype(np.int64)
+        apart = block if len(block) and block.min() != block.max() else None
+        found = [np.stack([ids[y], ids[x]]) for x, y in search(sizes, tokens, t, apart)]
         a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
-    dealt = records.select("id", "bare").mapInArrow(deal, "cell int, id bigint, grams binary")
-    dealt = dealt.repartition(shards * max(cells, 1), "cell")
+    dealt = records.select("id", "bare").mapInArrow(deal, "cell int, ids binary, sizes binary, tokens binary, block int")
+    dealt = dealt.repartition(shards * len(tasks), "cell")
     return dealt.groupBy("cell").applyInArrow(join, "a bigint, b bigint").distinct()
 
 

@@ -40,7 +40,18 @@ def texts(n):
     return out
 
 
-@pytest.mark.parametrize("task_records", [1000, 20])
+def test_tokens_keep_sizes_and_overlaps(monkeypatch):
+    monkeypatch.setattr(overlap, "_mixed", lambda g: (g.view(np.uint64) % np.uint64(7)) << np.uint64(33))  # nearly all fall together
+    words = [t for t in texts(12)]
+    shard, record, token = overlap.dealt_sets(words, 1)
+    sets = [set(token[record == i].tolist()) for i in range(12)]
+    for i in range(12):
+        assert len(sets[i]) == len(overlap.grams_of(words[i]))
+        for j in range(i):
+            assert len(sets[i] & sets[j]) >= len(np.intersect1d(overlap.grams_of(words[i]), overlap.grams_of(words[j])))
+
+
+@pytest.mark.parametrize("task_records", [1000, 60])
 def test_pairs_against_brute_force(spark, task_records):
     rows = [(i, t) for i, t in enumerate(texts(120))]
     records = overlap.bare_records(spark.createDataFrame(rows, "id long, t string"), "id", ["t"])
