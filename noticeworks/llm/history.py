@@ -28,8 +28,8 @@ from ..runtime import scratch_path, written
 WINDOW, CUT_BITS = 8, 4
 #: A chunk in more accepted records than this is not listed. At most HOT_LIMIT such chunks are kept in memory (8 bytes each).
 HOT, HOT_LIMIT = 64, 500_000
-#: Chunks of a batch that may be broadcast (16 bytes each); a larger batch is joined by shuffle.
-BROADCAST_CHUNKS = 500_000
+#: Chunk hashes of a batch that may be broadcast (8 bytes each); a larger batch is joined by shuffle.
+BROADCAST_CHUNKS = 2_000_000
 #: Share of its bytes by which a record must be covered, both ways, to be a repeat.
 COVERAGE = 1.0
 
@@ -166,8 +166,9 @@ class ChunkStore:
         wanted = keys.select("digest", "total", "hot_sum", F.explode(F.arrays_zip("chunks", "sizes")).alias("c")).select("digest", "total", "hot_sum", F.col("c.chunks").alias("chunk"))
         listed = self._read().where("owner is null").select(F.col("id").alias("old_id"), F.col("digest").alias("old_digest"), F.col("total").alias("old_total"), F.col("hot_sum").alias("old_sum"), F.col("hot_bytes"), F.explode(F.arrays_zip("chunks", "sizes")).alias("c"))
         listed = listed.select("old_id", "old_digest", "old_total", "old_sum", "hot_bytes", F.col("c.chunks").alias("chunk"), F.col("c.sizes").alias("bytes"))
-        side = F.broadcast(wanted) if chunks <= BROADCAST_CHUNKS else wanted
-        shared = listed.join(side, "chunk").groupBy("digest", "old_digest").agg(F.sum("bytes").alias("bytes"), F.first("total").alias("total"), F.first("old_total").alias("old_total"), F.first("old_id").alias("old_id"), F.first(F.when(F.col("old_sum") == F.col("hot_sum"), F.col("hot_bytes")).otherwise(0)).alias("common"))
+        if chunks <= BROADCAST_CHUNKS:  # the table is sifted where it lies; only what a batch asks for is moved
+            listed = listed.join(F.broadcast(wanted.select("chunk").distinct()), "chunk", "left_semi")
+        shared = listed.join(wanted, "chunk").groupBy("digest", "old_digest").agg(F.sum("bytes").alias("bytes"), F.first("total").alias("total"), F.first("old_total").alias("old_total"), F.first("old_id").alias("old_id"), F.first(F.when(F.col("old_sum") == F.col("hot_sum"), F.col("hot_bytes")).otherwise(0)).alias("common"))
         covered = F.col("bytes") + F.col("common")
         whole = shared.where((covered >= COVERAGE * F.col("total")) & (covered >= COVERAGE * F.col("old_total")))
         if COVERAGE == 1.0:  # the same chunks in another order are another key
