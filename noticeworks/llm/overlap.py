@@ -100,6 +100,8 @@ def _meetings(l_key: np.ndarray, l_doc: np.ndarray, q_key: np.ndarray, q_doc: np
     """Distinct (asking, listed) records that meet in a list, the asking one the larger (of equals the later)."""
     by = np.argsort(l_key, kind="stable")
     l_key, l_doc = l_key[by], l_doc[by]
+    by = np.argsort(q_key, kind="stable")  # in order, the searches walk through memory instead of jumping
+    q_key, q_doc = q_key[by], q_doc[by]
     low, high = np.searchsorted(l_key, q_key, "left"), np.searchsorted(l_key, q_key, "right")
     met = high > low
     q_doc, low, count = q_doc[met], low[met], (high - low)[met]
@@ -243,11 +245,8 @@ def candidates(records: DataFrame, t: Fraction = SIMILARITY, shards: int = SHARD
     return dealt.groupBy("cell").applyInArrow(join, "a bigint, b bigint").distinct()
 
 
-def similar_pairs(rows: DataFrame, key: str, parts: list[str], t: Fraction = SIMILARITY) -> DataFrame:
-    """``id_a < id_b, similarity`` of all pairs of rows that reach ``t``.
-
-    Searched are the sets; the rows that share a set are put in its place at the end, as their pairs are asked for.
-    """
+def similar_sets(rows: DataFrame, key: str, parts: list[str], t: Fraction = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Similar pairs of distinct sets (``a < b, similarity``) and the rows of each set (``set, id``); a set is named by its least row."""
     records = written(bare_records(rows, key, parts), "bare")
     sets = written(records.groupBy("digest").agg(F.min("id").alias("set"), F.min_by("bare", "id").alias("bare")), "sets")
     pairs = candidates(sets.select(F.col("set").alias("id"), "bare"), t)
@@ -262,9 +261,35 @@ def similar_pairs(rows: DataFrame, key: str, parts: list[str], t: Fraction = SIM
 
     measured = both.select("a", "b", "bare_a", "bare_b").mapInArrow(measure, "a bigint, b bigint, similarity double").where(F.col("similarity") >= least)
     members = records.join(sets.select("digest", "set"), "digest").select("set", "id")
+    return measured, members
+
+
+def similar_pairs(rows: DataFrame, key: str, parts: list[str], t: Fraction = SIMILARITY) -> DataFrame:
+    """``id_a < id_b, similarity`` of all pairs of rows that reach ``t``.
+
+    Searched are the sets; the rows that share a set are put in its place at the end, as their pairs are asked for.
+    """
+    measured, members = similar_sets(rows, key, parts, t)
     equal = members.groupBy("set").count().where("count > 1").select("set")
     same = members.join(equal, "set", "left_semi")
     inside = same.select("set", F.col("id").alias("id_a")).join(same.select("set", F.col("id").alias("id_b")), "set").where("id_a < id_b").select("id_a", "id_b", F.lit(1.0).alias("similarity"))
     across = measured.join(members.select(F.col("set").alias("a"), F.col("id").alias("x")), "a").join(members.select(F.col("set").alias("b"), F.col("id").alias("y")), "b")
     across = across.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "similarity")
     return across.unionByName(inside)
+
+
+def similar_groups(rows: DataFrame, key: str, parts: list[str], t: Fraction = SIMILARITY) -> DataFrame:
+    """One row per row that has a set: ``id``, ``class_id`` (rows of one set), ``group_id`` (sets linked directly or through
+    others) and ``links`` (rows it is similar to). Nothing is expanded: links are counted per set, by the sizes of the sets.
+    """
+    from .history import components
+
+    measured, members = similar_sets(rows, key, parts, t)
+    pairs, members = written(measured.select("a", "b"), "pairs"), written(members, "members")
+    sizes = members.groupBy("set").agg(F.count("*").alias("size"))
+    turned = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    across = turned.join(sizes.select(F.col("set").alias("b"), "size"), "b").groupBy(F.col("a").alias("set")).agg(F.sum("size").alias("across"))
+    roots = components(pairs).select(F.col("node").alias("set"), "root")
+    per_set = sizes.join(across, "set", "left").join(roots, "set", "left")
+    per_set = per_set.select("set", F.coalesce("root", "set").alias("group_id"), (F.col("size") - 1 + F.coalesce("across", F.lit(0))).alias("links"))
+    return members.join(per_set, "set").select("id", F.col("set").alias("class_id"), "group_id", "links")

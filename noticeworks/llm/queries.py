@@ -11,7 +11,7 @@ from .history import repeats
 from .leaks import find_leaks, remove_leaks
 from .looks import one_form, same_look
 from .names import link_names
-from .overlap import similar_pairs
+from .overlap import similar_groups, similar_pairs
 from .quality import text_quality
 
 
@@ -41,15 +41,21 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return out.where("value != name").select("id", "field", "org_id")
 
 
-def p6_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """All pairs of notices with content that share most of it, with their similarity."""
-    rows = table(spark, folder, "verified_notices").where("project_content is not null and project_content != ''")
-    out = similar_pairs(rows.select("notice_id", "title", "project_name", "project_content"), "notice_id", ["title", "project_name", "project_content"])
-    return out.select(F.col("id_a").alias("notice_id_a"), F.col("id_b").alias("notice_id_b"), F.round("similarity", 6).alias("similarity"))
+_P6_PARTS = ["title", "project_name", "project_content"]
+
+
+def _with_content(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "verified_notices").where("project_content is not null and project_content != ''").select("notice_id", *_P6_PARTS)
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p6_pairs(spark, folder).select("notice_id_a", "notice_id_b")
+    out = similar_pairs(_with_content(spark, folder), "notice_id", _P6_PARTS)
+    return out.select(F.col("id_a").alias("notice_id_a"), F.col("id_b").alias("notice_id_b"))
+
+
+def p6_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every notice with content: its class of equal notices, its group of similar ones, and its number of links."""
+    return similar_groups(_with_content(spark, folder), "notice_id", _P6_PARTS).withColumnRenamed("id", "notice_id")
 
 
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,7 +92,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return out.where("kind is not null").select("doc_id", "kind")
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p5_found": p5_found, "p5_names": p5_names, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_statistics": p9_statistics}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p5_found": p5_found, "p5_names": p5_names, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_statistics": p9_statistics}
 _FOLD = "lower(translate(<text>, '" + "".join(map(chr, range(0xFF01, 0xFF5F))).replace("'", "''") + "', '" + "".join(map(chr, range(0x21, 0x7F))).replace("'", "''") + "'))"
 _LETTERS = lambda c: f"regexp_replace({_FOLD.replace('<text>', c)}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
 _PAGE = r"""lower(regexp_extract(trim(canonical_url), '(?i)^https?://([^/?#:]+)', 1)) || url_decode(regexp_replace(regexp_extract(trim(canonical_url), '(?i)^https?://[^/?#]*([^?#]*)', 1), '/+$', ''))

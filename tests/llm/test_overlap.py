@@ -71,3 +71,19 @@ def test_similar_pairs(spark):
     assert got[:3] == [(1, 2, 1.0), (1, 3, 1.0), (2, 3, 1.0)] and [(a, b) for a, b, _ in got[3:]] == [(7, 8)]
     assert overlap.similar_pairs(df.where("false"), "notice_id", ["title"]).count() == 0
     assert overlap.bare("Ａ-b ² É_1!") == "ａb²é1"
+
+
+def test_groups(spark):
+    rows = [(i, t) for i, t in enumerate(texts(60))] + [(100, texts(60)[0]), (101, texts(60)[0]), (102, None)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    pairs = [tuple(r) for r in overlap.similar_pairs(df, "id", ["t"]).select("id_a", "id_b").collect()]
+    links, root = dict.fromkeys((i for i, t in rows if t), 0), {i: i for i, t in rows if t}
+    for a, b in pairs:
+        links[a] += 1
+        links[b] += 1
+    for _ in range(60):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    got = overlap.similar_groups(df, "id", ["t"]).collect()
+    assert {r["id"]: (r["links"], r["group_id"]) for r in got} == {i: (links[i], root[i]) for i in links}
+    assert {r["class_id"] for r in got if r["id"] in (0, 100, 101)} == {0}
