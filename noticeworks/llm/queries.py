@@ -87,18 +87,35 @@ def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("failures", F.concat_ws("; ", "failures"))
 
 
+def p9_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Those statistics of every document that SQL can give as well."""
+    out = text_quality(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "common_words"))
+    return out.select("doc_id", "n_chars", "word_count", "mean_word_length", "symbol_ratio", "punct_line_share")
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     out = text_quality(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "common_words"))
     return out.where("kind is not null").select("doc_id", "kind")
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p5_found": p5_found, "p5_names": p5_names, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_statistics": p9_statistics}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p5_found": p5_found, "p5_names": p5_names, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_counts": p9_counts, "p9_found": p9_found, "p9_statistics": p9_statistics}
 _FOLD = "lower(translate(<text>, '" + "".join(map(chr, range(0xFF01, 0xFF5F))).replace("'", "''") + "', '" + "".join(map(chr, range(0x21, 0x7F))).replace("'", "''") + "'))"
 _LETTERS = lambda c: f"regexp_replace({_FOLD.replace('<text>', c)}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
 _PAGE = r"""lower(regexp_extract(trim(canonical_url), '(?i)^https?://([^/?#:]+)', 1)) || url_decode(regexp_replace(regexp_extract(trim(canonical_url), '(?i)^https?://[^/?#]*([^?#]*)', 1), '/+$', ''))
     || '?' || array_to_string(list_sort(list_filter(string_split(regexp_extract(trim(canonical_url), '^[^?#]*[?]([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z0-9_]*|spm|from)='))), '&')"""
 
+_HAN = r"[\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
+_SPACE = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
+_STOPS = "。！？；!?;.…”’\"'')）】"
+
 SQL: dict[str, str] = {
+    "p9_counts": rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    c AS (SELECT doc_id, length(t) AS n_chars, length(t) - length(regexp_replace(t, '{_HAN}', '', 'g')) + len(regexp_extract_all(regexp_replace(t, '{_HAN}', ' ', 'g'), '[\p{{L}}\p{{N}}]+(?:[''’.,-][\p{{L}}\p{{N}}]+)*')) AS word_count,
+      length(t) - length(regexp_replace(t, '[\p{{L}}\p{{N}}]', '', 'g')) AS letters, length(regexp_replace(t, '{_SPACE}', '', 'g')) AS ink,
+      length(t) - length(regexp_replace(t, '[\p{{S}}#@^_~*|\\<>{{}}\[\]=+$%&/]', '', 'g')) AS symbols FROM d),
+    l AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE contains('{_STOPS}', right(x, 1))) AS stops FROM (SELECT doc_id, regexp_replace(x, '^{_SPACE}+|{_SPACE}+$', '', 'g') AS x FROM (SELECT doc_id, unnest(string_split_regex(t, '[\n\r\x{{0b}}\x{{0c}}\x{{85}}\x{{2028}}\x{{2029}}]')) AS x FROM d)) WHERE x <> '' GROUP BY doc_id)
+    SELECT c.doc_id, n_chars, word_count, CASE WHEN word_count > 0 THEN round(letters / word_count, 6) END AS mean_word_length, CASE WHEN ink > 0 THEN round(symbols / ink, 6) END AS symbol_ratio,
+      round(stops / n, 6) AS punct_line_share FROM c LEFT JOIN l ON c.doc_id = l.doc_id""",
     "p3_found": f"""WITH RECURSIVE k AS (
         SELECT id, 'f' || lower(regexp_extract(fingerprint, '([0-9A-Fa-f]{{64}})', 1)) AS key FROM tenders WHERE regexp_matches(coalesce(fingerprint, ''), '[0-9A-Fa-f]{{64}}')
         UNION ALL SELECT id, 'u' || {_PAGE} FROM tenders WHERE regexp_matches(trim(coalesce(canonical_url, '')), '(?i)^https?://')),
