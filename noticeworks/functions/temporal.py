@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The three written forms of a full date.
 _CN = r"(\d{4})年(\d{1,2})月(\d{1,2})日(?:\s*(\d{1,2})[：:时](\d{1,2})?)?"
 _ISO = r"^(\d{4}-\d{2}-\d{2})(?:[ T](\d{1,2}:\d{2}))?"
 _DOT = r"^(\d{4})\.(\d{2})\.(\d{2})"

@@ -101,6 +101,7 @@ COMPANY_SUFFIXES = ["有限责任公司", "股份有限公司", "集团有限公
 NAME_PUNCTUATION = " \t\r\n-—_·,，。:：;；()（）[]【】“”\"'、/\\"
 
 _NAME_PUNCTUATION = re.compile(r"[\s" + re.escape(NAME_PUNCTUATION.strip()) + "]+")
+# Fixed value: how lots and packages are written behind a name.
 _LOT = re.compile(r"(?:第?[一二三四五六七八九十\d]+(?:标段|包|品目)|[一二三四五六七八九十\d]+标段).*$")
 
 

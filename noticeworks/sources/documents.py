@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The fields of an event, and the comment by which events travel in issues.
 EVENT = "array<struct<id:string,action:string,url:string,field:string,old_value:string,new_value:string,reason:string,created_at:string,item:map<string,string>>>"
 _MARK = r"(?s)<!--\s*TENDER_FEEDBACK_JSON\s*(.*?)\s*-->"
 
