@@ -133,7 +133,10 @@ def _split_hot(keys: DataFrame, hot: object) -> DataFrame:
 
 
 class ChunkStore:
-    """The lasting table from chunks to accepted records, one folder per batch below ``path``."""
+    """The lasting table from chunks to accepted records, one folder per batch below ``path``.
+
+    A store that is there already is taken up again: its batches, and the widely shared chunks it began with.
+    """
 
     SCHEMA = "digest binary, id bigint, owner bigint, total int, chunks array<bigint>, sizes array<int>, hot_sum bigint, hot_bytes int"
 
@@ -142,6 +145,17 @@ class ChunkStore:
         self.path = path or scratch_path(spark, "chunks")
         self.folders: list[str] = []
         self.hot = None
+        if path:
+            hadoop = spark._jvm.org.apache.hadoop.fs
+            root = hadoop.Path(path)
+            fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+            there = sorted(f.getPath().getName() for f in fs.listStatus(root)) if fs.exists(root) else []
+            self.folders = [f"{path}/{n}" for n in there if n.startswith("batch-") and fs.exists(hadoop.Path(f"{path}/{n}/_SUCCESS"))]
+            if "hot" in there:
+                self._keep_hot([r[0] for r in spark.read.schema("chunk bigint").parquet(f"{path}/hot").collect()])
+
+    def _keep_hot(self, chunks: list[int]) -> None:
+        self.hot = self.spark.sparkContext.broadcast(np.sort(np.array(chunks, np.int64)))
 
     def _read(self) -> DataFrame:
         return self.spark.read.schema(self.SCHEMA).parquet(*self.folders)
@@ -159,7 +173,8 @@ class ChunkStore:
             if len(found) <= HOT_LIMIT:
                 break
             least *= 4
-        self.hot = self.spark.sparkContext.broadcast(np.sort(np.array(found, np.int64)))
+        self._keep_hot(found)
+        counts.where(F.col("count") > least).select("chunk").write.mode("overwrite").parquet(f"{self.path}/hot")
 
     def look_up(self, keys: DataFrame, chunks: int) -> DataFrame:
         """Per key of a batch (``keys`` once each, split) the accepted record that covers it: ``digest, owner``."""
@@ -176,7 +191,12 @@ class ChunkStore:
         return whole.groupBy("digest").agg(F.min("old_id").alias("owner"))
 
     def append(self, batch: int, keys: DataFrame) -> None:
-        """Checks one batch of chunked keys and appends it: keys without an owner are accepted, the others point to theirs."""
+        """Checks one batch of chunked keys and appends it: keys without an owner are accepted, the others point to theirs.
+
+        A batch that is appended again takes its own place again.
+        """
+        folder = f"{self.path}/batch-{batch:06d}"
+        self.folders = [f for f in self.folders if f != folder]
         if self.hot is None:
             self.learn_hot(keys)
         mine = _split_hot(self._first_of(keys), self.hot)
@@ -186,7 +206,6 @@ class ChunkStore:
             mine = mine.join(found, "digest", "left")
         else:
             mine = mine.withColumn("owner", F.lit(None).cast("bigint"))
-        folder = f"{self.path}/batch-{batch:06d}"
         mine.select("digest", "id", "owner", "total", "chunks", "sizes", "hot_sum", "hot_bytes").write.mode("overwrite").option("compression", "zstd").parquet(folder)
         self.folders.append(folder)
 
@@ -219,17 +238,24 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
+def page_keys(rows: DataFrame) -> DataFrame:
+    """``batch, id, key``: what names the page of each row, none to two keys."""
+    forms = F.array(F.concat(F.lit("f:"), fingerprint_form(F.col("fingerprint"))), F.concat(F.lit("u:"), same_page_form(F.col("canonical_url"))))
+    return rows.select(F.coalesce("batch_no", F.lit(0)).cast("int").alias("batch"), F.col("id").cast("bigint").alias("id"), F.explode(F.array_compact(forms)).alias("key"))
+
+
+def follow(stream: DataFrame, store: ChunkStore, checkpoint: str):
+    """A streaming query that checks and appends every micro-batch of rows; one that is run again is appended once."""
+    return stream.writeStream.foreachBatch(lambda rows, n: store.append(n, chunked_keys(page_keys(rows)).drop("batch"))).option("checkpointLocation", checkpoint)
+
+
 def repeats(rows: DataFrame) -> DataFrame:
     """``first_id, id`` of every row of a later batch that repeats an earlier row, directly or through further rows.
 
     ``rows``: id, batch_no, fingerprint, canonical_url. The batches are taken one after the other, in order of their number.
     """
     spark = rows.sparkSession
-    keys = rows.select(
-        F.coalesce("batch_no", F.lit(0)).cast("int").alias("batch"), F.col("id").cast("bigint").alias("id"),
-        F.explode(F.array_compact(F.array(F.concat(F.lit("f:"), fingerprint_form(F.col("fingerprint"))), F.concat(F.lit("u:"), same_page_form(F.col("canonical_url")))))).alias("key"),
-    )
-    keys = written(chunked_keys(keys), "keys", ["batch"])
+    keys = written(chunked_keys(page_keys(rows)), "keys", ["batch"])
     batches = sorted(r[0] for r in keys.select("batch").distinct().collect())
     if not batches:
         return spark.createDataFrame([], "first_id bigint, id bigint")

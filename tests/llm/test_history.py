@@ -1,6 +1,6 @@
 import random
 
-from noticeworks.llm.history import ChunkStore, chunked_keys, chunks_of, components, repeats
+from noticeworks.llm.history import ChunkStore, chunked_keys, chunks_of, components, follow, repeats
 from pyspark.sql import functions as F
 
 
@@ -48,6 +48,19 @@ def test_repeats(spark):
     assert repeats(df.where("false")).count() == 0
 
 
+def test_a_store_lasts(spark, tmp_path):
+    def batch(n, low, high):
+        return chunked_keys(spark.range(low, high).selectExpr(f"{n} as batch", f"id + {n} * 10000 as id", "'u:h.example/notice?id=' || id as key")).drop("batch")
+
+    path = f"file://{tmp_path}/store"
+    ChunkStore(spark, path).append(0, batch(0, 0, 500))
+    again = ChunkStore(spark, path)
+    assert len(again.folders) == 1 and again.hot is not None
+    again.append(1, batch(1, 400, 600))
+    owners = ChunkStore(spark, path).owners().where("batch = 1")
+    assert owners.count() == 200 and owners.where("owner < 10000").count() == 100
+
+
 def test_widely_shared_chunks_lose_nothing(spark):
     keys = spark.range(3000).selectExpr("0 as batch", "id", "'u:h.example/portal/detail?noticeId=G' || lpad(cast(id as string), 8, '0') as key")
     store = ChunkStore(spark)
@@ -60,3 +73,18 @@ def test_widely_shared_chunks_lose_nothing(spark):
     third = spark.range(3500, 3600).selectExpr("2 as batch", "id + 20000 as id", "'u:h.example/portal/detail?noticeId=G' || lpad(cast(id as string), 8, '0') as key")
     store.append(2, chunked_keys(third).drop("batch"))
     assert store.owners().where(F.col("batch") == 2).where("owner between 13500 and 13599").count() == 100
+
+
+def test_stream_of_batches(spark, tmp_path):
+    schema = "id long, batch_no int, fingerprint string, canonical_url string"
+    url = "https://h.example/notice?id="
+    for n, rows in enumerate([[(1, 0, F1, url + "1"), (2, 0, None, url + "2")], [(3, 1, None, url + "2#top"), (4, 1, F1, None), (5, 1, F2, url + "5")]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / str(n)))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(str(tmp_path / "in" / "*"))
+    store = ChunkStore(spark, f"file://{tmp_path}/store")
+    follow(stream, store, str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination(180)
+    assert len(store.folders) == 2
+    assert sorted((r["owner"]) for r in store.owners().where("batch = 1").collect()) == [1, 2, 5, 5]
+    before = sorted(map(tuple, store.owners().collect()))
+    store.append(1, chunked_keys(spark.createDataFrame([(1, 3, "u:h.example/notice?id=2"), (1, 5, "u:h.example/notice?id=5")], "batch int, id long, key string")).drop("batch"))
+    assert len(store.folders) == 2 and len(before) == 7 and store.owners().where("batch = 1 and owner = 2").count() == 1
