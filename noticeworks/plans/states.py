@@ -168,7 +168,7 @@ def _records(spark: SparkSession, folder: str, plans: bool) -> DataFrame:
 
 def _linked(spark: SparkSession, folder: str) -> DataFrame:
     plans, notices = written(_records(spark, folder, True), "plans"), written(_records(spark, folder, False), "notices")
-    return linkage.linked(plans, notices).where("plan_id != notice_id")
+    return linkage.linked(plans, notices, ratios=False).where("plan_id != notice_id")
 
 
 @query()

@@ -121,6 +121,30 @@ def test_linkage(spark):
     assert best.where("rank = 1").count() == 3
 
 
+PLACES = "贵山县 云水市 石湾区 青芜市 禾川县 望澜市".split()
+
+
+def linkage_cases():
+    hot = [(100 + i, "", "贵山县城市道路改造工程", f"第{i}单位", "修建道路和桥梁三千米并安装路灯若干以及绿化工程", "C-77", "黔发改〔2024〕12号", "2026-06-01") for i in range(150)]
+    other = [(300 + i, "", f"{PLACES[i % 6]}{chr(0x4E00 + 37 * i)}{chr(0x5E00 + 53 * i)}采购项目", f"局{chr(0x6E00 + 11 * i)}", f"采购{chr(0x6000 + 7 * i) * 9}设备以及安装{chr(0x7000 + 5 * i) * 9}服务", "", "", "2026-06-01") for i in range(60)]
+    return hot, other
+
+
+def all_links(spark, plans, notices, **more):
+    return {(r["plan_id"], r["notice_id"]): tuple(r)[2:] for r in linkage.linked(prepared(spark, plans), prepared(spark, notices), **more).collect()}
+
+
+def test_links_of_a_hot_project(spark):
+    hot, other = linkage_cases()
+    plans = [
+        (1, "", "贵山县城市道路改造工程", "甲", "", "", "", "2026-05-01"), (2, "", "乙项目", "乙", "修建道路和桥梁三千米并安装路灯若干以及绿化工程", "", "", ""),
+        (3, "", "丙项目", "丙", "", "c77", "", ""), (4, "", "丁项目", "丁", "", "", "黔发改〔2024〕12号", ""), (5, "", "城市道路改造工程", "戊", "", "", "", "2026-07-01"),
+    ]
+    got = all_links(spark, plans, hot + other)
+    assert all((p, h[0]) in got for p in (1, 2, 3, 4) for h in hot) and not any(p == 5 for p, _ in got)
+    assert got == all_links(spark, plans, hot + other, exact=True)
+
+
 def test_watch_and_serve(spark):
     watch = spark.createDataFrame([("某市第一污水处理厂扩建工程",), ("",)], "project_name string")
     n = spark.createDataFrame([(1, "某市第一污水处理厂扩建工程招标公告", None), (2, "某市第一污水处理厂扩建工程监理服务", None), (3, "其他", None)], "id int, project_name string, title string")
