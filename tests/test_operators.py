@@ -145,6 +145,22 @@ def test_links_of_a_hot_project(spark):
     assert got == all_links(spark, plans, hot + other, exact=True)
 
 
+def test_links_by_every_evidence(spark):
+    hot, other = linkage_cases()
+    notices = other + [
+        (1, "", "甲子河堤防加固", "某某县水务局有限公司", "", "", "", ""), (2, "", "乙丑道路", "某某县水务局第二分局", "", "", "", ""), (3, "", "丙寅桥梁", "水务", "", "", "", ""),
+        (4, "", "天地玄黄宇宙洪荒", "", "", "", "", ""), (5, "", "己巳楼", "", "投资代码为2405520000040112的工程", "", "", ""), (6, "", "庚午馆", "公告未载明", "", "", "关于某某县城市道路立项的批复意见", ""),
+        (7, "", "辛未站", "", "甲一乙二丙三丁四戊五己六庚七辛八壬九癸十子丑", "", "", ""), (8, "", "壬申厂", "公告未载明", "", "", "批复", ""),
+    ]
+    plans = [
+        (11, "", "子项目甲", "某某县水务局", "", "", "", ""), (12, "", "天地玄黄宙宇洪荒", "", "", "", "", ""), (13, "", "丑项目乙", "公告未载明", "", "2405-520000-04-0112", "某某县城市道路立项的批复", ""),
+        (14, "", "寅项目丙", "", "甲东乙西丙南丁北戊上己下庚左辛右壬前癸后子寅", "", "", ""),
+    ]
+    got = all_links(spark, plans, notices)
+    assert {(11, 1), (11, 2), (11, 3), (12, 4), (13, 5), (13, 6), (13, 8), (14, 7)} <= set(got)
+    assert got == all_links(spark, plans, notices, exact=True)
+
+
 def test_watch_and_serve(spark):
     watch = spark.createDataFrame([("某市第一污水处理厂扩建工程",), ("",)], "project_name string")
     n = spark.createDataFrame([(1, "某市第一污水处理厂扩建工程招标公告", None), (2, "某市第一污水处理厂扩建工程监理服务", None), (3, "其他", None)], "id int, project_name string, title string")
