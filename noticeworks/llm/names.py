@@ -185,8 +185,12 @@ class Metric:
         slip = latin | ~self.known[a] | ~self.known[b] | self.like_sound(a, b)
         return np.where(a == b, 0, np.where(slip, 1, 2))
 
-    def distances(self, a: np.ndarray, a_len: np.ndarray, b: np.ndarray, b_len: np.ndarray) -> np.ndarray:
-        """Distances of padded code point rows ``a[i]`` and ``b[i]`` (either may be one row for all)."""
+    def distances(self, a: np.ndarray, a_len: np.ndarray, b: np.ndarray, b_len: np.ndarray, swaps: bool = True) -> np.ndarray:
+        """Distances of padded code point rows ``a[i]`` and ``b[i]`` (either may be one row for all).
+
+        Swaps of cost 1 break the triangle inequality (CA, AC, ABC: 1 and 1, but 3). Without ``swaps`` they cost 2, as a
+        deletion and an insertion; that is a metric, and at most twice the distance with them.
+        """
         n = max(len(a), len(b))
         rows, cols = a.shape[1], b.shape[1]
         out = np.zeros(n, np.int64)
@@ -200,7 +204,7 @@ class Metric:
             for j in range(1, cols + 1):
                 x, y = a[:, i - 1], b[:, j - 1]
                 best = np.minimum(np.minimum(last[:, j], now[:, j - 1]) + 1, last[:, j - 1] + self.substitution(x, y))
-                if i > 1 and j > 1:
+                if swaps and i > 1 and j > 1:
                     swapped = (x == b[:, j - 2]) & (a[:, i - 2] == y)
                     best = np.where(swapped, np.minimum(best, before[:, j - 2] + 1), best)
                 now[:, j] = best
@@ -225,24 +229,24 @@ def choose_pivots(forms: list[str], metric: Metric, count: int = PIVOTS) -> list
         return []
     table, sizes = padded(forms)
     chosen = [0]
-    nearest = metric.distances(table, sizes, table[:1], sizes[:1])
+    nearest = metric.distances(table, sizes, table[:1], sizes[:1], swaps=False)
     while len(chosen) < min(count, len(forms)):
         at = int(np.argmax(nearest))
         if not nearest[at]:
             break
         chosen.append(at)
-        nearest = np.minimum(nearest, metric.distances(table, sizes, table[at : at + 1], sizes[at : at + 1]))
+        nearest = np.minimum(nearest, metric.distances(table, sizes, table[at : at + 1], sizes[at : at + 1], swaps=False))
     return [forms[i] for i in chosen]
 
 
 def _to_pivots(texts: list[str], pivots: list[str], metric: Metric) -> np.ndarray:
     table, sizes = padded(texts)
-    return np.stack([metric.distances(table, sizes, *padded([p])) for p in pivots], axis=1)
+    return np.stack([metric.distances(table, sizes, *padded([p]), swaps=False) for p in pivots], axis=1)
 
 
 def radius_join(typed: DataFrame, forms: DataFrame, letters: frozenset[str], radius: int = RADIUS) -> DataFrame:
     """``core, form, distance`` of all typed names and forms within ``radius``; both sides are tables of distinct texts."""
-    spark = typed.sparkSession
+    spark, reach = typed.sparkSession, 2 * radius
     sample = [r[0] for r in forms.orderBy(F.xxhash64("form"), "form").limit(PIVOT_SAMPLE).collect()]
     pivots = choose_pivots(sample, Metric(letters))
     if not pivots:
@@ -270,11 +274,11 @@ def radius_join(typed: DataFrame, forms: DataFrame, letters: frozenset[str], rad
             far = _to_pivots(texts, pivots, metric) if texts else np.zeros((0, len(pivots)), np.int64)
             who, cells, ring_of = [], [], []
             for c, inhabited in sorted(rings.items()):
-                # a form of this cell at ring k lies within the radius only if |d(x, pivot) - k| <= radius, and its own
-                # pivot is its nearest: k <= d(form, p) <= d(x, p) + radius for every pivot p
-                limit = far.min(axis=1) + radius if len(texts) else np.zeros(0, np.int64)
+                # a form within the radius is at most reach = 2 * radius away without swaps; one of this cell at ring k is so
+                # only if |d(x, pivot) - k| <= reach, and its own pivot is its nearest: k <= d(form, p) <= d(x, p) + reach
+                limit = far.min(axis=1) + reach if len(texts) else np.zeros(0, np.int64)
                 for k in sorted(inhabited):
-                    near = np.flatnonzero((np.abs(far[:, c] - k) <= radius) & (k <= limit))
+                    near = np.flatnonzero((np.abs(far[:, c] - k) <= reach) & (k <= limit))
                     who.append(near)
                     cells.append(np.full(len(near), c))
                     ring_of.append(np.full(len(near), k))
@@ -297,8 +301,10 @@ def radius_join(typed: DataFrame, forms: DataFrame, letters: frozenset[str], rad
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         step = max(1, 2_000_000 // (len(texts) * theirs.shape[1]))
         for at in range(0, len(cores), step):
-            close = (np.abs(mine[at : at + step, None, :] - theirs[None]) <= radius).all(axis=2)
-            close &= np.abs(a_all[1][at : at + step, None] - b_all[1][None]) <= radius
+            longer = np.abs(a_all[1][at : at + step, None] - b_all[1][None])
+            # what makes up the lengths is no swap and counts once
+            close = (np.abs(mine[at : at + step, None, :] - theirs[None]) <= (reach - longer)[:, :, None]).all(axis=2)
+            close &= longer <= radius
             x, y = np.nonzero(close)
             x += at
             for part in range(0, len(x), 20_000):

@@ -1,6 +1,6 @@
 import numpy as np
 
-from noticeworks.llm.names import Metric, core, forms_of, link_names, padded
+from noticeworks.llm.names import Metric, core, forms_of, link_names, padded, radius_join
 
 REGISTER = [
     (1, "溪陵市农业农村局", "bureau", "溪陵", None), (2, "溪陵市林业局", "bureau", "溪陵", None), (3, "融宇（柏桐）交通投资有限责任公司", "company", "柏桐", "融宇交通"),
@@ -59,6 +59,16 @@ def test_links(spark):
     assert link_names(df, register.where("false"), "id", ["buyer"]).count() == 0
 
 
+def test_no_swap_is_pruned(spark):
+    forms = ["望澜投资有限公司", "望澜投资(有限责任公司)", "望澜投资有限责任公司", "望澜投资有限责任公司望澜分公司", "溪陵市农业农村局", "农业农村局(溪陵市)", "溪陵农业局", "云岭省溪陵市农业农村局", "AC", "ABC"]
+    swapped = sorted({f[:i] + f[i + 1] + f[i] + f[i + 2 :] for f in forms for i in range(len(f) - 1)} | {f[:i] + f[i + 1 :] for f in forms for i in range(len(f))})
+    letters = frozenset("".join(forms))
+    table, sizes = padded(forms)
+    want = {(x, f, int(d)) for x in swapped for f, d in zip(forms, Metric(letters).distances(table, sizes, *padded([x]))) if d <= 1}
+    side = lambda texts, name: spark.createDataFrame([(x,) for x in texts], f"{name} string")
+    assert {tuple(r) for r in radius_join(side(swapped, "core"), side(forms, "form"), letters).collect()} == want
+
+
 def test_equally_near_is_nobody(spark):
     register = spark.createDataFrame([(1, "甲乙丙丁局", "bureau", None, None), (2, "甲乙丙戊局", "bureau", None, None)], SCHEMA)
     df = spark.createDataFrame([(1, "甲乙丙菊局"), (2, "甲乙丙丁丁局")], "id long, buyer string")
