@@ -1,27 +1,31 @@
 """Mixed timestamp formats and zones brought to UTC instants (problem 4).
 
 Every valid reading of a value is generated as an array of (reading, instant); a Viterbi pass over each source's record
-order then chooses one per value, penalising readings that differ from the source's habit, switches of reading, and
-jumps back in time.
+order then chooses one per value, penalising readings that differ from the source's declared order, switches of reading,
+and jumps back in time. What comes later counts as well as what came before, however the records are spread over tasks.
 
 Defined results: null, empty and placeholder texts and values without a full date have no reading and give no row; an
-empty table gives an empty result; repeated rows are kept; ties between readings go to the earlier one in the array; only
+empty table gives an empty result; repeated rows are kept; of equally good passes that with fewer later readings in the
+arrays holds, then a hash of notice_id decides; records of one time are in order of notice_id; only
 named columns are read, so extra columns never clash; texts of any length are searched whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 from functools import lru_cache
 from zoneinfo import ZoneInfo
 
-import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import partitions, written
+
 DEFAULT_ZONE = "Asia/Shanghai"
 #: Years a notice may speak of; readings outside are not generated.
 FIRST_YEAR, LAST_YEAR = 1990, 2100
@@ -187,135 +191,285 @@ def period_ends(t: str) -> tuple[str | None, str | None]:
 
 
 #: Costs of the Viterbi pass: a reading against the source's declared order, a switch of reading, a jump back in time.
-AGAINST_ORDER, SWITCH, BACKWARD = 50.0, 2.0, 1.0
+AGAINST_ORDER, SWITCH, BACKWARD = 50, 2, 1
 #: Records may be out of order by this much without cost.
 SLACK_MS = 86_400_000
+#: Records that a task keeps at most before it cuts a stretch of undecided ones; only memory depends on it.
+OPEN_RECORDS = 50_000
 
+_ORDERS = ("mdy", "dmy")
+#: Costs are whole numbers above this bit; below it, readings that come later in the array cost more, and then a hash decides.
+_WHOLE = 96
 
-def viterbi(cands: list[list[tuple[str, int]]], order: str | None, before: tuple[str | None, int | None]) -> list[int]:
-    """Index of the chosen reading per record. ``before``: habit and instant of the record before these."""
-    costs: list[float] = []
-    back: list[list[int]] = []
-    for i, options in enumerate(cands):
-        now, links = [], []
-        for reading, ms in options:
-            own = AGAINST_ORDER if order in ("mdy", "dmy") and reading in ("mdy", "dmy") and reading != order else 0.0
-            prev = [(before[0], before[1])] if i == 0 else cands[i - 1]
-            base = [0.0] if i == 0 else costs
-            best, at = float("inf"), 0
-            for j, (habit, then) in enumerate(prev):
-                c = base[j] + (SWITCH if habit in ("mdy", "dmy") and reading in ("mdy", "dmy") and habit != reading else 0.0)
-                c += BACKWARD if then is not None and ms < then - SLACK_MS else 0.0
-                if c < best:
-                    best, at = c, j
-            now.append(best + own)
-            links.append(at)
-        costs = now
-        back.append(links)
-    at = int(np.argmin(costs)) if costs else 0
+Candidates = list[tuple[str, int]]
+#: What is known after a record: the last reading of bare numbers, the instant, and the cost so far.
+Alive = tuple[str | None, int | None, int]
+
+
+def _own(cands: Candidates, k: int, order: str | None, salt: int) -> int:
+    against = order in _ORDERS and cands[k][0] in _ORDERS and cands[k][0] != order
+    return (AGAINST_ORDER << _WHOLE if against else 0) + (k << 64) + (k * salt * 0x9E3779B1 & 0xFFFFFFFF)
+
+
+def _between(habit: str | None, then: int | None, reading: str, ms: int) -> int:
+    cost = SWITCH if habit in _ORDERS and reading in _ORDERS and habit != reading else 0
+    return (cost + (BACKWARD if then is not None and ms < then - SLACK_MS else 0)) << _WHOLE
+
+
+def advance(alive: list[Alive], cands: Candidates, order: str | None, salt: int) -> tuple[list[Alive], list[tuple[int, int]]]:
+    """The states after one more record, and of each the candidate it takes and the state it comes from."""
+    best: dict[tuple[str | None, int], tuple[int, int]] = {}
+    for k, (reading, ms) in enumerate(cands):
+        own = _own(cands, k, order, salt)
+        for at, (habit, then, cost) in enumerate(alive):
+            key = (reading if reading in _ORDERS else habit, k)
+            c = cost + own + _between(habit, then, reading, ms)
+            if key not in best or c < best[key][0]:
+                best[key] = (c, at)
+    return [(habit, cands[k][1], c) for (habit, k), (c, _) in best.items()], [(k, at) for (_, k), (_, at) in best.items()]
+
+
+def best_path(alive: list[Alive], records: list[tuple[int, Candidates]], order: str | None, end: tuple[str | None, int] | None = None) -> list[int]:
+    """Index of the chosen reading of each record (salt, candidates) after the states ``alive``; ``end``: the habit and instant to end in."""
+    links = []
+    for salt, cands in records:
+        alive, back = advance(alive, cands, order, salt)
+        links.append(back)
+    if not links:
+        return []
+    ends = [i for i, (habit, ms, _) in enumerate(alive) if end is None or (habit, ms) == end]
+    at = min(ends, key=lambda i: alive[i][2])
     path = []
-    for links in reversed(back):
-        path.append(at)
-        at = links[at]
+    for back in reversed(links):
+        k, at = back[at]
+        path.append(k)
     return path[::-1]
 
 
-def choose(df: DataFrame, keys: list[str], group: list[str], order: list[str], cands: str = "cands", habit: str = "date_order") -> DataFrame:
-    """One reading per row of ``df``: Viterbi along ``order`` inside each ``group``, whose rows stream through a task sorted.
+def viterbi(cands: list[Candidates], order: str | None, before: tuple[str | None, int | None]) -> list[int]:
+    """Index of the chosen reading per record. ``before``: habit and instant of the record before these."""
+    return best_path([(*before, 0)], list(enumerate(cands)), order)
 
-    Values of one reading only pass through and anchor the runs between them, so a group of any size takes bounded
-    memory. ``group`` should hold a slice of time, so that no source is one task's work.
-    """
-    narrow = df.select(*keys, *[c for c in group + order if c not in keys], F.col(habit).alias("_habit"), F.transform(cands, lambda x: x["reading"]).alias("_r"), F.transform(cands, lambda x: x["utc_ms"]).alias("_ms"))
-    out_fields = [f for f in narrow.schema.fields if f.name in keys]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out_fields) + ", reading string, utc_ms bigint"
-    key_names = [f.name for f in out_fields]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state_group, habit_now, last_ms = None, None, None
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            cols = {name: batch.column(name) for name in batch.schema.names}
-            groups = list(zip(*[cols[g].to_pylist() for g in group]))
-            habits = cols["_habit"].to_pylist()
-            names, stamps = cols["_r"].to_pylist(), cols["_ms"].to_pylist()
-            pick = [0] * n
-            i = 0
-            while i < n:
-                if groups[i] != state_group:
-                    state_group, habit_now, last_ms = groups[i], None, None
-                if len(names[i]) < 2:
-                    if names[i][0] in ("mdy", "dmy"):
-                        habit_now = names[i][0]
-                    last_ms = stamps[i][0]
-                    i += 1
-                    continue
-                j = i
-                while j < n and groups[j] == state_group and len(names[j]) > 1:
-                    j += 1
-                chosen = viterbi([list(zip(names[k], stamps[k])) for k in range(i, j)], habits[i], (habit_now, last_ms))
-                pick[i:j] = chosen
-                if names[j - 1][chosen[-1]] in ("mdy", "dmy"):
-                    habit_now = names[j - 1][chosen[-1]]
-                last_ms = stamps[j - 1][chosen[-1]]
-                i = j
-            arrays = [cols[k] for k in key_names]
-            arrays.append(pa.array([names[k][pick[k]] for k in range(n)], pa.string()))
-            arrays.append(pa.array([stamps[k][pick[k]] for k in range(n)], pa.int64()))
-            yield pa.RecordBatch.from_arrays(arrays, names=[*key_names, "reading", "utc_ms"])
-
-    return narrow.repartition(*group).sortWithinPartitions(*group, *order).mapInArrow(run, schema)
-
-
-def with_readings(rows: DataFrame) -> DataFrame:
-    """One row per stated point of time with its readings: ``notice_id, source_name, first_seen_at, field, date_order, cands``.
-
-    The three texts of a notice are read in one pass over Arrow batches; equal texts of a zone are read once per batch.
+def crossings(records: list[tuple[int, Candidates]], order: str | None) -> list[tuple[str | None, int, list[Alive]]]:
+    """Of a stretch whose past is unknown: for each habit before it and candidate of its first record, the states at its end."""
+    salt, first = records[0]
+    out = []
+    for k, (reading, ms) in enumerate(first):
+        for habit in (None,) if reading in _ORDERS else (None, *_ORDERS):
+            alive = [(reading if reading in _ORDERS else habit, ms, _own(first, k, order, salt))]
+            for later_salt, cands in records[1:]:
+                alive, _ = advance(alive, cands, order, later_salt)
+            out.append((habit, k, alive))
+    return out
+
+
+class Chain:
+    """The records of one source and field in order, as far as one task sees them.
+
+    Candidates are decided as soon as a record of one bare-number reading (or the chain's end) settles what came before it.
+    What stays open where the task's part begins or ends, or where a stretch grows too long, becomes a segment of its own:
+    ``segments`` get its records and what the pass over all segments needs (entry or crossings).
     """
-    schema = f"notice_id bigint, source_name string, first_seen_at {rows.schema['first_seen_at'].dataType.simpleString()}, field string, date_order string, cands array<struct<reading:string,utc_ms:bigint>>"
-    kind = pa.list_(pa.struct([("reading", pa.string()), ("utc_ms", pa.int64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known: dict[tuple[str, str | None], list[tuple[str, int]]] = {}
-            at, fields, cands = [], [], []
-            published, deadlines, periods, zones = (batch.column(i).to_pylist() for i in range(4, 8))
-            for i in range(batch.num_rows):
-                ends = period_ends(tidy(periods[i])) if periods[i] else (None, None)
-                for field, text in (
-                    ("published_at", published[i] and tidy(published[i])),
-                    ("bid_deadline", deadlines[i] and tidy(deadlines[i])),
-                    ("registration_start", ends[0]),
-                    ("registration_end", ends[1]),
-                ):
-                    if not text:
+    def __init__(self, order: str | None, known: bool):
+        self.order = order
+        self.entry: tuple[str | None, int | None] | None = (None, None) if known else None
+        self.records: list[tuple[int, Candidates]] = []
+
+    @staticmethod
+    def _plain(cands: Candidates) -> bool:
+        return len(cands) == 1 and cands[0][0] not in _ORDERS
+
+    def add(self, notice: int, cands: Candidates) -> list[tuple[int, str, int]] | None:
+        """Takes a record; gives (notice, reading, instant) of what is decided by it. None: cut here, the stretch is too long."""
+        decided = [(notice, *cands[0])] if len(cands) == 1 else []
+        if self.entry is not None and not self.records and len(cands) == 1:
+            self.entry = (cands[0][0] if cands[0][0] in _ORDERS else self.entry[0], cands[0][1])
+            return decided
+        if len(self.records) > 1 and self._plain(cands) and self._plain(self.records[-1][1]) and self._plain(self.records[-2][1]):
+            self.records[-1] = (notice, cands)  # what lies between such records costs the same on all paths
+        else:
+            self.records.append((notice, cands))
+        if self.entry is not None and len(cands) == 1 and cands[0][0] in _ORDERS:
+            decided += self.settle()
+            self.entry, self.records = cands[0], []
+        return decided
+
+    def settled_by(self, cands: Candidates) -> bool:
+        return self.entry is None and len(cands) == 1 and cands[0][0] in _ORDERS
+
+    def settle(self) -> list[tuple[int, str, int]]:
+        """Decides all open records; those of one reading were given before."""
+        path = best_path([(*self.entry, 0)], self.records, self.order)
+        return [(notice, *cands[k]) for (notice, cands), k in zip(self.records, path) if len(cands) > 1]
+
+    def segment(self) -> dict:
+        """The open stretch as plain data, and the chain goes on after it with its past unknown."""
+        data = {"order": self.order, "entry": self.entry, "first": self.records[0][1] if self.records else [], "open": any(len(c) > 1 for _, c in self.records)}
+        if self.entry is None:
+            data["crossings"] = crossings(self.records, self.order) if self.records else None
+        else:
+            alive: list[Alive] = [(*self.entry, 0)]
+            for salt, cands in self.records:
+                alive, _ = advance(alive, cands, self.order, salt)
+            data["alive"] = alive
+        return data
+
+
+def _segment_ends(segments: list[dict]) -> list[tuple[list[Alive], tuple[str | None, int] | None]]:
+    """For each segment of one chain, in order: the states it is entered with, and the (habit, instant) it ends in."""
+    alive: list[Alive] = [(None, None, 0)]
+    entered: list[list[Alive]] = []
+    links: list[list[int | None]] = []
+    states: list[list[Alive]] = []
+    for s in segments:
+        entered.append(alive)
+        if s["entry"] is not None:  # all before it ended in one state
+            alive = [tuple(x) for x in s["alive"]]
+            links.append([0] * len(alive))
+        elif s["crossings"] is not None:
+            best: dict[tuple[str | None, int], tuple[int, int]] = {}
+            for habit, k, ends in s["crossings"]:
+                reading, ms = s["first"][k]
+                for at, (before, then, cost) in enumerate(alive):
+                    if reading not in _ORDERS and before != habit:
                         continue
-                    found = known.get((text, zones[i]))
-                    if found is None:
-                        found = known[text, zones[i]] = readings(text, zones[i])
-                    if found:
-                        at.append(i)
-                        fields.append(field)
-                        cands.append([{"reading": r, "utc_ms": ms} for r, ms in found])
-            taken = batch.select([0, 1, 2, 3]).take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [taken.column(0), taken.column(1), taken.column(2), pa.array(fields, pa.string()), taken.column(3), pa.array(cands, kind)],
-                names=["notice_id", "source_name", "first_seen_at", "field", "date_order", "cands"],
-            )
-
-    narrow = rows.select(F.col("notice_id").cast("bigint").alias("notice_id"), "source_name", "first_seen_at", "date_order", "published_at", "bid_deadline", "registration_period", "zone")
-    return narrow.mapInArrow(run, schema)
-
-
-def normalise_times(notices: DataFrame, sources: DataFrame) -> DataFrame:
+                    for end_habit, end_ms, c in ends:
+                        total = cost + _between(before, then, reading, ms) + c
+                        if (end_habit, end_ms) not in best or total < best[end_habit, end_ms][0]:
+                            best[end_habit, end_ms] = (total, at)
+            alive = [(h, m, c) for (h, m), (c, _) in best.items()]
+            links.append([at for _, at in best.values()])
+        else:
+            links.append(list(range(len(alive))))
+        states.append(alive)
+    ends: list[tuple[str | None, int] | None] = [None] * len(segments)
+    at = min(range(len(alive)), key=lambda i: alive[i][2])
+    for i in reversed(range(len(segments))):
+        ends[i] = states[i][at][:2]
+        if segments[i]["entry"] is None:
+            at = links[i][at]
+        elif i:  # the segment before it was ended by what this one is entered with
+            known = [j for j, a in enumerate(states[i - 1]) if a[:2] == tuple(segments[i]["entry"])]
+            at = known[0] if known else min(range(len(states[i - 1])), key=lambda j: states[i - 1][j][2])
+    return [([(*s["entry"], 0)] if s["entry"] is not None else e, end) for s, e, end in zip(segments, entered, ends)]
+
+
+_FIELDS = ("published_at", "bid_deadline", "registration_start", "registration_end")
+_POINTS = "notice_id bigint, field string, source_name string, reading string, utc_ms bigint"
+
+
+def _read_and_choose(batches: Iterator[pa.RecordBatch], open_records: int) -> Iterator[pa.RecordBatch]:
+    """Notices sorted by source and record order: reads their texts and decides what can be decided inside this partition."""
+    part = TaskContext.get().partitionId()
+    out: list[tuple] = []
+    chains: dict[str, Chain] = {}
+    source, first, seq = None, True, 0
+
+    def cut(field: str, closed: bool = False) -> None:
+        nonlocal seq
+        chain = chains[field]
+        data = chain.segment()
+        records = [(notice, cands) for notice, cands in chain.records] if data["open"] else []
+        out.append((None, field, source, None, None, part, seq, json.dumps(data), json.dumps(records)))
+        seq += 1
+        chains[field] = Chain(chain.order, False)
+
+    def end() -> None:
+        """The source has no more records."""
+        for field, chain in chains.items():
+            if chain.entry is None and chain.records:
+                cut(field)
+            elif chain.records:
+                out.extend((notice, field, source, reading, ms, None, None, None, None) for notice, reading, ms in chain.settle())
+
+    def table() -> pa.RecordBatch:
+        cols = list(zip(*out)) or [()] * 9
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+        rows = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["notice_id", "field", "source_name", "reading", "utc_ms", "part", "seq", "segment", "records"])
+        out.clear()
+        return rows
+
+    for batch in batches:
+        known: dict[tuple[str, str | None], Candidates] = {}
+        notices, sources, orders, zones, published, deadlines, periods = (batch.column(i).to_pylist() for i in range(7))
+        for i in range(batch.num_rows):
+            if not chains or sources[i] != source:
+                if chains:
+                    end()
+                    first = False
+                source = sources[i]
+                chains = {field: Chain(orders[i], not first) for field in _FIELDS}
+            ends = period_ends(tidy(periods[i])) if periods[i] else (None, None)
+            for field, text in zip(_FIELDS, (published[i] and tidy(published[i]), deadlines[i] and tidy(deadlines[i]), *ends)):
+                if not text:
+                    continue
+                cands = known.get((text, zones[i]))
+                if cands is None:
+                    cands = known[text, zones[i]] = readings(text, zones[i])
+                if not cands:
+                    continue
+                chain = chains[field]
+                if chain.settled_by(cands):
+                    chain.add(notices[i], cands)
+                    out.append((notices[i], field, source, *cands[0], None, None, None, None))
+                    cut(field)
+                    chains[field].entry = cands[0]
+                    continue
+                out.extend((notice, field, source, reading, ms, None, None, None, None) for notice, reading, ms in chain.add(notices[i], cands))
+                if len(chain.records) >= open_records:
+                    cut(field)
+        yield table()
+    for field, chain in chains.items():  # the source may go on in the next partition
+        if chain.records or chain.entry is not None:
+            cut(field)
+    yield table()
+
+
+def normalise_times(notices: DataFrame, sources: DataFrame, open_records: int = OPEN_RECORDS) -> DataFrame:
     """One row per stated point of time: ``notice_id, field, source_name, reading, utc_ms``.
 
     ``notices`` needs notice_id, source_name, first_seen_at and the three text fields; ``sources`` source_name, zone and
     date_order. A notice whose source is null or unknown has the zone ``DEFAULT_ZONE`` and no declared order.
+
+    Notices are range-partitioned by source and record order, so that a source of any size is spread over tasks; each task
+    runs the Viterbi pass over its part. Where a part begins or ends among undecided values, the pass over the whole source
+    is put together from the costs of crossing each such stretch (a few numbers per partition and field, the only
+    thing that comes to the driver), and the stretches are then decided. The result is that of one pass per source.
     """
+    spark = notices.sparkSession
     habits = sources.select(F.col("source_name").alias("_source"), "zone", "date_order")
     rows = notices.join(habits, F.col("source_name") == F.col("_source"), "left")
-    points = with_readings(rows).withColumn("slice", F.date_trunc("week", F.col("first_seen_at").cast("timestamp")))
-    return choose(points, ["notice_id", "field", "source_name"], ["source_name", "field", "slice"], ["first_seen_at", "notice_id"])
+    texts = ["published_at", "bid_deadline", "registration_period"]
+    narrow = rows.select(F.col("notice_id").cast("bigint").alias("notice_id"), "source_name", "date_order", "zone", *texts, "first_seen_at")
+    ranged = narrow.repartitionByRange(partitions(spark), "source_name", "first_seen_at", "notice_id").sortWithinPartitions("source_name", "first_seen_at", "notice_id", F.xxhash64(*texts))
+    read = written(ranged.mapInArrow(lambda batches: _read_and_choose(batches, open_records), f"{_POINTS}, part int, seq int, segment string, records string"), "points")
+    decided = read.where("segment is null").select("notice_id", "field", "source_name", "reading", "utc_ms")
+
+    by_chain: dict[tuple, list[tuple]] = {}
+    for r in read.where("segment is not null").select("source_name", "field", "part", "seq", "segment").collect():
+        by_chain.setdefault((r["source_name"], r["field"]), []).append((r["part"], r["seq"], json.loads(r["segment"])))
+    plan: dict[tuple[int, int], tuple] = {}
+    for chain in by_chain.values():
+        chain.sort(key=lambda x: x[:2])
+        for (part, seq, s), ends in zip(chain, _segment_ends([s for _, _, s in chain])):
+            if s["open"]:
+                plan[part, seq] = (s["order"], *ends)
+    if not plan:
+        return decided
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for field, source, part, seq, records in zip(*(c.to_pylist() for c in batch.columns)):
+                order, alive, end = plan[part, seq]
+                records = [(notice, [tuple(c) for c in cands]) for notice, cands in json.loads(records)]
+                for (notice, cands), k in zip(records, best_path(alive, records, order, end)):
+                    if len(cands) > 1:
+                        out.append((notice, field, source, *cands[k]))
+            cols = list(zip(*out)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64()])], names=["notice_id", "field", "source_name", "reading", "utc_ms"])
+
+    left_open = read.where("segment is not null and records != '[]'").select("field", "source_name", "part", "seq", "records")
+    return decided.unionByName(left_open.mapInArrow(decide, _POINTS))

@@ -1,4 +1,4 @@
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 
@@ -105,3 +105,61 @@ def test_hot_source_is_split(spark):
     rows = spark.range(3000).selectExpr("id as notice_id", "'S' as source_name", "timestamp'2025-01-01 00:00:00' + make_dt_interval(cast(id % 400 as int)) as first_seen_at", "'2025-05-0' || (1 + id % 9) as published_at", "'' as bid_deadline", "'' as registration_period")
     sources = spark.createDataFrame([("S", "UTC", "ymd")], "source_name string, zone string, date_order string")
     assert ts.normalise_times(rows, sources).count() == 3000
+
+
+def _chosen(spark, values, sources=(), starts=None, kept=ts.OPEN_RECORDS, **conf):
+    start = datetime(2025, 4, 6)
+    rows = [(i, v[0], start + timedelta(hours=12 * i) if starts is None else starts[i], v[1], "", "") for i, v in enumerate(values)]
+    notices = spark.createDataFrame(rows, "notice_id long, source_name string, first_seen_at timestamp, published_at string, bid_deadline string, registration_period string")
+    known = spark.createDataFrame(list(sources), "source_name string, zone string, date_order string")
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return {r["notice_id"]: r["reading"] for r in ts.normalise_times(notices, known, kept).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_later_evidence_counts(spark):
+    got = _chosen(spark, [("S", v) for v in ("03/04/2025", "04/04/2025", "05/04/2025", "25/04/2025")])
+    assert [got[i] for i in range(4)] == ["dmy"] * 4
+
+
+def test_no_border_between_weeks(spark):
+    monday = datetime(2025, 4, 7)
+    starts = [monday - timedelta(days=1), monday, monday + timedelta(days=2)]
+    got = _chosen(spark, [("S", v) for v in ("25/03/2025", "03/04/2025", "05/04/2025")], starts=starts)
+    assert [got[i] for i in range(3)] == ["dmy"] * 3
+
+
+@pytest.mark.parametrize("size", ["1", "10000"])
+def test_no_border_between_batches(spark, size):
+    got = _chosen(spark, [("S", v) for v in ("12/04/2025", "01/05/2025")], **{"spark.sql.execution.arrow.maxRecordsPerBatch": size})
+    assert [got[0], got[1]] == ["mdy", "mdy"] or [got[0], got[1]] == ["dmy", "dmy"]
+    assert got == _chosen(spark, [("S", v) for v in ("12/04/2025", "01/05/2025")])
+
+
+@pytest.mark.parametrize("parts,kept", [("1", 50_000), ("7", 50_000), ("7", 3), ("40", 2)])
+def test_pass_is_whole_however_it_is_cut(spark, parts, kept):
+    """The readings are those of one pass over each source, for any number of partitions and any length of stretches."""
+    import random
+
+    rng = random.Random(3)
+    kinds = ["{m:02d}/{d:02d}/2025", "{d:02d}/{m:02d}/2025", "2025-{m:02d}-{d:02d}", "{d}.{m}.2025"]
+    values = []
+    for i in range(160):
+        source = rng.choice(["A", "A", "A", "B", None])
+        day = datetime(2025, 1, 1) + timedelta(days=i // 3 + rng.randint(-1, 1))
+        values.append((source, rng.choices(kinds, [5, 2, 2, 1])[0].format(m=day.month, d=min(day.day, 12) if rng.random() < 0.9 else day.day)))
+    sources = [("A", "UTC", "ymd"), ("B", "UTC", "dmy")]
+    expected = {}
+    for name, order in (("A", "ymd"), ("B", "dmy"), (None, None)):
+        mine = [(i, ts.readings(ts.tidy(v), "UTC" if name else None)) for i, (s, v) in enumerate(values) if s == name]
+        mine = [(i, c) for i, c in mine if c]
+        for (i, c), k in zip(mine, ts.best_path([(None, None, 0)], mine, order)):
+            expected[i] = c[k][0]
+    got = _chosen(spark, values, sources, kept=kept, **{"spark.sql.shuffle.partitions": parts})
+    assert got == expected
+    assert {"mdy", "dmy"} <= set(got.values())
