@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,19 +13,86 @@ from pyspark.sql import functions as F
 #: A side is broadcast only if its files are proven to be smaller than this.
 BROADCAST_LIMIT_BYTES = 8 * 1024 * 1024
 
+_roots: set[str] = set()
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; unset (tests, one machine), a local one is made once."""
+    """The folder all executors share, from ``spark.checkpoint.dir``.
+
+    Unset with a local master (tests, one machine), a local one is made once and removed at the end; on a cluster it is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not getattr(spark, "_noticeworks_dir", None):
-        spark._noticeworks_dir = "file://" + tempfile.mkdtemp(prefix="noticeworks-")
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="noticeworks-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark._noticeworks_dir = "file://" + folder
     return spark._noticeworks_dir
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, below one folder per application: ``clear_scratch`` removes it, and so does the end of the driver."""
+    root = f"{shared_dir(spark)}/noticeworks-{spark.sparkContext.applicationId}"
+    if root not in _roots:
+        _roots.add(root)
+        atexit.register(_forget, spark, root)
+    return f"{root}/{tag}-{uuid.uuid4().hex}"
+
+
+def _forget(spark: SparkSession, root: str) -> None:
+    try:
+        delete(spark, root)
+    except Exception:  # the session may have ended before; then clear_scratch of a later one does it
+        pass
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes all tables this application wrote to the shared folder; no DataFrame built on them can be used any more."""
+    delete(spark, f"{shared_dir(spark)}/noticeworks-{spark.sparkContext.applicationId}")
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path object, so that any store Spark can read will do."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = file_system(spark, path)
+    fs.delete(at, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder, in order; none if there is no such folder."""
+    fs, at = file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file, written whole beside its place and then moved there."""
+    fs, at = file_system(spark, path)
+    _, beside = file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    if fs.exists(at):
+        fs.delete(at, False)
+    if not fs.rename(beside, at):
+        raise OSError(f"{path} could not be put in place")
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    fs, at = file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
 
 
 def written(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -44,10 +113,8 @@ def files_size(df: DataFrame) -> int | None:
     if not files:
         return None
     total = 0
-    jvm = spark._jvm
     for name in files:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs, path = file_system(spark, name)
         total += fs.getFileStatus(path).getLen()
     return total
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..runtime import file_system
+
 # The fields of an event, and the comment by which events travel in issues.
 EVENT = "array<struct<id:string,action:string,url:string,field:string,old_value:string,new_value:string,reason:string,created_at:string,item:map<string,string>>>"
 _MARK = r"(?s)<!--\s*TENDER_FEEDBACK_JSON\s*(.*?)\s*-->"
@@ -65,14 +67,23 @@ def public(rows: DataFrame) -> DataFrame:
 
 
 def replace_table(rows: DataFrame, path: str) -> None:
-    """Writes ``rows`` beside ``path`` and puts them in its place in one rename, so that readers see the old or the new."""
+    """Writes ``rows`` beside ``path`` and puts them in its place by two renames.
+
+    The old copy is removed only when the new one is in place; if that fails, the old one is moved back and an error raised.
+    Between the renames, for a moment, there is no table at ``path``: readers that must never meet this should retry.
+    """
     spark = rows.sparkSession
     staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     public(rows).write.mode("overwrite").json(staged)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    old = hadoop.Path(f"{staged}.old")
-    if fs.exists(hadoop.Path(path)):
-        fs.rename(hadoop.Path(path), old)
-    fs.rename(hadoop.Path(staged), hadoop.Path(path))
-    fs.delete(old, True)
+    fs, here = file_system(spark, path)
+    new, old = file_system(spark, staged)[1], file_system(spark, f"{staged}.old")[1]
+    held = fs.exists(here)
+    if held and not fs.rename(here, old):
+        fs.delete(new, True)
+        raise OSError(f"{path} could not be moved away; it is as it was")
+    if not fs.rename(new, here):
+        if held and not fs.rename(old, here):
+            raise OSError(f"{path} could not be replaced; its old state is at {old}, the new one at {staged}")
+        raise OSError(f"{path} could not be replaced; it is as it was")
+    if held:
+        fs.delete(old, True)
