@@ -1,12 +1,13 @@
 """New batches checked for repeats against all accepted history (problem 3), by content-defined chunking.
 
 What names a page (fingerprint, address) is cut into chunks where a rolling hash of the last bytes says so. A table that
-lasts from batch to batch leads from chunk to accepted record. A new batch looks up its chunks there, adds up the shared
-bytes per record, and takes what is covered fully as a repeat; the chunks of the rest are appended. History itself is
-never read again, and a batch is looked up in one pass over the chunk table.
+lasts from batch to batch leads from chunk to accepted record, dealt into buckets by chunk. A key of a new batch asks there
+for its rarest chunks only, as few as what covers it must share one of; from the chunk lists found, the shared bytes are
+added up, and what is covered both ways is a repeat (or, below full coverage, alike). The chunks of the rest are appended.
+History is not gone through: its texts are never read again, its table is not shuffled, and only buckets asked for are read.
 
-Chunks that very many records share (hosts, paths) are not listed; each record keeps their sum instead, which must agree.
-A record all of whose chunks are shared that widely is listed under this sum, so nothing is lost.
+How widely a chunk is shared (hosts, paths) is counted with every batch, in a fixed number of slots, so that a chunk that
+becomes common later is no longer asked for, whatever it was before. This only steers; it changes no result.
 
 Defined results: missing fingerprints and addresses link nothing; repeated rows inside one batch link to the first of
 them; rows without a batch number count as history; an empty table gives an empty result; keys of any length are read whole.
@@ -18,20 +19,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import fingerprint_form, same_page_form
-from ..runtime import scratch_path, written
+from ..runtime import names_in, read_bytes, scratch_path, write_bytes, written
 
 #: Bytes the rolling hash looks back on, and the bits that must be zero at a cut (chunks of 16 bytes on average).
 WINDOW, CUT_BITS = 8, 4
-#: A chunk in more accepted records than this is not listed. At most HOT_LIMIT such chunks are kept in memory (8 bytes each).
-HOT, HOT_LIMIT = 64, 500_000
-#: Chunk hashes of a batch that may be broadcast (8 bytes each); a larger batch is joined by shuffle.
-BROADCAST_CHUNKS = 2_000_000
-#: Share of its bytes by which a record must be covered, both ways, to be a repeat.
-COVERAGE = 1.0
+#: Chunk occurrences of a batch up to which it is broadcast (12 bytes each, and its keys); a larger batch is joined by shuffle.
+BROADCAST_CHUNKS = 1_000_000
+#: Chunks of the first batch per bucket of the index, and slots in which the occurrences of chunks are counted (8 bytes each).
+BUCKET_CHUNKS, SLOTS = 4_000_000, 65_536
+#: Share of its bytes by which a record must be covered, both ways, to be a repeat; and to be alike.
+COVERAGE, NEAR = 1.0, 0.8
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -83,11 +85,11 @@ def chunks_of(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes.view(np.int64), lengths.astype(np.int32), begin.astype(np.int32)
 
 
-_KEY_SCHEMA = "batch int, id bigint, digest binary, total int, chunks array<bigint>, sizes array<int>"
+_KEY_SCHEMA = "batch int, id bigint, key string, digest binary, total int, chunks array<bigint>, sizes array<int>"
 
 
 def chunked_keys(rows: DataFrame) -> DataFrame:
-    """Per row and key (``batch, id, key``) its digest, its length and its chunks."""
+    """Per row and key (``batch, id, key``) the key's kind (its first letter), its digest, its length and its chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -96,125 +98,144 @@ def chunked_keys(rows: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(begin), pa.array(hashes))
             sizes = pa.ListArray.from_arrays(pa.array(begin), pa.array(lengths))
             total = pa.array(np.fromiter(map(len, keys), np.int32, len(keys)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), total, lists, sizes], names=["batch", "id", "digest", "total", "chunks", "sizes"])
+            kind = pa.array([k[:1].decode() for k in keys], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), kind, b.column(2), total, lists, sizes], names=["batch", "id", "key", "digest", "total", "chunks", "sizes"])
 
     return rows.select("batch", "id", F.unhex(F.md5("key")).alias("digest"), "key").mapInArrow(run, _KEY_SCHEMA)
 
 
-def _split_hot(keys: DataFrame, hot: object) -> DataFrame:
-    """``keys`` with widely shared chunks taken out of the lists and summed up (``hot_sum, hot_bytes``)."""
-    schema = "digest binary, id bigint, total int, chunks array<bigint>, sizes array<int>, hot_sum bigint, hot_bytes int"
+def _probes(keys: DataFrame, counts: np.ndarray, coverage: float) -> DataFrame:
+    """``keys`` with ``probe``: their rarest chunks, as many as any record that covers a key must share one of.
+
+    What shares none of chunks that hold more than 1 - ``coverage`` of a key's bytes covers less than ``coverage`` of it.
+    ``counts`` (a fixed number of slots of chunk hashes) only say which chunks are rare: results do not depend on them.
+    """
+    held = keys.sparkSession.sparkContext.broadcast(counts)
+    schema = "digest binary, id bigint, total int, chunks array<bigint>, sizes array<int>, probe array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        widely = hot.value
+        slots = held.value
         for b in batches:
-            lists, sizes = b.column(3), b.column(4)
-            flat, lens = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), sizes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            count = np.array([len(x) for x in lists], np.int64) if b.num_rows else np.zeros(0, np.int64)
-            row = np.repeat(np.arange(b.num_rows), count)
-            at = np.minimum(np.searchsorted(widely, flat), max(len(widely) - 1, 0))
-            shared = widely[at] == flat if len(widely) else np.zeros(len(flat), bool)
-            sums, bytes_ = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
-            with np.errstate(over="ignore"):
-                np.add.at(sums, row[shared], flat[shared])
-            np.add.at(bytes_, row[shared], lens[shared])
-            kept_row, kept, kept_len = row[~shared], flat[~shared], lens[~shared]
-            bare = np.setdiff1d(np.arange(b.num_rows), kept_row)
-            kept_row = np.concatenate([kept_row, bare])
-            kept, kept_len = np.concatenate([kept, sums[bare]]), np.concatenate([kept_len, np.zeros(len(bare), np.int64)])
-            order = np.argsort(kept_row, kind="stable")
-            begin = np.searchsorted(kept_row[order], np.arange(b.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.ListArray.from_arrays(pa.array(begin), pa.array(kept[order])), pa.ListArray.from_arrays(pa.array(begin), pa.array(kept_len[order].astype(np.int32))), pa.array(sums), pa.array(bytes_.astype(np.int32))],
-                names=["digest", "id", "total", "chunks", "sizes", "hot_sum", "hot_bytes"],
-            )
+            flat, lens = b.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.int64), b.column(4).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column(3)).to_numpy(zero_copy_only=False))
+            by = np.lexsort((flat, slots[flat % SLOTS], row))
+            row, flat, lens = row[by], flat[by], lens[by]
+            upto = np.cumsum(lens) - lens
+            begin = np.searchsorted(row, np.arange(b.num_rows))
+            before = upto - upto[np.minimum(begin, max(len(upto) - 1, 0))][row] if len(row) else upto
+            total = b.column(2).to_numpy(zero_copy_only=False)
+            kept = before <= (1 - coverage) * total[row] + 1e-9
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[kept], minlength=b.num_rows))]).astype(np.int32)
+            probe = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[kept]))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), probe], names=["digest", "id", "total", "chunks", "sizes", "probe"])
 
     return keys.select("digest", "id", "total", "chunks", "sizes").mapInArrow(run, schema)
 
 
+def _bytes_in(chunks: Column, sizes: Column, other: Column) -> Column:
+    """Bytes of the chunks that ``other`` has as well."""
+    return F.aggregate(F.zip_with(chunks, sizes, lambda c, n: F.when(F.array_contains(other, c), n).otherwise(0)), F.lit(0), lambda a, x: a + x)
+
+
 class ChunkStore:
-    """The lasting table from chunks to accepted records, one folder per batch below ``path``.
+    """The lasting table from chunks to accepted records, below ``path``; a store that is there already is taken up again.
 
-    A store that is there already is taken up again: its batches, and the widely shared chunks it began with.
+    Per batch it holds three things: ``index/batch=N``, the chunks of its accepted keys, dealt into buckets by chunk; ``keys-N``,
+    each key once with its owner; ``counts-N``, how often its chunks fall into each of ``SLOTS`` slots.
     """
 
-    SCHEMA = "digest binary, id bigint, owner bigint, total int, chunks array<bigint>, sizes array<int>, hot_sum bigint, hot_bytes int"
+    INDEX = "chunk bigint, id bigint, digest binary, total int, chunks array<bigint>, sizes array<int>, batch int, bucket int"
+    KEYS = "digest binary, id bigint, owner bigint, covered double, total int, chunks array<bigint>, sizes array<int>"
 
-    def __init__(self, spark, path: str | None = None):
-        self.spark = spark
+    def __init__(self, spark, path: str | None = None, coverage: float = COVERAGE):
+        self.spark, self.coverage = spark, coverage
         self.path = path or scratch_path(spark, "chunks")
-        self.folders: list[str] = []
-        self.hot = None
-        if path:
-            hadoop = spark._jvm.org.apache.hadoop.fs
-            root = hadoop.Path(path)
-            fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-            there = sorted(f.getPath().getName() for f in fs.listStatus(root)) if fs.exists(root) else []
-            self.folders = [f"{path}/{n}" for n in there if n.startswith("batch-") and fs.exists(hadoop.Path(f"{path}/{n}/_SUCCESS"))]
-            if "hot" in there:
-                self._keep_hot([r[0] for r in spark.read.schema("chunk bigint").parquet(f"{path}/hot").collect()])
-
-    def _keep_hot(self, chunks: list[int]) -> None:
-        self.hot = self.spark.sparkContext.broadcast(np.sort(np.array(chunks, np.int64)))
-
-    def _read(self) -> DataFrame:
-        return self.spark.read.schema(self.SCHEMA).parquet(*self.folders)
-
-    def _first_of(self, keys: DataFrame) -> DataFrame:
-        """Each key of a batch once, with the first row that has it."""
-        return keys.groupBy("digest").agg(F.min_by(F.struct("id", "total", "chunks", "sizes"), "id").alias("x")).select("digest", "x.*")
-
-    def learn_hot(self, keys: DataFrame) -> None:
-        """Finds the widely shared chunks of the history the store begins with; the threshold rises until they fit."""
-        counts = keys.select(F.explode("chunks").alias("chunk")).groupBy("chunk").count()
-        least = HOT
-        while True:
-            found = [r[0] for r in counts.where(F.col("count") > least).select("chunk").limit(HOT_LIMIT + 1).collect()]
-            if len(found) <= HOT_LIMIT:
-                break
-            least *= 4
-        self._keep_hot(found)
-        counts.where(F.col("count") > least).select("chunk").write.mode("overwrite").parquet(f"{self.path}/hot")
-
-    def look_up(self, keys: DataFrame, chunks: int) -> DataFrame:
-        """Per key of a batch (``keys`` once each, split) the accepted record that covers it: ``digest, owner``."""
-        wanted = keys.select("digest", "total", "hot_sum", F.explode(F.arrays_zip("chunks", "sizes")).alias("c")).select("digest", "total", "hot_sum", F.col("c.chunks").alias("chunk"))
-        listed = self._read().where("owner is null").select(F.col("id").alias("old_id"), F.col("digest").alias("old_digest"), F.col("total").alias("old_total"), F.col("hot_sum").alias("old_sum"), F.col("hot_bytes"), F.explode(F.arrays_zip("chunks", "sizes")).alias("c"))
-        listed = listed.select("old_id", "old_digest", "old_total", "old_sum", "hot_bytes", F.col("c.chunks").alias("chunk"), F.col("c.sizes").alias("bytes"))
-        if chunks <= BROADCAST_CHUNKS:  # the table is sifted where it lies; only what a batch asks for is moved
-            listed = listed.join(F.broadcast(wanted.select("chunk").distinct()), "chunk", "left_semi")
-        shared = listed.join(wanted, "chunk").groupBy("digest", "old_digest").agg(F.sum("bytes").alias("bytes"), F.first("total").alias("total"), F.first("old_total").alias("old_total"), F.first("old_id").alias("old_id"), F.first(F.when(F.col("old_sum") == F.col("hot_sum"), F.col("hot_bytes")).otherwise(0)).alias("common"))
-        covered = F.col("bytes") + F.col("common")
-        whole = shared.where((covered >= COVERAGE * F.col("total")) & (covered >= COVERAGE * F.col("old_total")))
-        if COVERAGE == 1.0:  # the same chunks in another order are another key
-            whole = whole.where("digest = old_digest")
-        return whole.groupBy("digest").agg(F.min("old_id").alias("owner"))
+        self.buckets: int | None = None
+        self.counts: dict[int, np.ndarray] = {}
+        there = set(names_in(spark, self.path)) if path else set()
+        if "buckets" in there:
+            self.buckets = int(read_bytes(spark, f"{self.path}/buckets"))
+        for name in there:
+            # the counts are written last: a batch whose append was broken off is not there
+            if name.startswith("counts-") and name.count(".") == 0:
+                self.counts[int(name[7:])] = np.frombuffer(read_bytes(spark, f"{self.path}/{name}"), np.int64)
+
+    @property
+    def batches(self) -> list[int]:
+        return sorted(self.counts)
+
+    def _index_of(self, batch: int) -> str:
+        return f"{self.path}/index/batch={batch}"
+
+    def _at(self, what: str, batch: int) -> str:
+        return f"{self.path}/{what}-{batch:06d}"
+
+    def _index(self, batches: list[int], probes: DataFrame | None = None) -> DataFrame:
+        """The index of ``batches``; of a batch that touches few buckets only these are read."""
+        index = self.spark.read.schema(self.INDEX).option("basePath", f"{self.path}/index").parquet(*[self._index_of(b) for b in batches])
+        if probes is not None and self.buckets > 1:
+            touched = [r[0] for r in probes.select(F.explode("probe").alias("c")).select(F.pmod("c", F.lit(self.buckets)).cast("int")).distinct().collect()]
+            if len(touched) < self.buckets:
+                index = index.where(F.col("bucket").isin(touched))
+        return index
+
+    def _found(self, probes: DataFrame, index: DataFrame, small: bool) -> DataFrame:
+        """``digest, owner, covered`` of the keys that a record of ``index`` covers: the best covering one, of equals the first."""
+        c = self.coverage
+        asked = probes.select(F.col("digest").alias("q_digest"), F.col("id").alias("q_id"), F.col("total").alias("q_total"), F.col("chunks").alias("q_chunks"), F.col("sizes").alias("q_sizes"), F.explode(F.array_distinct("probe")).alias("chunk"))
+        pairs = index.join(F.broadcast(asked) if small else asked, "chunk").where((F.col("id") < F.col("q_id")) & (F.col("total") >= c * F.col("q_total")) & (F.col("q_total") >= c * F.col("total")))
+        mine = _bytes_in(F.col("q_chunks"), F.col("q_sizes"), F.col("chunks")) / F.col("q_total")
+        theirs = _bytes_in(F.col("chunks"), F.col("sizes"), F.col("q_chunks")) / F.col("total")
+        covered = pairs.select("q_digest", "digest", "id", F.least(mine, theirs).alias("covered")).where(F.col("covered") >= c)
+        if c == 1.0:  # an exact check may follow: the same chunks in another order are another key
+            covered = covered.where("q_digest = digest")
+        best = covered.groupBy("q_digest").agg(F.max(F.struct("covered", (-F.col("id")).alias("first"))).alias("x"))
+        return best.select(F.col("q_digest").alias("digest"), (-F.col("x.first")).alias("owner"), "x.covered")
 
     def append(self, batch: int, keys: DataFrame) -> None:
         """Checks one batch of chunked keys and appends it: keys without an owner are accepted, the others point to theirs.
 
-        A batch that is appended again takes its own place again.
+        A batch that is appended again takes its own place again. How widely a chunk is shared is learnt with every batch.
         """
-        folder = f"{self.path}/batch-{batch:06d}"
-        self.folders = [f for f in self.folders if f != folder]
-        if self.hot is None:
-            self.learn_hot(keys)
-        mine = _split_hot(self._first_of(keys), self.hot)
-        if self.folders:
-            chunks = keys.agg(F.sum(F.size("chunks"))).first()[0] or 0
-            found = self.look_up(mine, chunks)
-            mine = mine.join(found, "digest", "left")
+        self.counts.pop(batch, None)
+        spread = keys.groupBy("digest").agg(F.min_by(F.struct("id", "total", "chunks", "sizes"), "id").alias("x")).select("digest", "x.*")
+        new = np.zeros(SLOTS, np.int64)
+        for slot, n in spread.select(F.explode("chunks").alias("c")).groupBy(F.pmod("c", F.lit(SLOTS)).cast("int").alias("slot")).count().collect():
+            new[slot] = n
+        small = int(new.sum()) <= BROADCAST_CHUNKS
+        if self.buckets is None:
+            self.buckets = max(1, -(-int(new.sum()) // BUCKET_CHUNKS))
+            write_bytes(self.spark, f"{self.path}/buckets", str(self.buckets).encode())
+        probes = _probes(spread, sum(self.counts.values(), new), self.coverage)
+        found = []
+        if self.counts:
+            found.append(self._found(probes, self._index(self.batches, probes), small))
+        if self.coverage < 1:  # equal keys are one key by now; alike ones may be in one batch
+            found.append(self._found(probes, probes.select(F.explode("chunks").alias("chunk"), "id", "digest", "total", "chunks", "sizes").distinct(), small))
+        if found:
+            best = found[0] if len(found) == 1 else found[0].unionByName(found[1]).groupBy("digest").agg(F.max(F.struct("covered", (-F.col("owner")).alias("first"))).alias("x")).select("digest", (-F.col("x.first")).alias("owner"), "x.covered")
+            decided = spread.join(F.broadcast(best) if small else best, "digest", "left")
         else:
-            mine = mine.withColumn("owner", F.lit(None).cast("bigint"))
-        mine.select("digest", "id", "owner", "total", "chunks", "sizes", "hot_sum", "hot_bytes").write.mode("overwrite").option("compression", "zstd").parquet(folder)
-        self.folders.append(folder)
+            decided = spread.withColumns({"owner": F.lit(None).cast("bigint"), "covered": F.lit(None).cast("double")})
+        decided.select("digest", "id", "owner", "covered", "total", "chunks", "sizes").write.mode("overwrite").option("compression", "zstd").parquet(self._at("keys", batch))
+        accepted = self.spark.read.schema(self.KEYS).parquet(self._at("keys", batch)).where("owner is null")
+        rows = accepted.select(F.explode(F.array_distinct("chunks")).alias("chunk"), "id", "digest", "total", "chunks", "sizes")
+        rows = rows.withColumn("bucket", F.pmod("chunk", F.lit(self.buckets)).cast("int"))
+        if self.buckets > 1:
+            rows = rows.repartition("bucket").sortWithinPartitions("bucket", "chunk")
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(self._index_of(batch))
+        write_bytes(self.spark, self._at("counts", batch), new.tobytes())
+        self.counts[batch] = new
+
+    def keys(self, batch: int) -> DataFrame:
+        return self.spark.read.schema(self.KEYS).parquet(self._at("keys", batch))
 
     def owners(self) -> DataFrame:
         """``batch, digest, owner``: for each key of each batch the row that was accepted first."""
-        parts = [self.spark.read.schema(self.SCHEMA).parquet(f).select(F.lit(int(f[-6:])).alias("batch"), "digest", F.coalesce("owner", "id").alias("owner")) for f in self.folders]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
+        out = None
+        for b in self.batches:
+            part = self.keys(b).select(F.lit(b).alias("batch"), "digest", F.coalesce("owner", "id").alias("owner"))
+            out = part if out is None else out.unionByName(part)
         return out
 
 
@@ -249,20 +270,52 @@ def follow(stream: DataFrame, store: ChunkStore, checkpoint: str):
     return stream.writeStream.foreachBatch(lambda rows, n: store.append(n, chunked_keys(page_keys(rows)).drop("batch"))).option("checkpointLocation", checkpoint)
 
 
+def content_keys(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``batch, id, key``: what the ``columns`` of each row say, none where they say nothing."""
+    text = F.concat_ws("\n", *[F.nullif(F.trim(c), F.lit("")) for c in columns])
+    return rows.select(F.coalesce("batch_no", F.lit(0)).cast("int").alias("batch"), F.col("id").cast("bigint").alias("id"), F.concat(F.lit("t:"), text).alias("key")).where("key != 't:'")
+
+
+def checked(named: DataFrame, coverage: float = COVERAGE) -> tuple[ChunkStore | None, DataFrame]:
+    """All batches of ``named`` (batch, id, key) taken one after the other by a store of their own; and the chunked keys."""
+    keys = written(chunked_keys(named), "keys", ["batch"])
+    batches = sorted(r[0] for r in keys.select("batch").distinct().collect())
+    store = ChunkStore(named.sparkSession, coverage=coverage) if batches else None
+    for batch in batches:
+        store.append(batch, keys.where(F.col("batch") == batch).drop("batch"))
+    return store, keys
+
+
 def repeats(rows: DataFrame) -> DataFrame:
     """``first_id, id`` of every row of a later batch that repeats an earlier row, directly or through further rows.
 
     ``rows``: id, batch_no, fingerprint, canonical_url. The batches are taken one after the other, in order of their number.
+    Only owners that some row names together are linked further, however many rows name them.
     """
-    spark = rows.sparkSession
-    keys = written(chunked_keys(page_keys(rows)), "keys", ["batch"])
-    batches = sorted(r[0] for r in keys.select("batch").distinct().collect())
-    if not batches:
-        return spark.createDataFrame([], "first_id bigint, id bigint")
-    store = ChunkStore(spark)
-    for batch in batches:
-        store.append(batch, keys.where(F.col("batch") == batch).drop("batch"))
-    links = keys.select("batch", "id", "digest").join(store.owners(), ["batch", "digest"]).where("owner != id")
-    found = components(links.select(F.col("id").alias("a"), F.col("owner").alias("b")))
-    later = rows.where("coalesce(batch_no, 0) >= 1").select(F.col("id").cast("bigint").alias("id"))
-    return found.join(later, F.col("node") == F.col("id")).where("root < id").select(F.col("root").alias("first_id"), "id")
+    store, keys = checked(page_keys(rows))
+    if store is None:
+        return rows.sparkSession.createDataFrame([], "first_id bigint, id bigint")
+    named = keys.select("batch", "id", "digest").join(store.owners(), ["batch", "digest"])
+    mine = written(named.groupBy("id").agg(F.min("owner").alias("low"), F.max("owner").alias("high"), F.max("batch").alias("batch")), "owners")
+    roots = components(mine.where("low != high").select(F.col("low").alias("a"), F.col("high").alias("b")).distinct())
+    out = mine.where("batch >= 1").join(roots, F.col("low") == F.col("node"), "left").select(F.coalesce("root", "low").alias("first_id"), "id")
+    return out.where("first_id < id")
+
+
+def alike(rows: DataFrame, columns: list[str], coverage: float = NEAR) -> DataFrame:
+    """``id, near_id, coverage`` of every row of a later batch whose ``columns`` an accepted row covers.
+
+    The bytes of chunks that both have make up ``coverage`` of either at least; of several records the best covering one, of
+    equals the first. A row may be covered by an earlier one of its own batch, be that accepted or not; rows of a batch that
+    say the same have what the first of them has, or repeat it.
+    """
+    store, keys = checked(content_keys(rows, columns), coverage)
+    if store is None:
+        return rows.sparkSession.createDataFrame([], "id bigint, near_id bigint, coverage double")
+    owned = None
+    for b in store.batches:
+        part = store.keys(b).select(F.lit(b).alias("batch"), "digest", F.col("id").alias("first"), "owner", "covered")
+        owned = part if owned is None else owned.unionByName(part)
+    out = keys.where("batch >= 1").select("batch", "id", "digest").join(owned, ["batch", "digest"])
+    near = F.coalesce("owner", F.when(F.col("first") < F.col("id"), F.col("first")))
+    return out.select("id", near.alias("near_id"), F.when(F.col("owner").isNotNull(), F.round("covered", 6)).otherwise(1.0).alias("coverage")).where("near_id is not null")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..tables import table
 from .bpe import decode_texts, encode_texts
-from .history import repeats
+from .history import alike, repeats
 from .leaks import find_leaks, remove_leaks
 from .looks import one_form, same_look
 from .names import link_names
@@ -29,6 +29,11 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeats(table(spark, folder, "tenders").select("id", "batch_no", "fingerprint", "canonical_url"))
 
 
+def p3_near(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of later batches whose title and summary an accepted row covers by four fifths, with that row and the coverage."""
+    return alike(table(spark, folder, "tenders").select("id", "batch_no", "title", "summary"), ["title", "summary"])
+
+
 def p5_names(spark: SparkSession, folder: str) -> DataFrame:
     """Every buyer and agency that is registered, with the organisation and the edits between."""
     rows = table(spark, folder, "tenders").select("id", "buyer", "agency")
@@ -98,7 +103,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return out.where("kind is not null").select("doc_id", "kind")
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p5_found": p5_found, "p5_names": p5_names, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_counts": p9_counts, "p9_found": p9_found, "p9_statistics": p9_statistics}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_near": p3_near, "p5_found": p5_found, "p5_names": p5_names, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_counts": p9_counts, "p9_found": p9_found, "p9_statistics": p9_statistics}
 _FOLD = "lower(translate(<text>, '" + "".join(map(chr, range(0xFF01, 0xFF5F))).replace("'", "''") + "', '" + "".join(map(chr, range(0x21, 0x7F))).replace("'", "''") + "'))"
 _LETTERS = lambda c: f"regexp_replace({_FOLD.replace('<text>', c)}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
 _PAGE = r"""lower(regexp_extract(trim(canonical_url), '(?i)^https?://([^/?#:]+)', 1)) || url_decode(regexp_replace(regexp_extract(trim(canonical_url), '(?i)^https?://[^/?#]*([^?#]*)', 1), '/+$', ''))

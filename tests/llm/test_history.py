@@ -1,6 +1,7 @@
 import random
 
-from noticeworks.llm.history import ChunkStore, chunked_keys, chunks_of, components, follow, repeats
+from noticeworks.llm import history
+from noticeworks.llm.history import ChunkStore, alike, chunked_keys, chunks_of, components, follow, repeats
 from pyspark.sql import functions as F
 
 
@@ -55,24 +56,87 @@ def test_a_store_lasts(spark, tmp_path):
     path = f"file://{tmp_path}/store"
     ChunkStore(spark, path).append(0, batch(0, 0, 500))
     again = ChunkStore(spark, path)
-    assert len(again.folders) == 1 and again.hot is not None
+    assert again.batches == [0] and again.buckets == 1
     again.append(1, batch(1, 400, 600))
     owners = ChunkStore(spark, path).owners().where("batch = 1")
     assert owners.count() == 200 and owners.where("owner < 10000").count() == 100
 
 
-def test_widely_shared_chunks_lose_nothing(spark):
-    keys = spark.range(3000).selectExpr("0 as batch", "id", "'u:h.example/portal/detail?noticeId=G' || lpad(cast(id as string), 8, '0') as key")
+def _pages(spark, batch, low, high, shift, host="h.example"):
+    return chunked_keys(spark.range(low, high).selectExpr(f"{batch} as batch", f"id + {shift} as id", f"'u:{host}/portal/detail?noticeId=G' || lpad(cast(id as string), 8, '0') as key")).drop("batch")
+
+
+def test_widely_shared_chunks_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(history, "BUCKET_CHUNKS", 2_000)  # several buckets
     store = ChunkStore(spark)
-    store.append(0, chunked_keys(keys).drop("batch"))
-    assert len(store.hot.value) > 0
-    again = spark.range(2000, 4000).selectExpr("1 as batch", "id + 10000 as id", "'u:h.example/portal/detail?noticeId=G' || lpad(cast(id as string), 8, '0') as key")
-    store.append(1, chunked_keys(again).drop("batch"))
+    store.append(0, _pages(spark, 0, 0, 3000, 0))
+    assert store.buckets > 1
+    store.append(1, _pages(spark, 1, 2000, 4000, 10_000))
     owners = store.owners().where("batch = 1")
     assert owners.where("owner < 10000").count() == 1000 and owners.count() == 2000
-    third = spark.range(3500, 3600).selectExpr("2 as batch", "id + 20000 as id", "'u:h.example/portal/detail?noticeId=G' || lpad(cast(id as string), 8, '0') as key")
-    store.append(2, chunked_keys(third).drop("batch"))
+    store.append(2, _pages(spark, 2, 3500, 3600, 20_000))
     assert store.owners().where(F.col("batch") == 2).where("owner between 13500 and 13599").count() == 100
+    # a host that becomes common only now is not asked for by its common chunks
+    store.append(3, _pages(spark, 3, 0, 2000, 30_000, "new.example"))
+    probes = history._probes(_pages(spark, 4, 0, 50, 40_000, "new.example"), sum(store.counts.values()), 1.0)
+    index = store._index(store.batches)
+    assert probes.select("digest", F.explode("probe").alias("chunk")).join(index.select("chunk", "id"), "chunk").count() <= 50 * 40
+    assert probes.where("size(probe) != 1").count() == 0
+
+
+def test_few_buckets_are_read(spark, monkeypatch):
+    monkeypatch.setattr(history, "BUCKET_CHUNKS", 200)
+    store = ChunkStore(spark)
+    store.append(0, _pages(spark, 0, 0, 2000, 0))
+    assert store.buckets > 20
+    probes = history._probes(_pages(spark, 1, 5, 7, 10_000), sum(store.counts.values()), 1.0)
+    pruned = store._index([0], probes)
+    assert pruned.select("bucket").distinct().count() <= 2
+    assert "bucket" in pruned._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_alike_against_brute_force(spark):
+    random.seed(5)
+    signs = "甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳午未申酉戌亥天地玄黄宇宙洪荒"
+    texts = []
+    for i in range(60):
+        if i > 5 and random.random() < 0.6:
+            t = list(random.choice(texts))
+            for _ in range(random.randint(0, 3)):
+                t[random.randrange(len(t))] = random.choice(signs)
+            texts.append("".join(t))
+        else:
+            texts.append("".join(random.choices(signs, k=80)))
+    rows = [(i, i // 15, t, None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([*rows, (100, 2, None, ""), (101, 2, " ", None)], "id long, batch_no int, title string, summary string")
+    parts = []
+    hashes, lengths, begin = chunks_of([f"t:{t}".encode() for t in texts])
+    for i in range(len(texts)):
+        parts.append(list(zip(hashes[begin[i] : begin[i + 1]].tolist(), lengths[begin[i] : begin[i + 1]].tolist())))
+
+    def covered(i, j):
+        inside = lambda a, b: sum(n for c, n in a if c in {x for x, _ in b}) / sum(n for _, n in a)
+        sizes = sorted(sum(n for _, n in parts[k]) for k in (i, j))
+        return min(inside(parts[i], parts[j]), inside(parts[j], parts[i])) if sizes[0] >= 0.8 * sizes[1] else 0.0
+
+    expected, accepted = {}, set()
+    for batch in range(4):
+        mine = range(batch * 15, batch * 15 + 15)
+        taken = set()
+        for i in mine:
+            first = next(k for k in mine if texts[k] == texts[i])
+            if first < i:  # the same text has the same owner
+                expected[i] = expected.get(first, (first, 1.0))
+                continue
+            options = [(covered(i, j), -j) for j in [*accepted, *(k for k in mine if k < i)] if covered(i, j) >= 0.8]
+            if options:
+                expected[i] = (-max(options)[1], round(max(options)[0], 6))
+            else:
+                taken.add(i)
+        accepted |= taken
+    got = {r["id"]: (r["near_id"], r["coverage"]) for r in alike(df, ["title", "summary"]).collect()}
+    assert got == {i: x for i, x in expected.items() if i >= 15} and len(got) > 10
+    assert alike(df.where("false"), ["title", "summary"]).count() == 0
 
 
 def test_stream_of_batches(spark, tmp_path):
@@ -83,8 +147,8 @@ def test_stream_of_batches(spark, tmp_path):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(str(tmp_path / "in" / "*"))
     store = ChunkStore(spark, f"file://{tmp_path}/store")
     follow(stream, store, str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination(180)
-    assert len(store.folders) == 2
+    assert store.batches == [0, 1]
     assert sorted((r["owner"]) for r in store.owners().where("batch = 1").collect()) == [1, 2, 5, 5]
     before = sorted(map(tuple, store.owners().collect()))
     store.append(1, chunked_keys(spark.createDataFrame([(1, 3, "u:h.example/notice?id=2"), (1, 5, "u:h.example/notice?id=5")], "batch int, id long, key string")).drop("batch"))
-    assert len(store.folders) == 2 and len(before) == 7 and store.owners().where("batch = 1 and owner = 2").count() == 1
+    assert store.batches == [0, 1] and len(before) == 7 and store.owners().where("batch = 1 and owner = 2").count() == 1
