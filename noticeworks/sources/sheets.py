@@ -126,9 +126,10 @@ def source_accounts(rows: DataFrame) -> DataFrame:
 def below_header(rows: DataFrame, *labels: str) -> DataFrame:
     """Rows below the first one that holds all ``labels``; an error if there is none."""
     marked = rows.where(F.forall(F.array(*[F.lit(x) for x in labels]), lambda x: F.exists("cells", lambda c: clean_text(c) == x)))
-    first = marked.agg(F.min("row").alias("_first"))
-    first = first.select(F.when(F.col("_first").isNull(), F.raise_error(F.lit(f"no row with {labels}")).cast("int")).otherwise(F.col("_first")).alias("_first"))
-    return rows.crossJoin(F.broadcast(first)).where(F.col("row") > F.col("_first")).drop("_first")  # one row on that side
+    first = marked.agg(F.min("row")).first()[0]
+    if first is None:
+        raise ValueError(f"no row with {labels}")
+    return rows.where(F.col("row") > first)
 
 
 def historical_tenders(rows: DataFrame, dates: tuple[int, ...] = (0, 7, 12)) -> DataFrame:
