@@ -158,25 +158,76 @@ def token_bytes(path: str) -> dict[int, bytes]:
     return {rank: token for token, rank in read_ranks(path).items()}
 
 
+class Utf8Machine:
+    """An incremental UTF-8 state machine: takes bytes in pieces of any size, gives text, and holds back unfinished characters.
+
+    What can be no character gives one replacement character for each longest beginning of one (as in the Unicode standard);
+    surrogates written as three bytes are kept if ``surrogates``.
+    """
+
+    def __init__(self, surrogates: bool = True):
+        self.surrogates = surrogates
+        self.held, self.need, self.low, self.high = bytearray(), 0, 0x80, 0xBF
+
+    def _begin(self, byte: int, out: bytearray) -> None:
+        self.low, self.high = 0x80, 0xBF
+        if byte < 0x80:
+            out.append(byte)
+            return
+        if 0xC2 <= byte <= 0xDF:
+            self.need = 1
+        elif 0xE0 <= byte <= 0xEF:
+            self.need = 2
+            self.low, self.high = 0xA0 if byte == 0xE0 else 0x80, 0x9F if byte == 0xED and not self.surrogates else 0xBF
+        elif 0xF0 <= byte <= 0xF4:
+            self.need = 3
+            self.low, self.high = 0x90 if byte == 0xF0 else 0x80, 0x8F if byte == 0xF4 else 0xBF
+        else:
+            out += _REPLACEMENT
+            return
+        self.held.append(byte)
+
+    def feed(self, piece: bytes) -> str:
+        if not self.held and piece.isascii():
+            return piece.decode("ascii")
+        out = bytearray()
+        for byte in piece:
+            if self.need and self.low <= byte <= self.high:
+                self.held.append(byte)
+                self.need -= 1
+                self.low, self.high = 0x80, 0xBF
+                if not self.need:
+                    out += self.held
+                    self.held.clear()
+                continue
+            if self.need:
+                out += _REPLACEMENT
+                self.held.clear()
+                self.need = 0
+            self._begin(byte, out)
+        return out.decode("utf-8", "surrogatepass")
+
+    def finish(self) -> str:
+        """The end of the text: an unfinished character is broken."""
+        broken = bool(self.held)
+        self.held.clear()
+        self.need = 0
+        return "\ufffd" if broken else ""
+
+
+_REPLACEMENT = "\ufffd".encode()
+
+
 def decode(ids: Iterable[int], bytes_of: dict[int, bytes]) -> Iterator[str]:
-    """Text of a stream of ids, piece by piece: an incremental UTF-8 state machine holds back unfinished characters."""
-    need, held = 0, bytearray()
+    """Text of a stream of ids, piece by piece, by an incremental UTF-8 state machine; unknown ids count as broken."""
+    machine = Utf8Machine()
     for token in ids:
-        piece = bytearray()
-        for byte in bytes_of[token]:
-            if need:
-                held.append(byte)
-                need -= 1
-                if not need:
-                    piece += held
-                    held.clear()
-            elif byte < 0x80:
-                piece.append(byte)
-            else:
-                need = 1 if byte < 0xE0 else 2 if byte < 0xF0 else 3
-                held.append(byte)
+        piece = machine.feed(bytes_of.get(token, b"\xff"))
         if piece:
-            yield piece.decode("utf-8", "surrogatepass")
+            yield piece
+    rest = machine.finish()
+    if rest:
+        yield rest
 
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"

@@ -185,17 +185,41 @@ def one_form(df: DataFrame, columns: list[str], suffix: str = "_form") -> DataFr
     return df.withColumns({c + suffix: form(F.col(c)) for c in columns})
 
 
-def same_look(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Pairs ``id_a < id_b`` of rows whose ``columns`` all look the same while not all are stored in the same characters.
+def looks(df: DataFrame, key: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``columns`` are all present, as ``id, look, stored`` (digests), and the looks stored in several ways: ``look, stored, size``.
 
-    Rows with a null or empty column have no partner. Only rows of looks with several spellings are joined, on the digest of
-    the look; adaptive execution splits a look that many rows share.
+    What is stored in the same characters is one class, however many rows have it; its size is counted before anything is joined.
     """
     present = df.select(key, *columns).where(" and ".join(f"{c} is not null and {c} != ''" for c in columns))
     formed = one_form(present, columns)
     digest = lambda cols: F.unhex(F.md5(F.concat_ws("\u0000", *cols)))
     rows = written(formed.select(F.col(key).cast("bigint").alias("id"), digest([f"{c}_form" for c in columns]).alias("look"), digest(columns).alias("stored")), "looks")
-    several = rows.groupBy("look").agg(F.min("stored").alias("low"), F.max("stored").alias("high")).where("low != high").select("look")
-    mixed = rows.join(several, "look", "left_semi")
-    a, b = mixed.select("look", F.col("id").alias("id_a"), F.col("stored").alias("stored_a")), mixed.select("look", F.col("id").alias("id_b"), F.col("stored").alias("stored_b"))
-    return a.join(b, "look").where("id_a < id_b and stored_a != stored_b").select("id_a", "id_b")
+    classes = rows.groupBy("look", "stored").agg(F.count("*").alias("size"))
+    several = classes.groupBy("look").agg(F.count("*").alias("n")).where("n > 1").select("look")
+    return rows, written(classes.join(several, "look"), "classes")
+
+
+def same_look(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Pairs ``id_a < id_b`` of rows whose ``columns`` all look the same while not all are stored in the same characters.
+
+    Rows with a null or empty column have no partner. Classes of equal rows are paired first; the rows are put in their places
+    at the end, so that what is joined is what comes out, also where many rows of a look are stored alike.
+    """
+    rows, classes = looks(df, key, columns)
+    pairs = classes.select("look", F.col("stored").alias("stored_a")).join(classes.select("look", F.col("stored").alias("stored_b")), "look").where("stored_a < stored_b")
+    x = rows.select("look", F.col("stored").alias("stored_a"), F.col("id").alias("x"))
+    y = rows.select("look", F.col("stored").alias("stored_b"), F.col("id").alias("y"))
+    out = pairs.join(x, ["look", "stored_a"]).join(y, ["look", "stored_b"]).where("x != y")
+    return out.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+
+
+def look_classes(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row per row that has a partner in ``same_look``: ``id``, ``look_id`` and ``class_id`` (the least ids of its look and of
+    the rows stored like it) and ``links``, the number of its partners. Nothing is expanded.
+    """
+    rows, classes = looks(df, key, columns)
+    totals = classes.groupBy("look").agg(F.sum("size").alias("total"))
+    mine = rows.join(classes, ["look", "stored"]).join(totals, "look")
+    least = rows.join(totals.select("look"), "look", "left_semi").groupBy("look", "stored").agg(F.min("id").alias("class_id"))
+    firsts = least.groupBy("look").agg(F.min("class_id").alias("look_id"))
+    return mine.join(least, ["look", "stored"]).join(firsts, "look").select("id", "look_id", "class_id", (F.col("total") - F.col("size")).alias("links"))

@@ -9,7 +9,7 @@ from ..tables import table
 from .bpe import decode_texts, encode_texts
 from .history import alike, repeats
 from .leaks import find_leaks, remove_leaks
-from .looks import one_form, same_look
+from .looks import look_classes, one_form, same_look
 from .names import link_names
 from .overlap import similar_groups, similar_pairs
 from .quality import text_quality
@@ -25,6 +25,11 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return same_look(table(spark, folder, "tenders"), "id", ["title", "buyer"])
 
 
+def p1_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tender with a partner of the same look: its look, its class of equally stored rows, and its number of partners."""
+    return look_classes(table(spark, folder, "tenders"), "id", ["title", "buyer"])
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeats(table(spark, folder, "tenders").select("id", "batch_no", "fingerprint", "canonical_url"))
 
@@ -103,7 +108,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return out.where("kind is not null").select("doc_id", "kind")
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_near": p3_near, "p5_found": p5_found, "p5_names": p5_names, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_counts": p9_counts, "p9_found": p9_found, "p9_statistics": p9_statistics}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p1_classes": p1_classes, "p3_found": p3_found, "p3_near": p3_near, "p5_found": p5_found, "p5_names": p5_names, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_found": p8_found, "p8_clean": p8_clean, "p9_counts": p9_counts, "p9_found": p9_found, "p9_statistics": p9_statistics}
 _FOLD = "lower(translate(<text>, '" + "".join(map(chr, range(0xFF01, 0xFF5F))).replace("'", "''") + "', '" + "".join(map(chr, range(0x21, 0x7F))).replace("'", "''") + "'))"
 _LETTERS = lambda c: f"regexp_replace({_FOLD.replace('<text>', c)}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
 _PAGE = r"""lower(regexp_extract(trim(canonical_url), '(?i)^https?://([^/?#:]+)', 1)) || url_decode(regexp_replace(regexp_extract(trim(canonical_url), '(?i)^https?://[^/?#]*([^?#]*)', 1), '/+$', ''))

@@ -54,3 +54,20 @@ def test_tables(spark):
     back = {r["doc_id"]: r["text"] for r in bpe.decode_texts(got).collect()}
     assert back == {1: "", 2: "", 3: "数据 data", 4: "x" * 100_000}
     assert bpe.encode_texts(df.where("false")).count() == 0
+
+
+def test_utf8_machine_against_the_standard():
+    random.seed(8)
+    good = "aé的🚧Ж".encode()
+    for n in range(4000):
+        data = b"".join(random.choice([good[random.randrange(len(good)) :][:2], bytes([random.randrange(256)]), "的🚧".encode()]) for _ in range(random.randint(0, 6)))
+        machine = bpe.Utf8Machine(surrogates=False)
+        cuts = sorted(random.choices(range(len(data) + 1), k=2))
+        text = "".join(machine.feed(p) for p in (data[: cuts[0]], data[cuts[0] : cuts[1]], data[cuts[1] :])) + machine.finish()
+        assert text == data.decode("utf-8", "replace"), data
+
+
+def test_broken_ids_are_decoded():
+    bytes_of = {1: b"\x80", 2: b"a", 3: b"\xe4\xbd", 4: b"\xa0"}
+    assert "".join(bpe.decode([1, 2], bytes_of)) == "\ufffda" and "".join(bpe.decode([3], bytes_of)) == "\ufffd"
+    assert "".join(bpe.decode([3, 4, 2], bytes_of)) == "你a" and "".join(bpe.decode([3, 2, 99], bytes_of)) == "\ufffda\ufffd"

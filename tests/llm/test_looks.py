@@ -1,4 +1,4 @@
-from noticeworks.llm.looks import Reader, folded, lattice, one_form, same_look
+from noticeworks.llm.looks import Reader, folded, lattice, look_classes, one_form, same_look
 
 
 def test_folding():
@@ -28,3 +28,14 @@ def test_same_look(spark):
     assert got == [(1, 2), (1, 3), (2, 3), (2, 4), (3, 4), (11, 12)]
     assert same_look(df.where("false"), "id", ["title", "buyer"]).count() == 0
     assert one_form(df, ["title"]).where("title is null and title_form is null").count() == 1
+    links = {}
+    for a, b in got:
+        links[a], links[b] = links.get(a, 0) + 1, links.get(b, 0) + 1
+    classes = {r["id"]: r for r in look_classes(df, "id", ["title", "buyer"]).collect()}
+    assert {i: r["links"] for i, r in classes.items()} == links
+    assert classes[4]["class_id"] == classes[1]["class_id"] == 1 and classes[2]["class_id"] == 2 and classes[3]["look_id"] == 1 and classes[12]["look_id"] == 11
+
+
+def test_many_equal_rows_and_one_other(spark):
+    rows = spark.range(5000).selectExpr("id", "if(id = 77, 'Ａ标', 'A标') as title", "'甲' as buyer")
+    assert same_look(rows, "id", ["title", "buyer"]).count() == 4999
