@@ -19,15 +19,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.width import fold_width
+from ..runtime import written
 
-#: Letters and digits of items that one automaton holds; more items are split and the texts read once per part.
-PART_CHARS = 4_000_000
+#: Letters and digits of items that one automaton holds; more items are split and the texts read once per part. At this size an
+#: automaton took 410 MB of a worker (measured with random Han texts).
+PART_CHARS = 500_000
 LEAST = 40
 
 
 def letters_and_digits(text: Column) -> Column:
-    """Only letters and digits, in lower case and plain width, JVM-side."""
-    return F.regexp_replace(F.lower(fold_width(text)), r"[^\p{L}\p{N}]+", "")
+    """Only letters and digits, in lower case and plain width, JVM-side; a sigma is the same at the end of a word."""
+    return F.translate(F.regexp_replace(F.lower(fold_width(text)), r"[^\p{L}\p{N}]+", ""), "ς", "σ")
 
 
 class SuffixAutomaton:
@@ -150,7 +152,7 @@ class Detector:
         return [(s, e) for s, e in merged]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _detector(items: tuple[tuple[int, str], ...], least: int) -> Detector:
     return Detector(list(items), least)
 
@@ -196,8 +198,8 @@ def with_offsets(text: str) -> tuple[str, list[int]]:
         if 0xFF01 <= ord(ch) <= 0xFF5E:
             ch = chr(ord(ch) - 0xFEE0)
         if ch.isalnum():
-            low = ch.lower()
-            kept.append(low if len(low) == 1 else low[0])
+            low = ch.lower()[0]
+            kept.append("σ" if low == "ς" else low)
             places.append(i)
     return "".join(kept), places
 
@@ -207,43 +209,53 @@ def remove_leaks(docs: DataFrame, items: DataFrame, least: int = LEAST, longest_
 
     Spans of ``longest_kept`` letters and digits or more are cut (``action`` cut); where spans cover more than
     ``most_covered`` of the letters and digits, the text is dropped (null); all other texts are kept as they are.
+
+    Each part of the items has a pass of its own, which adds its spans to those found before; between passes the rows are
+    written down, so that a worker never holds more than one automaton.
     """
-    narrow = docs.select("doc_id", "text")
-    parts = item_parts(items, "item_id", "text")
-    held = docs.sparkSession.sparkContext.broadcast(parts)
-    schema = "doc_id bigint, n_spans bigint, leaked_chars bigint, coverage double, action string, text string"
+    rows = docs.select("doc_id", "text", F.lit(None).cast("array<int>").alias("spans"))
+    for n, part in enumerate(item_parts(items, "item_id", "text")):
+        held = docs.sparkSession.sparkContext.broadcast(part)
+
+        def mark(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            detector = _detector(held.value, least)
+            for batch in batches:
+                spans = []
+                for text, before in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                    flat = with_offsets(text)[0] if text and len(text) >= least else ""
+                    found = [x for s, e in detector.spans(flat) if e - s >= longest_kept for x in (s, e)]
+                    spans.append((before or []) + found or None)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.int32()))], names=["doc_id", "text", "spans"])
+
+        rows = (written(rows, "marked") if n else rows).mapInArrow(mark, "doc_id bigint, text string, spans array<int>")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        detectors = [_detector(part, least) for part in held.value]
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            out: list[tuple] = []
+            for doc, text, found in zip(*(c.to_pylist() for c in batch.columns)):
                 spans: list[tuple[int, int]] = []
-                flat, places = "", []
-                if text and len(text) >= least:
-                    flat, places = with_offsets(text)
-                    covered = sorted(s for d in detectors for s in d.spans(flat) if s[1] - s[0] >= longest_kept)
-                    for s, e in covered:
-                        if spans and s <= spans[-1][1]:
-                            spans[-1] = (spans[-1][0], max(spans[-1][1], e))
-                        else:
-                            spans.append((s, e))
+                for s, e in sorted(zip(found[::2], found[1::2])) if found else ():
+                    if spans and s <= spans[-1][1]:
+                        spans[-1] = (spans[-1][0], max(spans[-1][1], e))
+                    else:
+                        spans.append((s, e))
                 if not spans:
-                    rows.append((doc, 0, 0, 0.0, "keep", text))
+                    out.append((doc, 0, 0, 0.0, "keep", text))
                     continue
+                flat, places = with_offsets(text)
                 leaked = sum(e - s for s, e in spans)
                 share = leaked / len(flat)
                 if share > most_covered:
-                    rows.append((doc, len(spans), leaked, share, "drop", None))
+                    out.append((doc, len(spans), leaked, share, "drop", None))
                     continue
                 kept, at = [], 0
                 for s, e in spans:
                     kept.append(text[at : places[s]])
                     at = places[e - 1] + 1
                 kept.append(text[at:])
-                rows.append((doc, len(spans), leaked, share, "cut", "".join(kept)))
-            cols = list(zip(*rows)) or [()] * 6
+                out.append((doc, len(spans), leaked, share, "cut", "".join(kept)))
+            cols = list(zip(*out)) or [()] * 6
             types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "n_spans", "leaked_chars", "coverage", "action", "text"])
 
-    return narrow.mapInArrow(run, schema)
+    return rows.mapInArrow(cut, "doc_id bigint, n_spans bigint, leaked_chars bigint, coverage double, action string, text string")

@@ -173,8 +173,17 @@ def measure(texts: list[str], spaced: frozenset[str], whole: re.Pattern | None)
     rule = np.zeros(m, bool)
     item = np.zeros(m, bool)
     maybe_item = (l_han + WORD_SIZE * l_word <= QUANTITY_ITEM_SIZE + 8) & ((wide_comma == 0) | (l_han + WORD_SIZE * l_word <= QUANTITY_ITEM_SIZE + 8))
+    # one thing over and over has its first two characters four times at least (unit <= a quarter, four fifths covered)
+    opens = np.zeros(len(bits), np.int64)
+    opens[begin] = 1
+    line_of = np.maximum(np.cumsum(opens) - 1, 0)
+    again = np.zeros(len(bits), bool)
+    if m:
+        again[:-1] = (points[:-1] == points[begin][line_of[:-1]]) & (points[1:] == points[np.minimum(begin + 1, len(points) - 1)][line_of[:-1]])
+    maybe_periodic = (length >= 8) & (per_line(again) >= 4)
     at = begin - starts[owner]
-    for i in np.flatnonzero((tags > 0) | (percents >= 6) | (commas >= 2) | bullets | maybe_item | (pipes > 0) | (length >= 8)):
+    # only lines that one of the patterns can match are looked at as text
+    for i in np.flatnonzero((tags > 0) | (percents >= 6) | (commas >= 2) | bullets | maybe_item | (pipes > 0) | maybe_periodic):
         text = texts[owner[i]]
         line = text[at[i] : at[i] + length[i]]
         if bullets[i]:

@@ -100,7 +100,7 @@ def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
 def p9_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Those statistics of every document that SQL can give as well."""
     out = text_quality(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "common_words"))
-    return out.select("doc_id", "n_chars", "word_count", "mean_word_length", "symbol_ratio", "punct_line_share")
+    return out.select("doc_id", "n_chars", "word_count", "mean_word_length", "symbol_ratio", "punct_line_share", "common_share")
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,8 +124,10 @@ SQL: dict[str, str] = {
       length(t) - length(regexp_replace(t, '[\p{{L}}\p{{N}}]', '', 'g')) AS letters, length(regexp_replace(t, '{_SPACE}', '', 'g')) AS ink,
       length(t) - length(regexp_replace(t, '[\p{{S}}#@^_~*|\\<>{{}}\[\]=+$%&/]', '', 'g')) AS symbols FROM d),
     l AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE contains('{_STOPS}', right(x, 1))) AS stops FROM (SELECT doc_id, regexp_replace(x, '^{_SPACE}+|{_SPACE}+$', '', 'g') AS x FROM (SELECT doc_id, unnest(string_split_regex(t, '[\n\r\x{{0b}}\x{{0c}}\x{{85}}\x{{2028}}\x{{2029}}]')) AS x FROM d)) WHERE x <> '' GROUP BY doc_id)
+    , g AS (SELECT string_agg(word, '|' ORDER BY length(word) DESC, word) FILTER (WHERE NOT regexp_matches(word, '^[\x00-\x7f]*$')) AS whole, list(lower(word)) FILTER (WHERE regexp_matches(word, '^[\x00-\x7f]+$')) AS spaced FROM common_words),
+    h AS (SELECT doc_id, len(regexp_extract_all(lower(t), whole)) + len(list_filter(regexp_extract_all(lower(t), '[a-z]+(?:[''’-][a-z]+)*'), lambda w: list_contains(spaced, w))) AS common FROM d, g)
     SELECT c.doc_id, n_chars, word_count, CASE WHEN word_count > 0 THEN round(letters / word_count, 6) END AS mean_word_length, CASE WHEN ink > 0 THEN round(symbols / ink, 6) END AS symbol_ratio,
-      round(stops / n, 6) AS punct_line_share FROM c LEFT JOIN l ON c.doc_id = l.doc_id""",
+      round(stops / n, 6) AS punct_line_share, CASE WHEN word_count > 0 THEN round(common / word_count, 6) END AS common_share FROM c JOIN h ON c.doc_id = h.doc_id LEFT JOIN l ON c.doc_id = l.doc_id""",
     "p3_found": f"""WITH RECURSIVE k AS (
         SELECT id, 'f' || lower(regexp_extract(fingerprint, '([0-9A-Fa-f]{{64}})', 1)) AS key FROM tenders WHERE regexp_matches(coalesce(fingerprint, ''), '[0-9A-Fa-f]{{64}}')
         UNION ALL SELECT id, 'u' || {_PAGE} FROM tenders WHERE regexp_matches(trim(coalesce(canonical_url, '')), '(?i)^https?://')),

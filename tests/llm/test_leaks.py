@@ -40,3 +40,27 @@ def test_leaks_and_removal(spark):
     assert out[1]["action"] == "cut" and out[1]["text"] == "前文。，后文" + "甲" * 200 and out[1]["leaked_chars"] == 45
     assert out[5]["action"] == "drop" and out[5]["text"] is None and out[2]["action"] == "keep" and out[3]["text"] is None
     assert leaks.find_leaks(d, i.where("false")).count() == 0 and leaks.find_leaks(d.where("false"), i).count() == 0
+
+
+def test_parts_of_items_give_the_same(spark, monkeypatch):
+    random.seed(6)
+    items = [(k, "".join(chr(0x4E00 + random.randrange(900)) for _ in range(70))) for k in range(12)]
+    docs = [(n, "".join(random.choice(items)[1][random.randrange(20) :] + "间隔文字" * random.randint(0, 20) for _ in range(random.randint(0, 3)))) for n in range(40)]
+    docs.append((0, docs[0][1]))  # a repeated row
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, leaks.remove_leaks(d, i).collect()), key=str)
+    found = sorted(map(tuple, leaks.find_leaks(d, i).collect()))
+    monkeypatch.setattr(leaks, "PART_CHARS", 200)
+    assert len(leaks.item_parts(i, "item_id", "text")) > 2
+    assert sorted(map(tuple, leaks.remove_leaks(d, i).collect()), key=str) == whole and {r[4] for r in whole} == {"keep", "cut", "drop"}
+    assert sorted(map(tuple, leaks.find_leaks(d, i).collect())) == found
+    assert {r[0] for r in whole if r[4] != "keep"} == {x[0] for x in found}
+    assert leaks.remove_leaks(d, i.where("false")).where("action = 'keep'").count() == 41
+
+
+def test_sigma_is_one_letter(spark):
+    word = "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣ"
+    d = spark.createDataFrame([(1, f"{word} {word} {word}. " + "x" * 200)], "doc_id long, text string")
+    i = spark.createDataFrame([(2, f"{word}{word}{word}")], "item_id long, text string")
+    assert leaks.find_leaks(d, i).count() == 1
+    assert leaks.remove_leaks(d, i).first()["action"] == "cut"
