@@ -3,8 +3,9 @@
 A record is the set of its character trigrams. The trigrams are dealt into ``shards`` by hash: where two sets reach the
 similarity, their parts in at least one shard do too, so each shard is searched by itself and nothing is lost. Inside a
 shard, DivideSkip: the short inverted lists (each record's rarest trigrams) are merged, and only the pairs they bring up
-are probed, by binary search, in the long lists until the required overlap is certain. Equal sets are searched once. More
-records than one task holds are searched block against block. Pairs are then measured exactly.
+are probed, by binary search, in the long lists until the required overlap is certain. Equal sets are searched once. Where
+a shard is too large for a task, its short lists are shuffled by key, so that each record is copied a bounded number of
+times. Pairs are then measured exactly.
 
 Defined results: null parts count as empty; records without content or with fewer than three letters have no partner;
 equal sets are similar (1.0), however many rows share one; repeated keys are rows of their own; an empty table gives an
@@ -26,8 +27,12 @@ from pyspark.sql import functions as F
 from ..runtime import written
 
 SIMILARITY = Fraction(3, 5)
-#: Parts the trigrams are dealt into, and records that one task holds of a shard (in two blocks, where there are several).
+#: Parts the trigrams are dealt into, and records that one task holds of a shard.
 SHARDS, TASK_RECORDS = 16, 240_000
+#: Short lists a record is in, about (pairs of the six rarest of ten tokens): cells are made that many times as small.
+KEYS = 16
+#: Slots in which tokens are counted where tasks must agree on what is rare (8 bytes each).
+SLOTS = 1 << 20
 #: Records dealt at once.
 DEALT = 4_000
 #: Entries of merged lists held at once by one task.
@@ -84,19 +89,57 @@ def need(a: np.ndarray | int, b: np.ndarray | int, t: Fraction) -> np.ndarray |
     return -(-(num * (a + b)) // den)
 
 
-def _pairs_of(ranks: np.ndarray, starts: np.ndarray, docs: np.ndarray, prefix: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each of ``docs`` all pairs of its ``prefix`` rarest tokens, as one number each, and whose they are."""
-    keys, owners = [], []
-    for j in range(1, int(prefix.max(initial=0))):
-        mine = docs[prefix > j]
-        second = ranks[starts[mine] + j]
-        for i in range(j):
-            keys.append(ranks[starts[mine] + i] * vocabulary + second)
-            owners.append(mine)
-    return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.empty(0, np.int64), np.empty(0, np.int64))
+class _Sets:
+    """Token sets of many records (one after the other, any order inside), each in order from its rarest token on.
 
+    Rarity is what ``weight`` says of a token (equal ones by number), or how many of these records have it.
+    """
 
-def _meetings(l_key: np.ndarray, l_doc: np.ndarray, q_key: np.ndarray, q_doc: np.ndarray, sizes: np.ndarray, t: Fraction, block: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def __init__(self, sizes: np.ndarray, tokens: np.ndarray, weight: np.ndarray | None = None):
+        self.sizes = sizes
+        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        values, token, df = np.unique(tokens, return_inverse=True, return_counts=True)
+        rare = np.argsort(df if weight is None else weight[values % len(weight)], kind="stable")
+        self.v = len(values)
+        self.value = values[rare]
+        rank = np.empty(self.v, np.int64)
+        rank[rare] = np.arange(self.v)
+        self.probe_key = np.sort(self.doc * self.v + rank[token])  # a token in a record: by binary search
+        self.ranks = self.probe_key - self.doc * self.v
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+
+    def _pairs_of(self, docs: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each of ``docs`` all pairs of its ``prefix`` rarest tokens, as one number each, and whose they are."""
+        keys, owners = [], []
+        for j in range(1, int(prefix.max(initial=0))):
+            mine = docs[prefix > j]
+            second = self.value[self.ranks[self.starts[mine] + j]]
+            for i in range(j):
+                keys.append(self.value[self.ranks[self.starts[mine] + i]] << 32 | second)
+                owners.append(mine)
+        return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+    def lists(self, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Short lists and who asks for them: ``(key, record listed, key, record asking)``.
+
+        If two sets share o tokens, then of each one's |set| - o + k rarest they share k. Up to ``PAIRED`` tokens the short
+        lists are merged for k = 2, by listing pairs of rare tokens; larger sets, and those so small that one may do, for k = 1.
+        """
+        sizes, doc = self.sizes, self.doc
+        least = -(-(t.numerator * sizes) // t.denominator)  # overlap with the smallest possible partner
+        listed, asked = sizes - need(sizes, sizes, t), sizes - least
+        paired = sizes <= PAIRED
+        two = np.flatnonzero(paired & (sizes > 1))
+        yield (*self._pairs_of(two, np.minimum(listed[two] + 2, sizes[two])), *self._pairs_of(two, np.minimum(asked[two] + 2, sizes[two])))
+        place = np.arange(len(doc)) - self.starts[doc]
+        lone = sizes[doc] * t.numerator <= t.denominator  # one shared token may do
+        large = sizes[doc] * t.denominator > PAIRED * t.numerator
+        in_list = (lone | large) & (place < listed[doc] + 1)
+        asks = (lone | ~paired[doc]) & (place < asked[doc] + 1)
+        yield self.value[self.ranks[in_list]], doc[in_list], self.value[self.ranks[asks]], doc[asks]
+
+
+def _meetings(l_key: np.ndarray, l_doc: np.ndarray, q_key: np.ndarray, q_doc: np.ndarray, sizes: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Distinct (asking, listed) records that meet in a list, the asking one the larger (of equals the later)."""
     by = np.argsort(l_key, kind="stable")
     l_key, l_doc = l_key[by], l_doc[by]
@@ -118,45 +161,22 @@ def _meetings(l_key: np.ndarray, l_doc: np.ndarray, q_key: np.ndarray, q_doc: np
         at = stop
         sx, sy = sizes[x], sizes[y]
         keep = ((sy < sx) | ((sy == sx) & (y < x))) & (sy * t.denominator >= sx * t.numerator)
-        if block is not None:
-            keep &= block[x] != block[y]
         pair = np.unique(x[keep] * n + y[keep])
         yield pair // n, pair % n
 
 
-def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction, block: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction, weight: np.ndarray | None = None, cell: tuple[int, int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of records (by position) whose sets reach similarity ``t``. ``tokens``: all sets, one after the other.
 
-    ``block``: only pairs of different blocks are looked for.
-
-    If two sets share o tokens, then of each one's |set| - o + k rarest they share k. Up to ``PAIRED`` tokens the short
-    lists are merged for k = 2, by listing pairs of rare tokens; larger sets, and those so small that one may do, for k = 1.
+    ``cell``: (i, n), only the lists whose key falls into the i-th of n cells are merged; the same ``weight`` must hold in all.
     """
-    n = len(sizes)
-    doc = np.repeat(np.arange(n), sizes)
-    _, token, df = np.unique(tokens, return_inverse=True, return_counts=True)
-    v = len(df)
-    rank = np.empty(v, np.int64)
-    rank[np.argsort(df, kind="stable")] = np.arange(v)
-    probe_key = np.sort(doc * v + rank[token])  # a token in a record: by binary search
-    ranks = probe_key - doc * v
-    del token, rank
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    least = -(-(t.numerator * sizes) // t.denominator)  # overlap with the smallest possible partner
-    listed, asked = sizes - need(sizes, sizes, t), sizes - least
-    everyone = np.arange(n)
-    paired = sizes <= PAIRED
-    parts = []
-    two = everyone[paired & (sizes > 1)]
-    parts.append((*_pairs_of(ranks, starts, two, np.minimum(listed[two] + 2, sizes[two]), v), *_pairs_of(ranks, starts, two, np.minimum(asked[two] + 2, sizes[two]), v)))
-    place = np.arange(len(doc)) - starts[doc]
-    lone = sizes[doc] * t.numerator <= t.denominator  # one shared token may do
-    large = sizes[doc] * t.denominator > PAIRED * t.numerator
-    in_list = (lone | large) & (place < listed[doc] + 1)
-    asks = (lone | ~paired[doc]) & (place < asked[doc] + 1)
-    parts.append((ranks[in_list], doc[in_list], ranks[asks], doc[asks]))
-    for part in parts:
-        for x, y in _meetings(*part, sizes, t, block):
+    sets = _Sets(sizes, tokens, weight)
+    probe_key, v, ranks, starts = sets.probe_key, sets.v, sets.ranks, sets.starts
+    for l_key, l_doc, q_key, q_doc in sets.lists(t):
+        if cell is not None:
+            mine, asking = _cell_of(l_key, cell[1]) == cell[0], _cell_of(q_key, cell[1]) == cell[0]
+            l_key, l_doc, q_key, q_doc = l_key[mine], l_doc[mine], q_key[asking], q_doc[asking]
+        for x, y in _meetings(l_key, l_doc, q_key, q_doc, sizes, t):
             for at in range(0, len(x), MERGED // 16):
                 px, py = x[at : at + MERGED // 16], y[at : at + MERGED // 16]
                 s = sizes[py]  # the smaller one's tokens are probed in the larger one
@@ -168,6 +188,10 @@ def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction, block: np.ndarray
                 yield px[good], py[good]
 
 
+def _cell_of(keys: np.ndarray, n: int) -> np.ndarray:
+    return (_mixed(keys) % np.uint64(n)).astype(np.int64)
+
+
 def similarity(a: str, b: str) -> float:
     """Shared trigrams over all trigrams of two bare texts, 0 if there are none."""
     x, y = grams_of(a), grams_of(b)
@@ -196,52 +220,70 @@ def bare_records(rows: DataFrame, key: str, parts: list[str]) -> DataFrame:
     return rows.select(F.col(key).cast("bigint").alias("id"), text.alias("t")).mapInArrow(run, "id bigint, bare string, digest binary")
 
 
+def token_weights(records: DataFrame, shards: int) -> np.ndarray:
+    """How often tokens occur in ``records``, in ``SLOTS`` slots: an order of rarity that is the same in all tasks."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, DEALT):
+                total += np.bincount(dealt_sets(batch.column(0).slice(at, DEALT).to_pylist(), shards)[2] % SLOTS, minlength=SLOTS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["slot", "n"])
+
+    weight = np.zeros(SLOTS, np.int64)
+    for slot, n in records.select("bare").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n")).collect():
+        weight[slot] = n
+    return weight
+
+
 def candidates(records: DataFrame, t: Fraction = SIMILARITY, shards: int = SHARDS, task_records: int = TASK_RECORDS) -> DataFrame:
-    """Pairs ``a < b`` of ``records`` (``id, bare``) whose sets reach ``t`` in some shard; each pair once."""
+    """Pairs ``a < b`` of ``records`` (``id, bare``) whose sets reach ``t`` in some shard; each pair once.
+
+    Where a shard has more records than a task holds, its lists are dealt into cells by their key, and a record's part goes to
+    the cells of its own short lists: to ``KEYS`` or so at most, however many records and cells there are.
+    """
     n = records.count()
-    blocks = 1 if n <= task_records else -(-2 * n // task_records)
-    tasks = [(i, j) for i in range(blocks) for j in range(i, blocks) if i != j or blocks == 1]
-    if blocks > 1:  # a block by itself is searched too
-        tasks += [(i, i) for i in range(blocks)]
-    place = {pair: k for k, pair in enumerate(tasks)}
+    cells = 1 if n <= task_records else -(-KEYS * n // task_records)
+    weight = token_weights(records, shards) if cells > 1 else None
+    held = records.sparkSession.sparkContext.broadcast(weight)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, DEALT):
                 ids = batch.column(0).slice(at, DEALT).to_numpy(zero_copy_only=False).astype(np.int64)
                 shard, record, token = dealt_sets(batch.column(1).slice(at, DEALT).to_pylist(), shards)
-                home = (_mixed(ids) % np.uint64(blocks)).astype(np.int64)
                 bounds = np.searchsorted(shard, np.arange(shards + 1))
-                cells, packed = [], []
+                packed: list[tuple[int, bytes, bytes, bytes]] = []
                 for s in range(shards):
-                    r, k = record[bounds[s] : bounds[s + 1]], token[bounds[s] : bounds[s + 1]].astype(np.uint32)
-                    for b in range(blocks):
-                        mine = home[r] == b if blocks > 1 else slice(None)
-                        who, counts = np.unique(r[mine], return_counts=True)
-                        if not len(who):
-                            continue
-                        row = (ids[who].tobytes(), counts.astype(np.int32).tobytes(), k[mine].tobytes(), b)
-                        for other in range(blocks):
-                            cells.append(s * len(tasks) + place[min(b, other), max(b, other)])
-                            packed.append(row)
+                    r, k = record[bounds[s] : bounds[s + 1]], token[bounds[s] : bounds[s + 1]]
+                    who, first, counts = np.unique(r, return_index=True, return_counts=True)
+                    if not len(who):
+                        continue
+                    if cells == 1:
+                        packed.append((s, ids[who].tobytes(), counts.astype(np.int32).tobytes(), k.astype(np.uint32).tobytes()))
+                        continue
+                    visits = np.unique(np.concatenate([_cell_of(key, cells) * len(who) + doc for part in _Sets(counts, k, held.value).lists(t) for key, doc in (part[:2], part[2:])]))
+                    place, mine = visits // len(who), visits % len(who)
+                    edges = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True]) if len(place) else []
+                    for low, high in zip(edges[:-1], edges[1:]):
+                        some = mine[low:high]
+                        c = counts[some]
+                        at_token = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c) + np.repeat(first[some], c)
+                        packed.append((s * cells + int(place[low]), ids[who[some]].tobytes(), c.astype(np.int32).tobytes(), k[at_token].astype(np.uint32).tobytes()))
                 columns = list(zip(*packed)) or [(), (), (), ()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells, pa.int32()), *[pa.array(c, pa.binary()) for c in columns[:3]], pa.array(columns[3], pa.int32())], names=["cell", "ids", "sizes", "tokens", "block"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["cell", "ids", "sizes", "tokens"])
 
-    def join(group: pa.Table) -> pa.Table:
+    def join(key: tuple, group: pa.Table) -> pa.Table:
         ids = np.frombuffer(b"".join(group.column("ids").to_pylist()), np.int64)
-        counts = [np.frombuffer(x, np.int32) for x in group.column("sizes").to_pylist()]
-        block = np.repeat(group.column("block").to_numpy(), [len(c) for c in counts])
-        sizes = np.concatenate(counts).astype(np.int64)
+        sizes = np.frombuffer(b"".join(group.column("sizes").to_pylist()), np.int32).astype(np.int64)
         tokens = np.frombuffer(b"".join(group.column("tokens").to_pylist()), np.uint32).astype(np.int64)
-        apart = block if len(block) and block.min() != block.max() else None
-        found = [np.stack([ids[y], ids[x]]) for x, y in search(sizes, tokens, t, apart)]
+        found = [np.stack([ids[y], ids[x]]) for x, y in search(sizes, tokens, t, held.value, (key[0].as_py() % cells, cells) if cells > 1 else None)]
         a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
-    dealt = records.select("id", "bare").mapInArrow(deal, "cell int, ids binary, sizes binary, tokens binary, block int")
-    dealt = dealt.repartition(shards * len(tasks), "cell")
+    dealt = records.select("id", "bare").mapInArrow(deal, "cell int, ids binary, sizes binary, tokens binary")
+    dealt = dealt.repartition(min(shards * cells, 100_000), "cell")
     return dealt.groupBy("cell").applyInArrow(join, "a bigint, b bigint").distinct()
 
 
