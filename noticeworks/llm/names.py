@@ -7,7 +7,8 @@ radius are found by an edit metric: insertion, deletion and swap of neighbours c
 (a character no registered name has, or one of like sound, or between Latin letters) and else 2.
 
 Defined results: null and empty names mean nobody; a name with two equally near organisations means nobody; equal typed
-names are looked up once; an empty register or table gives an empty result; names of any length are compared whole.
+names are looked up once; an empty register or table gives an empty result; names of any length are compared whole; forms
+of one or two characters mean an organisation only as they are.
 """
 
 from __future__ import annotations
@@ -25,8 +26,13 @@ from .looks import CLASSES, folded
 
 #: Edits at most between a typed name and a form of a registered one.
 RADIUS = 1
-#: Pivots, and the forms they are chosen from at most (the smallest by hash: a bounded sample, only speed depends on it).
-PIVOTS, PIVOT_SAMPLE = 12, 1500
+#: Pivots at least and at most (one for FORMS_PER_PIVOT forms), and the forms they are chosen from at most (the smallest by hash: a
+#: bounded sample, only speed depends on it).
+PIVOTS, MOST_PIVOTS, FORMS_PER_PIVOT, PIVOT_SAMPLE = 12, 96, 20_000, 1500
+#: Typed names of one cell and ring that a task compares at most, on average; more are dealt out, each part with all forms.
+PART_NAMES = 20_000
+#: Forms shorter than this mean an organisation only as they are: an edit would leave too little of them.
+SHORTEST_NEAR = 3
 #: Resolved names that may be broadcast; more are joined by shuffle.
 BROADCAST_NAMES = 100_000
 
@@ -164,7 +170,7 @@ def forms_of(org: int, name: str, kind: str | None, city: str | None, short: str
         forms.setdefault(text, level)
     if short and core(short):
         forms.setdefault(core(short), 1)
-    return [(text, org, level) for text, level in forms.items() if len(text) >= 3]
+    return [(text, org, level) for text, level in forms.items() if text]
 
 
 class Metric:
@@ -248,7 +254,8 @@ def radius_join(typed: DataFrame, forms: DataFrame, letters: frozenset[str], rad
     """``core, form, distance`` of all typed names and forms within ``radius``; both sides are tables of distinct texts."""
     spark, reach = typed.sparkSession, 2 * radius
     sample = [r[0] for r in forms.orderBy(F.xxhash64("form"), "form").limit(PIVOT_SAMPLE).collect()]
-    pivots = choose_pivots(sample, Metric(letters))
+    count = PIVOTS if len(sample) < PIVOT_SAMPLE else min(MOST_PIVOTS, max(PIVOTS, forms.count() // FORMS_PER_PIVOT))
+    pivots = choose_pivots(sample, Metric(letters), count)
     if not pivots:
         return spark.createDataFrame([], "core string, form string, distance int")
 
@@ -315,8 +322,14 @@ def radius_join(typed: DataFrame, forms: DataFrame, letters: frozenset[str], rad
         x, y, d = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
         return pa.table({"core": pa.array([cores[i] for i in x], pa.string()), "form": pa.array([texts[i] for i in y], pa.string()), "distance": pa.array(d.astype(np.int32))})
 
-    left = asked.repartition(n, "cell", "ring").groupBy("cell", "ring")
-    right = placed.groupBy("cell", "ring")
+    # cells that many names ask for are dealt out by name; counts of cells and rings are as bounded as rings are
+    asked = written(asked, "asked")
+    many = {(r["cell"], r["ring"]): -(-r["count"] // PART_NAMES) for r in asked.groupBy("cell", "ring").count().collect() if r["count"] > PART_NAMES}
+    parts = F.lit(1)
+    for (cell, ring), k in many.items():
+        parts = F.when((F.col("cell") == cell) & (F.col("ring") == ring), k).otherwise(parts)
+    left = asked.withColumn("part", F.pmod(F.xxhash64("core"), parts).cast("int") if many else F.lit(0)).repartition(n, "cell", "ring", "part").groupBy("cell", "ring", "part")
+    right = placed.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)) if many else F.lit(0)).groupBy("cell", "ring", "part")
     return left.cogroup(right).applyInArrow(inside, "core string, form string, distance int")
 
 
@@ -333,7 +346,7 @@ def link_names(rows: DataFrame, register: DataFrame, key: str, fields: list[str]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([core(v) for v in batch.column(0).to_pylist()], pa.string())], names=["value", "core"])
 
     values = written(typed.select("value").distinct().mapInArrow(cores, "value string, core string").where("core != ''"), "values")
-    provinces = sorted(r["p"] for r in register.select(F.regexp_extract("name", "^(..)省", 1).alias("p")).where("p != ''").distinct().limit(100).collect())
+    provinces = sorted(r["p"] for r in register.select(F.regexp_extract("name", "^(..)省", 1).alias("p")).where("p != ''").distinct().collect())
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,11 +359,11 @@ def link_names(rows: DataFrame, register: DataFrame, key: str, fields: list[str]
     low = spelled.groupBy("form").agg(F.min("level").alias("low"))
     lowest = spelled.join(low, "form").where("level = low").groupBy("form").agg(F.min("org_id").alias("org_id"), F.count("*").alias("n"), F.first("level").alias("level"))
     forms = written(lowest.select("form", F.when(F.col("n") == 1, F.col("org_id")).alias("org_id"), "level"), "lowest")
-    letters = frozenset(TELLING) | frozenset(r["c"] for r in register.select(F.explode(F.split("name", "")).alias("c")).where("c != ''").distinct().limit(50_000).collect())
+    letters = frozenset(TELLING) | frozenset(r["c"] for r in register.select(F.explode(F.split("name", "")).alias("c")).where("c != ''").distinct().collect())  # bounded by Unicode
     distinct = values.select("core").distinct()
     exact = distinct.join(forms, F.col("core") == F.col("form")).select("core", "org_id", F.lit(0).alias("distance"))
     rest = distinct.join(forms.select(F.col("form").alias("core")), "core", "left_anti")
-    near = radius_join(rest, forms.select("form"), letters, radius).join(forms, "form")
+    near = radius_join(rest, forms.select("form").where(F.length("form") >= SHORTEST_NEAR), letters, radius).join(forms, "form")
 
     def sounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         metric = Metric(letters)

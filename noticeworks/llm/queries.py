@@ -139,6 +139,14 @@ SQL: dict[str, str] = {
     n AS (SELECT notice_id, count(*) AS n FROM g GROUP BY notice_id),
     o AS (SELECT a.notice_id AS x, b.notice_id AS y, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.notice_id < b.notice_id GROUP BY 1, 2)
     SELECT x AS notice_id_a, y AS notice_id_b FROM o JOIN n p ON p.notice_id = x JOIN n q ON q.notice_id = y WHERE c >= 0.6 * (p.n + q.n - c)""",
+    "p6_groups": r"""WITH RECURSIVE s AS (SELECT notice_id, regexp_replace(lower(coalesce(title, '') || coalesce(project_name, '') || project_content), '[^\p{L}\p{N}]+', '', 'g') AS t FROM verified_notices WHERE project_content <> ''),
+    g AS (SELECT DISTINCT notice_id, substr(t, i, 3) AS g FROM (SELECT notice_id, t, unnest(range(1, length(t) - 1)) AS i FROM s)),
+    n AS (SELECT notice_id, count(*) AS n, list_sort(list(g)) AS whole FROM g GROUP BY notice_id),
+    c AS (SELECT notice_id, min(notice_id) OVER (PARTITION BY whole) AS class_id FROM n),
+    o AS (SELECT a.notice_id AS x, b.notice_id AS y, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.notice_id <> b.notice_id GROUP BY 1, 2),
+    e AS (SELECT x, y FROM o JOIN n p ON p.notice_id = x JOIN n q ON q.notice_id = y WHERE c >= 0.6 * (p.n + q.n - c)),
+    r AS (SELECT notice_id AS root, notice_id AS at FROM n UNION SELECT r.root, e.y FROM r JOIN e ON r.at = e.x)
+    SELECT c.notice_id, class_id, min(root) AS group_id, (SELECT count(*) FROM e WHERE e.x = c.notice_id) AS links FROM c JOIN r ON r.at = c.notice_id GROUP BY c.notice_id, class_id""",
     "p8_found": f"""WITH i AS (SELECT item_id, {_LETTERS('text')} AS t FROM eval_items), d AS (SELECT doc_id, {_LETTERS('text')} AS t FROM documents WHERE text IS NOT NULL),
     a AS (SELECT DISTINCT item_id, substr(t, n, 40) AS w FROM (SELECT item_id, t, unnest(range(1, length(t) - 38)) AS n FROM i WHERE length(t) >= 40)),
     b AS (SELECT DISTINCT doc_id, substr(t, n, 40) AS w FROM (SELECT doc_id, t, unnest(range(1, length(t) - 38)) AS n FROM d WHERE length(t) >= 40))

@@ -1,5 +1,9 @@
+import random
+
 import numpy as np
+import pytest
 
+from noticeworks.llm import names
 from noticeworks.llm.names import Metric, core, forms_of, link_names, padded, radius_join
 
 REGISTER = [
@@ -73,3 +77,38 @@ def test_equally_near_is_nobody(spark):
     register = spark.createDataFrame([(1, "甲乙丙丁局", "bureau", None, None), (2, "甲乙丙戊局", "bureau", None, None)], SCHEMA)
     df = spark.createDataFrame([(1, "甲乙丙菊局"), (2, "甲乙丙丁丁局")], "id long, buyer string")
     assert [(r["id"], r["org_id"]) for r in link_names(df, register, "id", ["buyer"]).collect()] == [(2, 1)]
+
+
+def test_pivots_measure_by_a_metric():
+    rng = random.Random(2)
+    metric = Metric(frozenset("甲乙丙丁局"))
+    words = sorted({"".join(rng.choices("甲乙丙丁局菊ab", k=rng.randint(0, 5))) for _ in range(120)})
+    table, sizes = padded(words)
+    d = np.array([metric.distances(table, sizes, *padded([w], 5), swaps=False) for w in words])
+    near = np.array([metric.distances(table, sizes, *padded([w], 5)) for w in words])
+    assert (d == d.T).all() and (np.diag(d) == 0).all() and (near <= d).all() and (d <= 2 * near).all()
+    assert (d[:, None, :] <= d[:, :, None] + d[None, :, :]).all()
+
+
+@pytest.mark.parametrize("part_names", [20_000, 7])
+def test_radius_join_against_all_pairs(spark, monkeypatch, part_names):
+    monkeypatch.setattr(names, "PART_NAMES", part_names)
+    rng = random.Random(4)
+    forms = sorted({"".join(rng.choices("甲乙丙丁戊己", k=rng.randint(3, 7))) for _ in range(150)} | {"甲乙戊", "甲丙乙戊"})
+    typed = {"乙甲戊"}
+    for f in forms:
+        i = rng.randrange(len(f) - 1)
+        typed |= {f[:i] + f[i + 1] + f[i] + f[i + 2 :], f[:i] + f[i + 1 :], f[:i] + "局" + f[i:], f[:i] + "x" + f[i + 1 :]}
+    typed = sorted(typed)
+    letters = frozenset("甲乙丙丁戊己")
+    table, sizes = padded(forms)
+    want = {(x, f, int(d)) for x in typed for f, d in zip(forms, Metric(letters).distances(table, sizes, *padded([x]))) if d <= 1}
+    side = lambda texts, name: spark.createDataFrame([(x,) for x in texts], f"{name} string")
+    got = [tuple(r) for r in radius_join(side(typed, "core"), side(forms, "form"), letters).collect()]
+    assert set(got) == want and len(got) == len(want) and ("乙甲戊", "甲乙戊", 1) in want
+
+
+def test_short_forms_are_met_whole(spark):
+    register = spark.createDataFrame([(1, "甲乙局", "bureau", None, "甲乙")], SCHEMA)
+    df = spark.createDataFrame([(1, "甲乙"), (2, "甲"), (3, "甲丙")], "id long, buyer string")
+    assert [r["id"] for r in link_names(df, register, "id", ["buyer"]).collect()] == [1]
