@@ -6,18 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.timestamps import normalise_times
-from ..operators.units import harmonise_amounts
+from ..operators.units import harmonise_amounts, hidden_unit_accuracy
 from ..runtime import small
 from ..tables import table
 
 
 def p2_units(spark: SparkSession, folder: str) -> DataFrame:
-    """Every tender with its amount in fen, where its unit comes from, and how sure a bare number's unit is."""
+    """Every tender with its amount in fen, where its unit comes from, and how sure a bare number's unit is; bare numbers have the
+    unit of highest posterior, no rule is given."""
     rows = table(spark, folder, "tenders").select("id", "budget", "summary")
-    out = harmonise_amounts(rows, "budget", "summary")
+    out = harmonise_amounts(rows, "budget", "summary", bare_rule=None)
     return out.select("id", "status", "unit", "unit_source", "fen", "likely_unit", F.round("posterior", 6).alias("posterior"), "uncertain")
 
 
+def p2_accuracy(spark: SparkSession, folder: str) -> DataFrame:
+    """Per unit, how many amounts the mixture gives the right unit when only their number is shown to it."""
+    return hidden_unit_accuracy(table(spark, folder, "tenders").select("budget", "summary"), "budget", "summary")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "tenders").select("id", "budget", "summary")
     return harmonise_amounts(rows, "budget", "summary").where("fen is not null").select("id", "fen")
@@ -33,7 +39,7 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return p4_times(spark, folder).select("notice_id", "field", "utc_ms")
 
 
-QUERIES = {"p2_found": p2_found, "p2_units": p2_units, "p4_found": p4_found, "p4_times": p4_times}
+QUERIES = {"p2_found": p2_found, "p2_units": p2_units, "p2_accuracy": p2_accuracy, "p4_found": p4_found, "p4_times": p4_times}
 _WIDE = "".join(map(chr, range(0xFF01, 0xFF5F))).replace("'", "''") + "　￥"
 _PLAIN = "".join(map(chr, range(0x21, 0x7F))).replace("'", "''") + " ¥"
 _PART = lambda c, u: f"greatest(0, instr('零一二三四五六七八九', regexp_extract({c}, '([一二三四五六七八九]){u}', 1)) - 1) * (CASE WHEN regexp_matches({c}, '[一二三四五六七八九]{u}') THEN 1 ELSE 0 END)"

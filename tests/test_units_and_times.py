@@ -3,7 +3,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 
 from noticeworks.operators import timestamps as ts
-from noticeworks.operators.units import harmonise_amounts, parse_amounts
+from noticeworks.operators.units import fit_unit_mixture, harmonise_amounts, hidden_unit_accuracy, parse_amounts
 
 AMOUNTS = [
     ("45.00万元", None, 45_000_000), ("412.45", "x。预算单位：万元。", 412_450_000), ("412", "金额以千元计", 41_200_000), ("237606元", "单位为万元", 23_760_600),
@@ -42,6 +42,19 @@ def test_mixture_finds_units(spark):
     assert ruled.where("uncertain").count() >= 190 and ruled.where("unit = '元'").count() == 200
 
 
+def test_hidden_units_are_found(spark):
+    import random
+
+    random.seed(2)
+    rows = [(f"{10 ** random.gauss(6, 0.3) / f:.4f}{u}",) for _ in range(400) for u, f in (("元", 1), ("万元", 1e4))]
+    df = spark.createDataFrame(rows, "budget string").selectExpr("budget", "'' as summary", "1 as unit_rank")
+    out = {r["unit"]: r for r in hidden_unit_accuracy(df, "budget", "summary").collect()}
+    assert all(out[u]["n"] > 50 and out[u]["right"] >= 0.98 * out[u]["n"] and out[u]["sure_right"] == out[u]["sure"] for u in ("元", "万元"))
+    fixed = fit_unit_mixture(parse_amounts(df, "budget", "summary"), prior={"元": 1.0})
+    assert fixed.unit_weights[0] == 1.0
+    assert hidden_unit_accuracy(df.where("false"), "budget", "summary").count() == 0
+
+
 def utc(text):
     return int(datetime.fromisoformat(text).replace(tzinfo=timezone.utc).timestamp() * 1000)
 
