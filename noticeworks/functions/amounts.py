@@ -31,4 +31,4 @@ def scaled_amount(x: Column) -> Column:
 def with_unit(text: Column, unit: str = "万元") -> Column:
     """A bare number gets the unit, other text stays."""
     t = F.trim(F.coalesce(text, F.lit("")))
-    return F.when(t.rlike(r"^\d+(?:\.\d+)?$"), F.concat(t, F.lit(unit))).otherwise(t)
+    return F.when(t.rlike(r"^[\d,.]+$"), F.concat(t, F.lit(unit))).otherwise(t)

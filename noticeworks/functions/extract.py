@@ -147,3 +147,57 @@ def location_parts(c: Column, districts: dict[str, str] | None = None) -> Column
     lookup = F.create_map(*[x for k, v in (districts or {"": ""}).items() for x in (F.lit(k), F.lit(v))])
     last = F.when(n >= 2, at(-1)).otherwise(F.lit(""))
     return F.struct(at(1).alias("region"), F.when(n >= 3, at(-2)).otherwise(F.coalesce(F.try_element_at(lookup, at(-1)), F.lit(""))).alias("prefecture"), last.alias("district"))
+
+
+# A date with or without a time, a mobile number, headings of the planning table, words of trading places.
+DATE = r"20\d{2}-\d{1,2}-\d{1,2}(?:\s+\d{1,2}:\d{2}(?::\d{2})?)?"
+MOBILE = r"^1[3-9]\d{9}$"
+PLAN_HEADINGS = ["序号", "招标内容", "预计招标时间", "拟交易场所"]
+PLACES = "交易中心|交易场所"
+
+
+def first_date(text: Column) -> Column:
+    """The first date of a text, with its time if it has one; '' if there is none."""
+    return F.regexp_extract(F.coalesce(text, F.lit("")), DATE, 0)
+
+
+def planned_row(rows: Column) -> Column:
+    """``struct(planned_at, content, place)`` of the first table row that holds a date, all '' without one.
+
+    ``place`` is the last cell that names a trading place; ``content`` the first cell that is no date, place, number of four
+    digits or more, or heading, and has 80 characters at most.
+    """
+    dated = F.filter(rows, lambda r: F.array_join(r, " ").rlike(DATE))
+    row = F.coalesce(F.try_element_at(dated, F.lit(1)), F.array().cast("array<string>"))
+    is_place = lambda c: c.rlike(PLACES) & ~c.rlike(f"^(?:{DATE})$")
+    other = F.filter(row, lambda c: ~c.rlike(f"^(?:{DATE})$") & ~c.rlike(PLACES) & ~c.rlike(r"^\d{4,}$") & ~c.isin(PLAN_HEADINGS) & (F.length(c) <= 80) & (c != ""))
+    pick = lambda cells, at: F.coalesce(F.try_element_at(cells, F.lit(at)), F.lit(""))
+    return F.struct(first_date(F.array_join(row, " ")).alias("planned_at"), pick(other, 1).alias("content"), pick(F.filter(row, is_place), -1).alias("place"))
+
+
+# The labels beside which the fields of a plan stand.
+PLAN_LABELS = {
+    "project_name": ("工程建设项目名称", "项目名称"), "fixed_asset_code": ("固定资产投资项目代码",), "approval": ("项目批准文件及文号", "批准文件"), "buyer": ("招标人名称", "招标人"),
+    "agency": ("招标人委托的代理机构名称", "代理机构名称"), "budget": ("投资估算", "总投资", "项目投资"), "fund_source": ("资金来源",), "project_content": ("项目建设内容", "建设内容", "项目概况"),
+    "project_location": ("项目建设地点", "建设地点"), "supervisor": ("行政监督部门", "监督部门"),
+}
+
+
+def plan_fields(rows: Column, text: Column, tags) -> dict[str, Column]:
+    """The fields of a plan from the rows of its tables and its plain text; ``tags`` makes a column of tags of the fund's text.
+
+    Parties that are only a mobile number are blanked; a bare budget is in 万元; the planned day is that of the planning table, else
+    the first date of the text.
+    """
+    from .amounts import with_unit
+    from .text import beside_label
+
+    out = {name: beside_label(rows, *labels) for name, labels in PLAN_LABELS.items()}
+    for party_field in ("buyer", "agency"):
+        out[party_field] = F.when(out[party_field].rlike(MOBILE), "").otherwise(out[party_field])
+    plan = planned_row(rows)
+    out["budget"] = with_unit(out["budget"])
+    out["fund_source_tags"] = tags(out["fund_source"])
+    out["planned_bid_time"] = F.when(plan["planned_at"] != "", plan["planned_at"]).otherwise(first_date(text))
+    out["planned_tender_content"], out["planned_trade_place"] = plan["content"], plan["place"]
+    return out

@@ -22,6 +22,56 @@ def conflicts(events: DataFrame, verdicts: DataFrame) -> DataFrame:
     return both.withColumn("why", why).where("why is not null").select("url", "why")
 
 
+def faults(events: DataFrame, fields: list[str]) -> DataFrame:
+    """``url, why`` of events that cannot be applied: no id, an unknown action, an exclusion without a reason, a correction of
+    another field or to nothing."""
+    blank = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == ""
+    why = (
+        F.when(blank("event_id"), "no id")
+        .when(~F.coalesce(F.col("action").isin("confirm", "exclude", "correct"), F.lit(False)), "unknown action")
+        .when((F.col("action") == "exclude") & blank("reason"), "no reason")
+        .when((F.col("action") == "correct") & ~F.coalesce(F.col("field").isin(fields), F.lit(False)), "not a field to correct")
+        .when((F.col("action") == "correct") & blank("new_value"), "no value")
+    )
+    return events.select("url", why.alias("why")).where("why is not null")
+
+
+def admitted(events: DataFrame, processed: DataFrame, verdicts: DataFrame, fields: list[str]) -> tuple[DataFrame, DataFrame]:
+    """A batch of events, whole or not at all: the fresh events to apply, and the problems (``url, why``) for which none is.
+
+    Faults of any event and conflicts of fresh ones reject the batch; events that were processed before are left out.
+    """
+    fresh = fresh_events(events, processed)
+    problems = faults(events, fields).unionByName(conflicts(fresh, verdicts))
+    some = problems.select(F.lit(True).alias("_some")).limit(1)  # one row at most
+    return fresh.join(F.broadcast(some), F.lit(True), "left_anti"), problems
+
+
+def verdict_summary(events: DataFrame) -> DataFrame:
+    """One row about all applied events: notices confirmed, excluded and corrected."""
+    status = folded_verdicts(events)
+    corrected = folded_corrections(events).agg(F.count_distinct("url").alias("corrected"))
+    counts = status.agg(F.count_if(F.col("status") == "confirmed").alias("confirmed"), F.count_if(F.col("status") == "excluded").alias("excluded"))
+    return counts.crossJoin(corrected)  # one row each
+
+
+def exclusion_reasons(events: DataFrame) -> DataFrame:
+    """``reason, notices, first_place``: why the notices that stand excluded were, by their last verdict; order by notices descending,
+    then by first_place."""
+    last = events.where("action in ('confirm', 'exclude')").groupBy("url").agg(F.max_by(F.struct("action", F.trim("reason").alias("reason")), "place").alias("x"), F.min("place").alias("first_place"))
+    return last.where("x.action = 'exclude' and coalesce(x.reason, '') != ''").groupBy(F.col("x.reason").alias("reason")).agg(F.count("*").alias("notices"), F.min("first_place").alias("first_place"))
+
+
+def enriched(events: DataFrame, rows: DataFrame, key: str = "url") -> DataFrame:
+    """Events whose ``item`` (a map) is laid over the fields of their current row."""
+    held = [c for c in rows.columns if c != key]
+    current = rows.select(key, F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(c), F.col(c).cast("string")) for c in held]), lambda e: e["col2"].isNotNull())).alias("_row"))
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    mine, theirs = F.coalesce("item", empty), F.coalesce("_row", empty)
+    both = F.map_concat(F.map_filter(theirs, lambda k, _: ~F.map_contains_key(mine, k)), mine)
+    return events.join(current, key, "left").withColumn("item", both).drop("_row")
+
+
 def folded_verdicts(events: DataFrame) -> DataFrame:
     """Per key the last verdict, its place and the number of events, in the order of ``place``."""
     status = F.when(F.col("action") == "confirm", "confirmed").when(F.col("action") == "exclude", "excluded")
@@ -46,7 +96,7 @@ def restored(rows: DataFrame, confirmed: DataFrame) -> DataFrame:
 
 
 def report(events: DataFrame) -> DataFrame:
-    """Events by action, corrections by field and exclusions by reason: ``kind, value, rows, first_place``."""
+    """Events by action and corrections by field: ``kind, value, rows, first_place``; for reasons see ``exclusion_reasons``."""
     rows = events.select(
         "place",
         F.explode(

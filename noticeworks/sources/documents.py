@@ -37,6 +37,24 @@ def payloads(spark: SparkSession, path: str, item: T.StructType, tolerant: bool
     return items, bad.unionByName(said)
 
 
+def resolved(spark: SparkSession, path: str, folders: list[str]) -> str:
+    """Where a document given by path or name lies: as it is if it exists, else below the first of ``folders`` that holds it."""
+    for candidate in (path, *(f"{f.rstrip('/')}/{path.lstrip('/')}" for f in folders)):
+        fs, at = file_system(spark, candidate)
+        if fs.exists(at):
+            return candidate
+    raise FileNotFoundError(path)
+
+
+def watched_projects(spark: SparkSession, path: str) -> DataFrame:
+    """``project_name`` of a watch list (``{"projects": [...]}`` of names or of objects with a project_name); an error where
+    ``projects`` is no list."""
+    docs = spark.read.text(path, wholetext=True).select(F.get_json_object("value", "$.projects").alias("p"))
+    listed = F.when(F.coalesce(F.trim("p").startswith("["), F.lit(False)), F.from_json("p", "array<string>")).otherwise(F.raise_error(F.lit("projects must be a list")).cast("array<string>"))
+    names = docs.select(F.explode(listed).alias("x"))
+    return names.select(F.coalesce(F.get_json_object("x", "$.project_name"), "x").alias("project_name")).where("trim(project_name) != ''")
+
+
 def keywords(spark: SparkSession, path: str) -> DataFrame:
     """The words of a list separated by lines and commas of any width, trimmed, blanks dropped, in order."""
     text = spark.read.text(path, wholetext=True)
