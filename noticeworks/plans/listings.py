@@ -44,14 +44,14 @@ def notice_kinds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """WITH o AS (SELECT id, cast(collected_at AS date) AS day, buyer FROM tenders WHERE id % 3 <> 0), n AS (SELECT id, cast(last_seen_at AS date) AS day, upper(agency) AS buyer FROM tenders WHERE id % 2 = 0)
+    """WITH o AS (SELECT id, cast(collected_at AS date) AS day, buyer FROM tenders WHERE batch_no <= 8), n AS (SELECT id, cast(last_seen_at AS date) AS day, upper(agency) AS buyer FROM tenders WHERE batch_no >= 4)
     SELECT coalesce(o.id, n.id) AS id, strftime(CASE WHEN o.id IS NULL THEN n.day WHEN n.id IS NULL OR coalesce(o.day < date '2025-01-20' - INTERVAL 7 DAY, false) THEN o.day ELSE n.day END, '%Y-%m-%d') AS day,
     CASE WHEN o.id IS NULL THEN n.buyer WHEN n.id IS NULL OR coalesce(o.day < date '2025-01-20' - INTERVAL 7 DAY, false) THEN o.buyer ELSE n.buyer END AS buyer FROM o FULL JOIN n ON o.id = n.id"""
 )
 def refresh_rule(spark: SparkSession, folder: str) -> DataFrame:
     t = table(spark, folder, "tenders")
-    old = t.where("id % 3 != 0").select("id", F.to_date("collected_at").alias("day"), "buyer")
-    new = t.where("id % 2 = 0").select("id", F.to_date("last_seen_at").alias("day"), F.upper("agency").alias("buyer"))
+    old = t.where("batch_no <= 8").select("id", F.to_date("collected_at").alias("day"), "buyer")
+    new = t.where("batch_no >= 4").select("id", F.to_date("last_seen_at").alias("day"), F.upper("agency").alias("buyer"))
     out = merge.refreshed(old, new, "id", "day", F.lit("2025-01-20").cast("date"))
     return out.select("id", F.date_format("day", "yyyy-MM-dd").alias("day"), "buyer")
 
@@ -117,11 +117,11 @@ def watch_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """SELECT id, coalesce(p[1], '') AS region, CASE WHEN len(p) >= 2 THEN p[len(p)] ELSE '' END AS district FROM (
-    SELECT id, list_filter(regexp_split_to_array(trim(coalesce(url, '')), '[ ]*[-—－/·][ ]*'), lambda x: x <> '') AS p FROM tenders)"""
+    SELECT id, list_filter(regexp_split_to_array(trim(concat_ws(' - ', region_status, location, submission_place)), '[ ]*[-—－/·][ ]*'), lambda x: x <> '') AS p FROM tenders)"""
 )
 def location_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """Parts of a dashed place; addresses stand for places here, as the table has none with dashes."""
-    parts = extract.location_parts(F.col("url"))
+    """Parts of a dashed place, written from the columns that say where, as the table has no such text."""
+    parts = extract.location_parts(F.concat_ws(" - ", "region_status", "location", "submission_place"))
     return table(spark, folder, "tenders").select("id", parts["region"].alias("region"), parts["district"].alias("district"))
 
 

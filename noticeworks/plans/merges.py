@@ -148,10 +148,10 @@ def change_apply(spark: SparkSession, folder: str) -> DataFrame:
     return merge.apply_changes(rows, changes, "k", ["segment", "name"], "ord")
 
 
-@query("SELECT DISTINCT buyer, agency FROM tenders t WHERE batch_no = 1 AND NOT EXISTS (SELECT 1 FROM tenders h WHERE h.batch_no = 0 AND h.buyer = t.buyer AND h.agency = t.agency)")
+@query("SELECT DISTINCT buyer, agency FROM tenders t WHERE batch_no >= 1 AND NOT EXISTS (SELECT 1 FROM tenders h WHERE h.batch_no = 0 AND h.buyer = t.buyer AND h.agency = t.agency)")
 def insert_missing(spark: SparkSession, folder: str) -> DataFrame:
     t = table(spark, folder, "tenders").select("batch_no", "buyer", "agency")
-    return merge.insert_missing(t.where("batch_no = 0").drop("batch_no"), t.where("batch_no = 1").drop("batch_no"), ["buyer", "agency"])
+    return merge.insert_missing(t.where("batch_no = 0").drop("batch_no"), t.where("batch_no >= 1").drop("batch_no"), ["buyer", "agency"])
 
 
 @query(
@@ -170,13 +170,13 @@ def match_enrichment(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """WITH w AS (SELECT url, buyer, 1 AS o FROM tenders WHERE batch_no = 1), p AS (SELECT url, buyer, 2 AS o FROM tenders WHERE batch_no = 2)
+    """WITH w AS (SELECT url, buyer, batch_no AS o FROM tenders WHERE batch_no = 0), p AS (SELECT url, buyer, batch_no AS o FROM tenders WHERE batch_no >= 1)
     SELECT url, buyer, o AS came FROM w UNION ALL SELECT url, buyer, o FROM p WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.url IS NOT DISTINCT FROM p.url AND w.buyer IS NOT DISTINCT FROM p.buyer)"""
 )
 def match_union(spark: SparkSession, folder: str) -> DataFrame:
     t = table(spark, folder, "tenders").select("url", "buyer", F.col("batch_no").alias("came"))
-    w = t.where("came = 1")
-    return w.unionByName(merge.unseen(t.where("came = 2"), w, ["url", "buyer"]))
+    w = t.where("came = 0")
+    return w.unionByName(merge.unseen(t.where("came >= 1"), w, ["url", "buyer"]))
 
 
 # -- aggregates

@@ -14,7 +14,7 @@ from .texts import _CLEAN
 
 query = Registry()
 
-_DAY = "date '2024-01-20'"
+_DAY = "date '2024-02-03'"
 _STATUS = "CASE event_type WHEN 'error' THEN 'failed' WHEN 'click' THEN 'unlinked_change' WHEN 'view' THEN 'ignored' ELSE 'matched' END"
 
 
@@ -28,17 +28,18 @@ def _log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""WITH e AS (SELECT event_id, user_id AS key, {_STATUS} AS status, ts FROM events), l AS (SELECT event_id, key FROM e WHERE ts >= timestamp '2024-01-20'),
-    p AS (SELECT key, arg_max(status, event_id) AS status FROM e WHERE ts < timestamp '2024-01-10' AND status <> 'failed' GROUP BY key),
-    f AS (SELECT DISTINCT key FROM e WHERE ts BETWEEN timestamp '2024-01-10' AND timestamp '2024-01-11' AND status = 'failed')
+    f"""WITH e AS (SELECT event_id, user_id AS key, {_STATUS} AS status, ts FROM events), l AS (SELECT event_id, key FROM e WHERE ts >= timestamp '2024-01-15'),
+    p AS (SELECT key, arg_max(status, event_id) AS status FROM e WHERE ts < timestamp '2024-01-15' AND status <> 'failed' GROUP BY key),
+    f AS (SELECT key FROM e WHERE ts < timestamp '2024-01-15' GROUP BY key HAVING arg_max(status, event_id) = 'failed')
     SELECT l.event_id, l.key, CASE WHEN f.key IS NOT NULL THEN 'retry' WHEN p.status IS NULL THEN 'new' ELSE 'unlinked' END AS reason
     FROM l LEFT JOIN p ON l.key = p.key LEFT JOIN f ON l.key = f.key WHERE f.key IS NOT NULL OR p.status IS NULL OR p.status = 'unlinked_change'"""
 )
 def admit_batch(spark: SparkSession, folder: str) -> DataFrame:
     e = _log(spark, folder)
-    processed = e.where("ts < timestamp_ntz'2024-01-10 00:00:00' and status != 'failed'").groupBy("key").agg(F.max_by("status", "event_id").alias("status"))
-    failed = e.where("ts between timestamp_ntz'2024-01-10 00:00:00' and timestamp_ntz'2024-01-11 00:00:00' and status = 'failed'").select("key")
-    listing = e.where("ts >= timestamp_ntz'2024-01-20 00:00:00'").select("event_id", "key")
+    before = e.where("ts < timestamp_ntz'2024-01-15 00:00:00'")
+    processed = before.where("status != 'failed'").groupBy("key").agg(F.max_by("status", "event_id").alias("status"))
+    failed = before.groupBy("key").agg(F.max_by("status", "event_id").alias("status")).where("status = 'failed'").select("key")
+    listing = e.where("ts >= timestamp_ntz'2024-01-15 00:00:00'").select("event_id", "key")
     return state.to_process(listing, processed, failed, ["key"])
 
 
@@ -53,26 +54,26 @@ def failure_fold(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""SELECT key, strftime(released, '%Y-%m-%d') AS released, strftime(first_failed, '%Y-%m-%d') AS first_failed FROM (
-    SELECT user_id AS key, max(CASE WHEN event_type <> 'error' THEN cast(ts AS date) END) AS released, max(CASE WHEN event_type = 'error' THEN cast(ts AS date) END) AS first_failed FROM events WHERE user_id % 3 = 0 OR ts < timestamp '2024-01-12' GROUP BY user_id)
-    WHERE NOT coalesce(released < {_DAY} - INTERVAL 5 DAY, false) AND NOT coalesce(first_failed < {_DAY} - INTERVAL 7 DAY, false)"""
+    SELECT user_id AS key, max(CASE WHEN event_type <> 'error' THEN cast(ts AS date) END) AS released, max(CASE WHEN event_type = 'error' THEN cast(ts AS date) END) AS first_failed FROM events GROUP BY user_id)
+    WHERE NOT coalesce(released < {_DAY} - INTERVAL 5 DAY, false) AND NOT coalesce(first_failed < {_DAY} - INTERVAL 32 DAY, false)"""
 )
 def prune_state(spark: SparkSession, folder: str) -> DataFrame:
-    e = table(spark, folder, "events").where("user_id % 3 = 0 or ts < timestamp_ntz'2024-01-12 00:00:00'")
+    e = table(spark, folder, "events")
     day = F.to_date("ts")
     rows = e.groupBy(F.col("user_id").alias("key")).agg(F.max(F.when(F.col("event_type") != "error", day)).alias("released"), F.max(F.when(F.col("event_type") == "error", day)).alias("first_failed"))
-    out = state.pruned(rows, F.lit("2024-01-20").cast("date"), 5, 7)
+    out = state.pruned(rows, F.lit("2024-02-03").cast("date"), 5, 32)
     return out.select("key", F.date_format("released", "yyyy-MM-dd").alias("released"), F.date_format("first_failed", "yyyy-MM-dd").alias("first_failed"))
 
 
 @query(
     """WITH p AS (SELECT canonical_url AS u, min(strftime(collected_at, '%Y-%m-%d')) AS d FROM tenders WHERE batch_no = 0 AND coalesce(canonical_url, '') <> '' GROUP BY canonical_url)
     SELECT t.id, CASE WHEN p.u IS NOT NULL THEN p.d ELSE '2025-01-20' END AS new_on, coalesce(CASE WHEN p.u IS NOT NULL THEN p.d ELSE '2025-01-20' END = '2025-01-20', false) AS is_new
-    FROM tenders t LEFT JOIN p ON t.canonical_url = p.u WHERE t.batch_no BETWEEN 1 AND 3"""
+    FROM tenders t LEFT JOIN p ON t.canonical_url = p.u WHERE t.batch_no >= 1"""
 )
 def new_item_marking(spark: SparkSession, folder: str) -> DataFrame:
     t = table(spark, folder, "tenders").select("id", "batch_no", F.col("canonical_url").alias("u"), F.date_format("collected_at", "yyyy-MM-dd").alias("day"))
     before = t.where("batch_no = 0 and coalesce(u, '') != ''").groupBy("u").agg(F.min("day").alias("new_on"))
-    return state.mark_new(t.where("batch_no between 1 and 3").select("id", "u"), before, "u", F.lit("2025-01-20")).select("id", "new_on", "is_new")
+    return state.mark_new(t.where("batch_no >= 1").select("id", "u"), before, "u", F.lit("2025-01-20")).select("id", "new_on", "is_new")
 
 
 @query(
@@ -161,9 +162,12 @@ def verdict_overlay(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, folder: str, plans: bool) -> DataFrame:
+    """Batch codes such as PL-2191 in the content stand for codes, paths of addresses for approval texts, as the table has neither."""
     v = table(spark, folder, "verified_notices")
     v = v.where("notice_id % 50 = 0") if plans else v
-    return linkage.prepared(v.select(F.col("notice_id").alias("id"), "title", "project_name", "buyer", F.col("project_content").alias("content"), F.lit("").alias("code"), F.lit("").alias("approval"), F.date_format("first_seen_at", "yyyy-MM-dd").alias("published_at")))
+    code = F.regexp_extract(F.coalesce("project_content", F.lit("")), r"([A-Z]{2}-\d{4})", 1)
+    approval = F.regexp_extract(F.coalesce("url", F.lit("")), r"^https?://[^/]+/(.{8,})$", 1)
+    return linkage.prepared(v.select(F.col("notice_id").alias("id"), "title", "project_name", "buyer", F.col("project_content").alias("content"), code.alias("code"), approval.alias("approval"), F.date_format("first_seen_at", "yyyy-MM-dd").alias("published_at")))
 
 
 def _linked(spark: SparkSession, folder: str) -> DataFrame:
