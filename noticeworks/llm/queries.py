@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ..tables import table
 from .bpe import decode_texts, encode_texts
 from .history import alike, repeats
 from .leaks import find_leaks, remove_leaks
-from .looks import look_classes, one_form, same_look
+from .looks import CLASSES, HYPHENS, RADICALS, look_classes, one_form, same_look
 from .names import link_names
 from .overlap import similar_groups, similar_pairs
 from .quality import text_quality
@@ -73,13 +75,8 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """Per document the number of ids and whether decoding them gives the text again (null counts as empty)."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    ids = encode_texts(docs)
-    back = decode_texts(ids).select("doc_id", F.col("text").alias("decoded"))
-    sizes = ids.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"))
-    out = docs.join(back, "doc_id").join(sizes, "doc_id")
-    return out.select("doc_id", "n_ids", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("same"))
+    """Every document as its ids are decoded again; null comes back as empty."""
+    return decode_texts(encode_texts(table(spark, folder, "documents").select("doc_id", "text")))
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,7 +85,8 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p8_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Every document after its leaked spans were cut, or dropped where they cover most of it."""
-    return remove_leaks(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "eval_items"))
+    out = remove_leaks(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "eval_items"))
+    return out.withColumn("coverage", F.round("coverage", 6))
 
 
 def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,7 +116,32 @@ _HAN = r"[\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}
 _SPACE = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 _STOPS = "。！？；!?;.…”’\"'')）】"
 
+# A look in SQL: folded, composed, and every letter as the first of its look-alikes (one reading or another makes no difference there).
+_quoted = lambda t: t.replace("'", "''")
+_FIRST = {ch: group[0] for group in CLASSES for ch in group[1:]}
+_FROM_TO = {**{chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}, **RADICALS, **dict.fromkeys(HYPHENS, "-"), **{chr(c): " " for c in (0x09, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)}}
+_FROM_TO |= {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in (*range(0x2F00, 0x2FD6), *range(0xFF61, 0xFFBF), 0xFFE5) if len(unicodedata.normalize("NFKC", chr(c))) == 1}
+_SHOWN_NOT = r"[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{3164}\x{FE00}-\x{FE0F}\x{FEFF}\x{FFA0}\x{E0001}-\x{E01EF}]"
+_LOOK = lambda c: f"translate(nfc_normalize(translate(nfc_normalize(translate(regexp_replace({c}, '{_SHOWN_NOT}', '', 'g'), '{_quoted(''.join(_FROM_TO))}', '{_quoted(''.join(_FROM_TO.values()))}')), '{''.join(_FIRST)}', '{''.join(_FIRST.values())}')), '{''.join(_FIRST)}', '{''.join(_FIRST.values())}')"
+
 SQL: dict[str, str] = {
+    "p1_found": f"""WITH t AS (SELECT id, title, buyer, {_LOOK('title')} AS t, {_LOOK('buyer')} AS b FROM tenders WHERE title <> '' AND buyer <> '')
+    SELECT x.id AS id_a, y.id AS id_b FROM t x JOIN t y ON x.t = y.t AND x.b = y.b AND x.id < y.id WHERE x.title <> y.title OR x.buyer <> y.buyer""",
+    "p1_classes": f"""WITH t AS (SELECT id, title, buyer, {_LOOK('title')} AS t, {_LOOK('buyer')} AS b FROM tenders WHERE title <> '' AND buyer <> ''),
+    c AS (SELECT id, min(id) OVER (PARTITION BY t, b) AS look_id, min(id) OVER (PARTITION BY t, b, title, buyer) AS class_id, count(*) OVER (PARTITION BY t, b) - count(*) OVER (PARTITION BY t, b, title, buyer) AS links FROM t)
+    SELECT * FROM c WHERE links > 0""",
+    "p7_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+    "p8_clean": f"""WITH i AS (SELECT {_LETTERS('text')} AS t FROM eval_items), d AS (SELECT doc_id, text, {_LETTERS('text')} AS t FROM documents),
+    a AS (SELECT DISTINCT substr(t, n, 40) AS w FROM (SELECT t, unnest(range(1, length(t) - 38)) AS n FROM i WHERE length(t) >= 40)),
+    b AS (SELECT doc_id, n FROM (SELECT doc_id, t, unnest(range(1, length(t) - 38)) AS n FROM d WHERE length(t) >= 40) x JOIN a ON substr(x.t, x.n, 40) = a.w),
+    g AS (SELECT doc_id, n, sum(start) OVER (PARTITION BY doc_id ORDER BY n) AS g FROM (SELECT doc_id, n, CASE WHEN n - lag(n, 1, -100) OVER (PARTITION BY doc_id ORDER BY n) > 40 THEN 1 ELSE 0 END AS start FROM b)),
+    s AS (SELECT doc_id, g, min(n) AS s, max(n) + 39 AS e FROM g GROUP BY doc_id, g),
+    n AS (SELECT s.doc_id, count(*) AS n_spans, cast(sum(e - s + 1) AS bigint) AS leaked, sum(e - s + 1) / any_value(length(d.t)) AS share FROM s JOIN d ON s.doc_id = d.doc_id GROUP BY s.doc_id),
+    p AS (SELECT doc_id, i, ch, sum(letter) OVER (PARTITION BY doc_id ORDER BY i) AS k, letter FROM (SELECT doc_id, i, ch, CASE WHEN regexp_matches(ch, '[\\p{{L}}\\p{{N}}]') THEN 1 ELSE 0 END AS letter FROM (SELECT doc_id, unnest(range(1, length(text) + 1)) AS i, unnest(string_split(text, '')) AS ch FROM d WHERE doc_id IN (SELECT doc_id FROM n)))),
+    r AS (SELECT s.doc_id, min(p.i) AS f, max(p.i) AS l FROM s JOIN p ON p.doc_id = s.doc_id AND p.letter = 1 AND p.k BETWEEN s.s AND s.e GROUP BY s.doc_id, s.g),
+    k AS (SELECT p.doc_id, string_agg(p.ch, '' ORDER BY p.i) AS text FROM p WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = p.doc_id AND p.i BETWEEN r.f AND r.l) GROUP BY p.doc_id)
+    SELECT d.doc_id, coalesce(n_spans, 0) AS n_spans, coalesce(leaked, 0) AS leaked_chars, round(coalesce(share, 0), 6) AS coverage, CASE WHEN n.doc_id IS NULL THEN 'keep' WHEN share > 0.5 THEN 'drop' ELSE 'cut' END AS action,
+      CASE WHEN n.doc_id IS NULL THEN d.text WHEN share > 0.5 THEN NULL ELSE coalesce(k.text, '') END AS text FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN k ON d.doc_id = k.doc_id""",
     "p9_counts": rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
     c AS (SELECT doc_id, length(t) AS n_chars, length(t) - length(regexp_replace(t, '{_HAN}', '', 'g')) + len(regexp_extract_all(regexp_replace(t, '{_HAN}', ' ', 'g'), '[\p{{L}}\p{{N}}]+(?:[''’.,-][\p{{L}}\p{{N}}]+)*')) AS word_count,
       length(t) - length(regexp_replace(t, '[\p{{L}}\p{{N}}]', '', 'g')) AS letters, length(regexp_replace(t, '{_SPACE}', '', 'g')) AS ink,
