@@ -105,39 +105,44 @@ _NAME_PUNCTUATION = re.compile(r"[\s" + re.escape(NAME_PUNCTUATION.strip()) + "]
 _LOT = re.compile(r"(?:第?[一二三四五六七八九十\d]+(?:标段|包|品目)|[一二三四五六七八九十\d]+标段).*$")
 
 
-def _without(text: str, suffixes: list[str]) -> str:
-    while True:
-        before = text
-        for s in suffixes:
-            text = text.removesuffix(s)
-        if text == before:
-            return text
+def _endings(suffixes: list[str]) -> str:
+    """One expression for all endings in a row. What ends in an ending that comes earlier in the list never gets its turn."""
+    live = [s for i, s in enumerate(suffixes) if not any(s.endswith(x) for x in suffixes[:i])]
+    return "(?:" + "|".join(map(re.escape, live)) + ")+$"
+
+
+_LINK_END, _WATCH_END = re.compile(_endings(LINK_SUFFIXES)), re.compile(_endings(WATCH_SUFFIXES))
+_COMPANY_END = re.compile("(?:" + "|".join(COMPANY_SUFFIXES) + ")$")
+_NOT_LINKED = re.compile("[^一-鿿0-9a-z]+")
+
+
+def _compatible(value: str | None) -> str:
+    return unicodedata.normalize("NFKC", value or "")
 
 
 def link_name(value: str | None) -> str:
     """For linkage: compatibility form, lower case, from the lot on cut, no punctuation, notice endings gone."""
-    return _without(_NAME_PUNCTUATION.sub("", _LOT.sub("", unicodedata.normalize("NFKC", value or "").lower())), LINK_SUFFIXES)
+    return _LINK_END.sub("", _NAME_PUNCTUATION.sub("", _LOT.sub("", _compatible(value).lower())))
 
 
 def watch_name(value: str | None) -> str:
     """For watch lists: as ``link_name`` with its own endings, lots kept."""
-    return _without(_NAME_PUNCTUATION.sub("", unicodedata.normalize("NFKC", value or "").lower()), WATCH_SUFFIXES)
+    return _WATCH_END.sub("", _NAME_PUNCTUATION.sub("", _compatible(value).lower()))
 
 
 def shown_name(value: str | None) -> str:
     """For pages: compatibility form with single spaces, case and endings kept."""
-    return re.sub(r"\s+", " ", unicodedata.normalize("NFKC", value or "")).strip()
+    return " ".join(_compatible(value).split())
 
 
 def link_buyer(value: str | None) -> str:
     """A party for linkage: ``link_name`` without one ending of a company."""
-    text = link_name(value)
-    return next((text[: -len(s)] for s in COMPANY_SUFFIXES if text.endswith(s)), text)
+    return _COMPANY_END.sub("", link_name(value))
 
 
 def link_text(value: str | None) -> str:
     """Only Han characters, digits and Latin letters, in compatibility form and lower case."""
-    return re.sub(r"[^一-鿿0-9a-z]+", "", unicodedata.normalize("NFKC", value or "").lower())
+    return _NOT_LINKED.sub("", _compatible(value).lower())
 
 
 def _vectorized(f):

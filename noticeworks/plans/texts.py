@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,9 +101,23 @@ def address_keys(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "tenders").select("id", F.regexp_extract(F.coalesce("url", F.lit("")), r"[?&](?:notice)?[iI]d=([A-Za-z0-9]+)", 1).alias("notice_key"), text.truncated(F.col("summary"), 20).alias("short"))
 
 
-@query()
+# Compatibility forms in SQL, of the characters that have one of a single character.
+_SINGLE = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in (*range(0xA0, 0x2F00), *range(0x2F00, 0x2FD6), *range(0x3000, 0x3400), *range(0xF900, 0xFB00), *range(0xFF01, 0xFFE7)) if unicodedata.normalize("NFKC", chr(c)) != chr(c) and len(unicodedata.normalize("NFKC", chr(c))) == 1}
+_NFKC = lambda c: f"nfc_normalize(translate(coalesce({c}, ''), '{''.join(_SINGLE)}', '{''.join(x.replace(chr(39), chr(39) * 2) for x in _SINGLE.values())}'))"
+_ENDS = lambda suffixes: f"({'|'.join(suffixes)})+$"
+_NAME_MARKS = r"""[\s\x{0b}\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{3000}—_·,，。:：;；()（）\[\]【】“”"''、/\\-]+"""
+_PLAIN_NAME = lambda c: f"regexp_replace({c}, '{_NAME_MARKS}', '', 'g')"
+_LINKED = lambda c: f"regexp_replace({_PLAIN_NAME(f'regexp_replace(lower({_NFKC(c)}), {chr(39)}{text._LOT.pattern}{chr(39)}, {chr(39)}{chr(39)})')}, '{_ENDS(text.LINK_SUFFIXES)}', '')"
+_NAMED = "coalesce(project_name, title)"
+
+
+@query(
+    f"""SELECT notice_id, {_LINKED(_NAMED)} AS link_name, regexp_replace({_PLAIN_NAME(f'lower({_NFKC(_NAMED)})')}, '{_ENDS([x for x in text.WATCH_SUFFIXES if x != '项目招标计划'])}', '') AS watch_name,
+    trim(regexp_replace({_NFKC(_NAMED)}, '{_W}+', ' ', 'g')) AS shown_name, regexp_replace({_LINKED('buyer')}, '({'|'.join(text.COMPANY_SUFFIXES)})$', '') AS link_buyer,
+    regexp_replace(lower({_NFKC('project_content')}), '[^一-鿿0-9a-z]+', '', 'g') AS link_text FROM verified_notices"""
+)
 def project_names(spark: SparkSession, folder: str) -> DataFrame:
-    """The four forms of a project's or party's name; compatibility forms are beyond SQL."""
+    """The four forms of a project's or party's name."""
     rows = table(spark, folder, "verified_notices")
     name = F.coalesce("project_name", "title")
     return rows.select("notice_id", text.link_name_of(name).alias("link_name"), text.watch_name_of(name).alias("watch_name"), text.shown_name_of(name).alias("shown_name"), text.link_buyer_of("buyer").alias("link_buyer"), text.link_text_of("project_content").alias("link_text"))
@@ -194,9 +210,14 @@ def contract_term(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", extract.first_match(F.col("text"), [r"合同期(\d+年)", r"工期(\d+日历天)", r"保修(\d+个月)"]).alias("term"))
 
 
-@query()
+@query(
+    r"""WITH l AS (SELECT doc_id, n, regexp_extract(line, '(?:服务内容为|进度款凭)(.*)$', 1) AS rest FROM (SELECT doc_id, unnest(range(len(ls))) AS n, unnest(ls) AS line FROM (SELECT doc_id, regexp_split_to_array(text, '[\n\r]') AS ls FROM documents)) WHERE regexp_matches(line, '服务内容为|进度款凭')),
+    v AS (SELECT doc_id, n, trim(regexp_replace(substr(rest, 1, 6000), '[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) AS value FROM l),
+    b AS (SELECT doc_id, arg_min(value, [-length(value), n]) AS section FROM v WHERE length(value) >= 8 GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(section, '') AS section FROM documents d LEFT JOIN b ON d.doc_id = b.doc_id""".replace("\\\\", "\\")
+)
 def longest_sections(spark: SparkSession, folder: str) -> DataFrame:
-    """The longest stretch from a delivery clause to the end of its line; every occurrence counts, which is beyond SQL."""
+    """The longest stretch from a delivery clause to the end of its line. (In SQL the first clause of a line has its longest one.)"""
     section = extract.longest_section(r"服务内容为|进度款凭", r"[\n\r]")
     return table(spark, folder, "documents").select("doc_id", section("text").alias("section"))
 

@@ -6,8 +6,11 @@ Options: ``path``, ``last_id`` (-1), ``max_scan`` (800), ``misses`` (20).
 
 from __future__ import annotations
 
+import io
 import json
+import os
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
@@ -26,9 +29,16 @@ def scan(known: dict[int, str], last: int, most: int, misses: int) -> tuple[list
     return found, seen
 
 
-def _load(path: str) -> dict[int, str]:
-    with open(path.removeprefix("file://"), encoding="utf-8") as lines:
-        return {int(json.loads(x)["id"]): x.strip() for x in lines if x.strip()}
+def _load(path: str, last: int, most: int) -> dict[int, str]:
+    """The notices numbered ``last + 1`` to ``last + most``. The file streams by, so memory is bounded by ``most``; it may lie in any
+    store that Arrow opens by its address (a plain path is local)."""
+    store, at = fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
+    found: dict[int, str] = {}
+    with store.open_input_stream(at) as raw:
+        for line in io.TextIOWrapper(raw, encoding="utf-8"):
+            if line.strip() and last < (number := int(json.loads(line)["id"])) <= last + most:
+                found[number] = line.strip()
+    return found
 
 
 class _Batch(DataSourceReader):
@@ -40,7 +50,8 @@ class _Batch(DataSourceReader):
 
     def read(self, partition):
         o = self.o
-        yield from scan(_load(o["path"]), int(o.get("last_id", -1)), int(o.get("max_scan", 800)), int(o.get("misses", 20)))[0]
+        last, most = int(o.get("last_id", -1)), int(o.get("max_scan", 800))
+        yield from scan(_load(o["path"], last, most), last, most, int(o.get("misses", 20)))[0]
 
 
 class _Stream(SimpleDataSourceStreamReader):
@@ -52,11 +63,12 @@ class _Stream(SimpleDataSourceStreamReader):
 
     def read(self, start):
         o = self.o
-        found, seen = scan(_load(o["path"]), start["last_id"], int(o.get("max_scan", 800)), int(o.get("misses", 20)))
+        last, most = start["last_id"], int(o.get("max_scan", 800))
+        found, seen = scan(_load(o["path"], last, most), last, most, int(o.get("misses", 20)))
         return iter(found), {"last_id": seen}
 
     def readBetweenOffsets(self, start, end):
-        known = _load(self.o["path"])
+        known = _load(self.o["path"], start["last_id"], end["last_id"] - start["last_id"])
         return iter([(i, known[i]) for i in range(start["last_id"] + 1, end["last_id"] + 1) if i in known])
 
 

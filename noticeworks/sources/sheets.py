@@ -14,6 +14,7 @@ import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -25,6 +26,25 @@ _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
+def located(path: str) -> tuple[fs.FileSystem, str]:
+    """The store and the path in it: any store that Arrow opens by its address; a plain path is local."""
+    return fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
+
+
+def workbooks(path: str) -> list[str]:
+    """The workbooks of a folder or glob (globs are local), or the one at ``path``."""
+    if "://" not in path and (found := sorted(glob.glob(path))) and not os.path.isdir(path):
+        return found
+    store, at = located(path)
+    info = store.get_file_info(at)
+    if info.type == fs.FileType.File:
+        return [path]
+    if info.type != fs.FileType.Directory:
+        return []
+    names = sorted(f.base_name for f in store.get_file_info(fs.FileSelector(at)) if f.base_name.endswith(".xlsx"))
+    return [f"{path.rstrip('/')}/{n}" for n in names]
+
+
 def _column(reference: str) -> int:
     n = 0
     for ch in re.match(r"[A-Z]*", reference)[0]:
@@ -50,7 +70,8 @@ def _text(cell, shared: list[str]) -> str | None:
 
 def read_workbook(path: str, only: str | None = None) -> Iterator[tuple[str, int, list[str | None]]]:
     """``sheet, row, cells`` of a workbook."""
-    with zipfile.ZipFile(path) as book:
+    store, at = located(path)
+    with store.open_input_file(at) as raw, zipfile.ZipFile(raw) as book:
         names = set(book.namelist())
         shared = []
         if "xl/sharedStrings.xml" in names:
@@ -80,10 +101,9 @@ class _File(InputPartition):
 
 class _Reader(DataSourceReader):
     def __init__(self, options):
-        path = options["path"].removeprefix("file://")
-        self.files = sorted(glob.glob(os.path.join(path, "*.xlsx")) if os.path.isdir(path) else glob.glob(path))
+        self.files = workbooks(options["path"])
         if not self.files:
-            raise FileNotFoundError(path)
+            raise FileNotFoundError(options["path"])
         self.sheet = options.get("sheet")
 
     def partitions(self):
