@@ -1,13 +1,14 @@
 """New batches checked for repeats against all accepted history (problem 3), by content-defined chunking.
 
 What names a page (fingerprint, address) is cut into chunks where a rolling hash of the last bytes says so. A table that
-lasts from batch to batch leads from chunk to accepted record, dealt into buckets by chunk. A key of a new batch asks there
-for its rarest chunks only, as few as what covers it must share one of; from the chunk lists found, the shared bytes are
-added up, and what is covered both ways is a repeat (or, below full coverage, alike). The chunks of the rest are appended.
-History is not gone through: its texts are never read again, its table is not shuffled, and only buckets asked for are read.
+lasts from batch to batch leads from chunk to accepted record, dealt into buckets by chunk. A record is there by its rarest
+chunks only, as few as what covers it must share one of; a key of a new batch asks with all its chunks. From the chunk lists
+found, the shared bytes are added up, and what is covered both ways is a repeat (or, below full coverage, alike). The chunks
+of the rest are appended. The texts of history are never read again; its table, a row per record, is not shuffled, and only
+the buckets that are asked for are read.
 
 How widely a chunk is shared (hosts, paths) is counted with every batch, in a fixed number of slots, so that a chunk that
-becomes common later is no longer asked for, whatever it was before. This only steers; it changes no result.
+becomes common later is not what new records are found by. This only steers; it changes no result.
 
 Defined results: missing fingerprints and addresses link nothing; repeated rows inside one batch link to the first of
 them; rows without a batch number count as history; an empty table gives an empty result; keys of any length are read whole.
@@ -28,9 +29,9 @@ from ..runtime import names_in, read_bytes, scratch_path, write_bytes, written
 
 #: Bytes the rolling hash looks back on, and the bits that must be zero at a cut (chunks of 16 bytes on average).
 WINDOW, CUT_BITS = 8, 4
-#: Chunk occurrences of a batch up to which it is broadcast (12 bytes each, and its keys); a larger batch is joined by shuffle.
+#: Chunk occurrences of a batch up to which their hashes (8 bytes each) and its owners are broadcast; a larger batch is joined by shuffle.
 BROADCAST_CHUNKS = 1_000_000
-#: Chunks of the first batch per bucket of the index, and slots in which the occurrences of chunks are counted (8 bytes each).
+#: Chunk occurrences of the first batch per bucket of the index, and slots in which the occurrences of chunks are counted (8 bytes each).
 BUCKET_CHUNKS, SLOTS = 4_000_000, 65_536
 #: Share of its bytes by which a record must be covered, both ways, to be a repeat; and to be alike.
 COVERAGE, NEAR = 1.0, 0.8
@@ -104,14 +105,14 @@ def chunked_keys(rows: DataFrame) -> DataFrame:
     return rows.select("batch", "id", F.unhex(F.md5("key")).alias("digest"), "key").mapInArrow(run, _KEY_SCHEMA)
 
 
-def _probes(keys: DataFrame, counts: np.ndarray, coverage: float) -> DataFrame:
-    """``keys`` with ``probe``: their rarest chunks, as many as any record that covers a key must share one of.
+def _rarest(keys: DataFrame, counts: np.ndarray, coverage: float) -> DataFrame:
+    """``keys`` with ``rare``: their rarest chunks, as few as anything that covers a key must share one of.
 
     What shares none of chunks that hold more than 1 - ``coverage`` of a key's bytes covers less than ``coverage`` of it.
     ``counts`` (a fixed number of slots of chunk hashes) only say which chunks are rare: results do not depend on them.
     """
     held = keys.sparkSession.sparkContext.broadcast(counts)
-    schema = "digest binary, id bigint, total int, chunks array<bigint>, sizes array<int>, probe array<bigint>"
+    schema = "digest binary, id bigint, total int, chunks array<bigint>, sizes array<int>, rare array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = held.value
@@ -126,8 +127,8 @@ def _probes(keys: DataFrame, counts: np.ndarray, coverage: float) -> DataFrame:
             total = b.column(2).to_numpy(zero_copy_only=False)
             kept = before <= (1 - coverage) * total[row] + 1e-9
             ends = np.concatenate([[0], np.cumsum(np.bincount(row[kept], minlength=b.num_rows))]).astype(np.int32)
-            probe = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[kept]))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), probe], names=["digest", "id", "total", "chunks", "sizes", "probe"])
+            rare = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[kept]))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), rare], names=["digest", "id", "total", "chunks", "sizes", "rare"])
 
     return keys.select("digest", "id", "total", "chunks", "sizes").mapInArrow(run, schema)
 
@@ -140,7 +141,7 @@ def _bytes_in(chunks: Column, sizes: Column, other: Column) -> Column:
 class ChunkStore:
     """The lasting table from chunks to accepted records, below ``path``; a store that is there already is taken up again.
 
-    Per batch it holds three things: ``index/batch=N``, the chunks of its accepted keys, dealt into buckets by chunk; ``keys-N``,
+    Per batch it holds three things: ``index/batch=N``, the rarest chunks of its accepted keys, dealt into buckets by chunk; ``keys-N``,
     each key once with its owner; ``counts-N``, how often its chunks fall into each of ``SLOTS`` slots.
     """
 
@@ -170,20 +171,26 @@ class ChunkStore:
     def _at(self, what: str, batch: int) -> str:
         return f"{self.path}/{what}-{batch:06d}"
 
-    def _index(self, batches: list[int], probes: DataFrame | None = None) -> DataFrame:
-        """The index of ``batches``; of a batch that touches few buckets only these are read."""
-        index = self.spark.read.schema(self.INDEX).option("basePath", f"{self.path}/index").parquet(*[self._index_of(b) for b in batches])
-        if probes is not None and self.buckets > 1:
-            touched = [r[0] for r in probes.select(F.explode("probe").alias("c")).select(F.pmod("c", F.lit(self.buckets)).cast("int")).distinct().collect()]
+    def _index(self, keys: DataFrame | None = None) -> DataFrame:
+        """The index of all batches; for ``keys`` that touch few buckets only these are read."""
+        index = self.spark.read.schema(self.INDEX).option("basePath", f"{self.path}/index").parquet(*[self._index_of(b) for b in self.batches])
+        if keys is not None and self.buckets > 1:
+            touched = [r[0] for r in keys.select(F.explode("chunks").alias("c")).select(F.pmod("c", F.lit(self.buckets)).cast("int")).distinct().collect()]
             if len(touched) < self.buckets:
                 index = index.where(F.col("bucket").isin(touched))
         return index
 
-    def _found(self, probes: DataFrame, index: DataFrame, small: bool) -> DataFrame:
-        """``digest, owner, covered`` of the keys that a record of ``index`` covers: the best covering one, of equals the first."""
+    def _found(self, keys: DataFrame, index: DataFrame, small: bool) -> DataFrame:
+        """``digest, owner, covered`` of the keys that a record of ``index`` covers: the best covering one, of equals the first.
+
+        Records are in the index by their rarest chunks only, and keys ask with all of theirs. So what is widely shared brings up
+        next to nothing, and what covers is met whatever was rare when it was put there.
+        """
         c = self.coverage
-        asked = probes.select(F.col("digest").alias("q_digest"), F.col("id").alias("q_id"), F.col("total").alias("q_total"), F.col("chunks").alias("q_chunks"), F.col("sizes").alias("q_sizes"), F.explode(F.array_distinct("probe")).alias("chunk"))
-        pairs = index.join(F.broadcast(asked) if small else asked, "chunk").where((F.col("id") < F.col("q_id")) & (F.col("total") >= c * F.col("q_total")) & (F.col("q_total") >= c * F.col("total")))
+        asked = keys.select(F.col("digest").alias("q_digest"), F.col("id").alias("q_id"), F.col("total").alias("q_total"), F.col("chunks").alias("q_chunks"), F.col("sizes").alias("q_sizes"), F.explode(F.array_distinct("chunks")).alias("chunk"))
+        if small:  # the index is sifted where it lies; only what a batch asks for is moved
+            index = index.join(F.broadcast(asked.select("chunk").distinct()), "chunk", "left_semi")
+        pairs = index.join(asked, "chunk").where((F.col("id") < F.col("q_id")) & (F.col("total") >= c * F.col("q_total")) & (F.col("q_total") >= c * F.col("total")))
         mine = _bytes_in(F.col("q_chunks"), F.col("q_sizes"), F.col("chunks")) / F.col("q_total")
         theirs = _bytes_in(F.col("chunks"), F.col("sizes"), F.col("q_chunks")) / F.col("total")
         covered = pairs.select("q_digest", "digest", "id", F.least(mine, theirs).alias("covered")).where(F.col("covered") >= c)
@@ -206,20 +213,20 @@ class ChunkStore:
         if self.buckets is None:
             self.buckets = max(1, -(-int(new.sum()) // BUCKET_CHUNKS))
             write_bytes(self.spark, f"{self.path}/buckets", str(self.buckets).encode())
-        probes = _probes(spread, sum(self.counts.values(), new), self.coverage)
+        counts = sum(self.counts.values(), new)
         found = []
         if self.counts:
-            found.append(self._found(probes, self._index(self.batches, probes), small))
+            found.append(self._found(spread, self._index(spread), small))
         if self.coverage < 1:  # equal keys are one key by now; alike ones may be in one batch
-            found.append(self._found(probes, probes.select(F.explode("chunks").alias("chunk"), "id", "digest", "total", "chunks", "sizes").distinct(), small))
+            found.append(self._found(spread, _rarest(spread, counts, self.coverage).withColumn("chunk", F.explode(F.array_distinct("rare"))), small))
         if found:
             best = found[0] if len(found) == 1 else found[0].unionByName(found[1]).groupBy("digest").agg(F.max(F.struct("covered", (-F.col("owner")).alias("first"))).alias("x")).select("digest", (-F.col("x.first")).alias("owner"), "x.covered")
             decided = spread.join(F.broadcast(best) if small else best, "digest", "left")
         else:
             decided = spread.withColumns({"owner": F.lit(None).cast("bigint"), "covered": F.lit(None).cast("double")})
         decided.select("digest", "id", "owner", "covered", "total", "chunks", "sizes").write.mode("overwrite").option("compression", "zstd").parquet(self._at("keys", batch))
-        accepted = self.spark.read.schema(self.KEYS).parquet(self._at("keys", batch)).where("owner is null")
-        rows = accepted.select(F.explode(F.array_distinct("chunks")).alias("chunk"), "id", "digest", "total", "chunks", "sizes")
+        accepted = _rarest(self.keys(batch).where("owner is null"), counts, self.coverage)
+        rows = accepted.select(F.explode(F.array_distinct("rare")).alias("chunk"), "id", "digest", "total", "chunks", "sizes")
         rows = rows.withColumn("bucket", F.pmod("chunk", F.lit(self.buckets)).cast("int"))
         if self.buckets > 1:
             rows = rows.repartition("bucket").sortWithinPartitions("bucket", "chunk")
