@@ -86,23 +86,28 @@ def chunks_of(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes.view(np.int64), lengths.astype(np.int32), begin.astype(np.int32)
 
 
-_KEY_SCHEMA = "batch int, id bigint, key string, digest binary, total int, chunks array<bigint>, sizes array<int>"
+_KEY_SCHEMA = "batch int, digest binary, id bigint, total int, chunks array<bigint>, sizes array<int>"
 
 
-def chunked_keys(rows: DataFrame) -> DataFrame:
-    """Per row and key (``batch, id, key``) the key's kind (its first letter), its digest, its length and its chunks."""
+def keys_of(named: DataFrame) -> DataFrame:
+    """``batch, id, key`` with the key's digest."""
+    return named.select("batch", "id", "key", F.unhex(F.md5("key")).alias("digest"))
+
+
+def chunked(keys: DataFrame) -> DataFrame:
+    """Each key of a batch once, with the first row that has it, its length and its chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = [k.encode() for k in b.column(3).to_pylist()]
-            hashes, lengths, begin = chunks_of(keys)
+            texts = [k.encode() for k in b.column(3).to_pylist()]
+            hashes, lengths, begin = chunks_of(texts)
             lists = pa.ListArray.from_arrays(pa.array(begin), pa.array(hashes))
             sizes = pa.ListArray.from_arrays(pa.array(begin), pa.array(lengths))
-            total = pa.array(np.fromiter(map(len, keys), np.int32, len(keys)))
-            kind = pa.array([k[:1].decode() for k in keys], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), kind, b.column(2), total, lists, sizes], names=["batch", "id", "key", "digest", "total", "chunks", "sizes"])
+            total = pa.array(np.fromiter(map(len, texts), np.int32, len(texts)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), total, lists, sizes], names=["batch", "digest", "id", "total", "chunks", "sizes"])
 
-    return rows.select("batch", "id", F.unhex(F.md5("key")).alias("digest"), "key").mapInArrow(run, _KEY_SCHEMA)
+    once = keys.groupBy("batch", "digest").agg(F.min("id").alias("id"), F.first("key").alias("key"))
+    return once.select("batch", "digest", "id", "key").mapInArrow(run, _KEY_SCHEMA)
 
 
 def _rarest(keys: DataFrame, counts: np.ndarray, coverage: float) -> DataFrame:
@@ -200,12 +205,12 @@ class ChunkStore:
         return best.select(F.col("q_digest").alias("digest"), (-F.col("x.first")).alias("owner"), "x.covered")
 
     def append(self, batch: int, keys: DataFrame) -> None:
-        """Checks one batch of chunked keys and appends it: keys without an owner are accepted, the others point to theirs.
+        """Checks one batch of keys (from ``chunked``) and appends it: keys without an owner are accepted, the others point to theirs.
 
         A batch that is appended again takes its own place again. How widely a chunk is shared is learnt with every batch.
         """
         self.counts.pop(batch, None)
-        spread = keys.groupBy("digest").agg(F.min_by(F.struct("id", "total", "chunks", "sizes"), "id").alias("x")).select("digest", "x.*")
+        spread = keys.select("digest", "id", "total", "chunks", "sizes")
         new = np.zeros(SLOTS, np.int64)
         for slot, n in spread.select(F.explode("chunks").alias("c")).groupBy(F.pmod("c", F.lit(SLOTS)).cast("int").alias("slot")).count().collect():
             new[slot] = n
@@ -274,7 +279,7 @@ def page_keys(rows: DataFrame) -> DataFrame:
 
 def follow(stream: DataFrame, store: ChunkStore, checkpoint: str):
     """A streaming query that checks and appends every micro-batch of rows; one that is run again is appended once."""
-    return stream.writeStream.foreachBatch(lambda rows, n: store.append(n, chunked_keys(page_keys(rows)).drop("batch"))).option("checkpointLocation", checkpoint)
+    return stream.writeStream.foreachBatch(lambda rows, n: store.append(n, written(chunked(keys_of(page_keys(rows).withColumn("batch", F.lit(n)))), "batch"))).option("checkpointLocation", checkpoint)
 
 
 def content_keys(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -284,13 +289,14 @@ def content_keys(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def checked(named: DataFrame, coverage: float = COVERAGE) -> tuple[ChunkStore | None, DataFrame]:
-    """All batches of ``named`` (batch, id, key) taken one after the other by a store of their own; and the chunked keys."""
-    keys = written(chunked_keys(named), "keys", ["batch"])
-    batches = sorted(r[0] for r in keys.select("batch").distinct().collect())
+    """All batches of ``named`` (batch, id, key) taken one after the other by a store of their own; and ``batch, id, digest`` of all."""
+    keys = written(keys_of(named), "named")
+    once = written(chunked(keys), "once", ["batch"])
+    batches = sorted(r[0] for r in once.select("batch").distinct().collect())
     store = ChunkStore(named.sparkSession, coverage=coverage) if batches else None
     for batch in batches:
-        store.append(batch, keys.where(F.col("batch") == batch).drop("batch"))
-    return store, keys
+        store.append(batch, once.where(F.col("batch") == batch))
+    return store, keys.select("batch", "id", "digest")
 
 
 def repeats(rows: DataFrame) -> DataFrame:
@@ -302,7 +308,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     store, keys = checked(page_keys(rows))
     if store is None:
         return rows.sparkSession.createDataFrame([], "first_id bigint, id bigint")
-    named = keys.select("batch", "id", "digest").join(store.owners(), ["batch", "digest"])
+    named = keys.join(store.owners(), ["batch", "digest"])
     mine = written(named.groupBy("id").agg(F.min("owner").alias("low"), F.max("owner").alias("high"), F.max("batch").alias("batch")), "owners")
     roots = components(mine.where("low != high").select(F.col("low").alias("a"), F.col("high").alias("b")).distinct())
     out = mine.where("batch >= 1").join(roots, F.col("low") == F.col("node"), "left").select(F.coalesce("root", "low").alias("first_id"), "id")
@@ -323,6 +329,6 @@ def alike(rows: DataFrame, columns: list[str], coverage: float = NEAR) -> DataFr
     for b in store.batches:
         part = store.keys(b).select(F.lit(b).alias("batch"), "digest", F.col("id").alias("first"), "owner", "covered")
         owned = part if owned is None else owned.unionByName(part)
-    out = keys.where("batch >= 1").select("batch", "id", "digest").join(owned, ["batch", "digest"])
+    out = keys.where("batch >= 1").join(owned, ["batch", "digest"])
     near = F.coalesce("owner", F.when(F.col("first") < F.col("id"), F.col("first")))
     return out.select("id", near.alias("near_id"), F.when(F.col("owner").isNotNull(), F.round("covered", 6)).otherwise(1.0).alias("coverage")).where("near_id is not null")

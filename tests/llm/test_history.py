@@ -1,10 +1,14 @@
 import random
 
 from noticeworks.llm import history
-from noticeworks.llm.history import ChunkStore, alike, chunked_keys, chunks_of, components, follow, repeats
+from noticeworks.llm.history import ChunkStore, alike, chunked, chunks_of, components, follow, keys_of, repeats
 from pyspark.sql import functions as F
 
 
+def batch_of(named):
+    return chunked(keys_of(named))
+
+
 def test_chunks_are_local_and_whole():
     random.seed(1)
     text = bytes(random.randrange(256) for _ in range(4000))
@@ -51,7 +55,7 @@ def test_repeats(spark):
 
 def test_a_store_lasts(spark, tmp_path):
     def batch(n, low, high):
-        return chunked_keys(spark.range(low, high).selectExpr(f"{n} as batch", f"id + {n} * 10000 as id", "'u:h.example/notice?id=' || id as key")).drop("batch")
+        return batch_of(spark.range(low, high).selectExpr(f"{n} as batch", f"id + {n} * 10000 as id", "'u:h.example/notice?id=' || id as key"))
 
     path = f"file://{tmp_path}/store"
     ChunkStore(spark, path).append(0, batch(0, 0, 500))
@@ -63,7 +67,7 @@ def test_a_store_lasts(spark, tmp_path):
 
 
 def _pages(spark, batch, low, high, shift, host="h.example"):
-    return chunked_keys(spark.range(low, high).selectExpr(f"{batch} as batch", f"id + {shift} as id", f"'u:{host}/portal/detail?noticeId=G' || lpad(cast(id as string), 8, '0') as key")).drop("batch")
+    return batch_of(spark.range(low, high).selectExpr(f"{batch} as batch", f"id + {shift} as id", f"'u:{host}/portal/detail?noticeId=G' || lpad(cast(id as string), 8, '0') as key"))
 
 
 def test_widely_shared_chunks_lose_nothing(spark, monkeypatch):
@@ -149,5 +153,5 @@ def test_stream_of_batches(spark, tmp_path):
     assert store.batches == [0, 1]
     assert sorted((r["owner"]) for r in store.owners().where("batch = 1").collect()) == [1, 2, 5, 5]
     before = sorted(map(tuple, store.owners().collect()))
-    store.append(1, chunked_keys(spark.createDataFrame([(1, 3, "u:h.example/notice?id=2"), (1, 5, "u:h.example/notice?id=5")], "batch int, id long, key string")).drop("batch"))
+    store.append(1, batch_of(spark.createDataFrame([(1, 3, "u:h.example/notice?id=2"), (1, 5, "u:h.example/notice?id=5")], "batch int, id long, key string")))
     assert store.batches == [0, 1] and len(before) == 7 and store.owners().where("batch = 1 and owner = 2").count() == 1
