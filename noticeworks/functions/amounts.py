@@ -32,3 +32,20 @@ def with_unit(text: Column, unit: str = "万元") -> Column:
     """A bare number gets the unit, other text stays."""
     t = F.trim(F.coalesce(text, F.lit("")))
     return F.when(t.rlike(r"^[\d,.]+$"), F.concat(t, F.lit(unit))).otherwise(t)
+
+
+def mapped_amount(fields: Column, labels: list[str]) -> Column:
+    """The amount under the first of the labels that says anything: a bare number of yuan is scaled, other text stays; '' if none."""
+    said = first_said(*[F.try_element_at(fields, F.lit(x)) for x in labels])
+    number = F.regexp_replace(said, ",", "").try_cast("double")
+    return F.when(said.rlike("元|万") | number.isNull(), said).otherwise(scaled_amount(number))
+
+
+def first_said(*values: Column) -> Column:
+    """The first value that is not blank; '' if all are."""
+    return F.coalesce(*[F.when(F.trim(v) != "", v) for v in values], F.lit(""))
+
+
+def joined_once(*values: Column) -> Column:
+    """All values that are not blank, each once, joined by spaces."""
+    return F.array_join(F.array_distinct(F.filter(F.array(*[F.trim(F.coalesce(v, F.lit(""))) for v in values]), lambda x: x != "")), " ")

@@ -88,3 +88,18 @@ def collection_start(last: Column, weekly: Column, monthly: Column, now: Column)
 def catch_up_window(gap_days: Column) -> Column:
     """The narrowest list window that covers a gap of days."""
     return F.when(gap_days <= 0, "td").when(gap_days == 1, "l3d").when(gap_days <= 9, "l10d").when(gap_days <= 29, "l1m").otherwise("l3m")
+
+
+_LOOSE = r"(\d{4})[-年](\d{1,2})[-月](\d{1,2})日?(?:[ T]?\s*(\d{1,2}):(\d{2}))?"
+
+
+def loose_date(text: Column, include_time: bool = False) -> Column:
+    """The first date of a text that mixes hyphens and 年月日, as YYYY-MM-DD[ HH:MM]; other texts stay, cleaned."""
+    from .text import clean_text
+
+    t = clean_text(text)
+    part = lambda i, n: F.lpad(F.regexp_extract(t, _LOOSE, i), n, "0")
+    day = F.concat_ws("-", part(1, 4), part(2, 2), part(3, 2))
+    if include_time:
+        day = F.when(F.regexp_extract(t, _LOOSE, 4) != "", F.concat(day, F.lit(" "), part(4, 2), F.lit(":"), F.regexp_extract(t, _LOOSE, 5))).otherwise(day)
+    return F.when(t.rlike(_LOOSE), day).otherwise(t)

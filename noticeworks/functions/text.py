@@ -212,6 +212,15 @@ def beside_label(rows: Column, *labels: str) -> Column:
     return F.coalesce(F.try_element_at(hits, F.lit(1)), F.lit(""))
 
 
+# Fixed value: how a change notice's title ends behind the project's name.
+_CHANGE_END = "(?:招标|采购|询比|磋商|谈判)(?:采购)?公告$"
+
+
+def change_key(name: Column) -> Column:
+    """A title for the dedup of changes: without its notice ending, then normalised."""
+    return normalized_title(F.regexp_replace(F.coalesce(name, F.lit("")), _CHANGE_END, ""))
+
+
 class _Data(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)

@@ -27,6 +27,44 @@ def until_cutoff(rows: DataFrame, section: list[str], page: str, day: str, cutof
     return rows.join(last, section, "left").where(F.col("_last").isNull() | (F.col(page) <= F.col("_last"))).where(F.coalesce(F.col(day) >= cutoff, F.lit(True))).drop("_last")
 
 
+def collected(
+    rows: DataFrame, key: str, place: list[str], *, day: Column | None = None, cutoff: Column | None = None, wanted: Column | None = None, dropped: Column | None = None,
+    seen: DataFrame | None = None, again: DataFrame | None = None,
+) -> DataFrame:
+    """What a source's listing gives to work on: its rows in the window, of each ``key`` the last by ``place``, not ``seen`` before.
+
+    ``day`` before ``cutoff`` is out of the window, an unknown day in it; ``wanted`` (a keyword in a name, a region in the title) must
+    hold, ``dropped`` (a result notice) must not, null counts as no. ``again`` are rows to take up again (failed before, or to be
+    refreshed) whose key this listing does not have; ``requeued`` tells them. Rows without a key are left out.
+    """
+    from .merge import last_wins, unseen
+
+    kept = rows.where(F.col(key).isNotNull())
+    if day is not None:
+        kept = kept.where(F.coalesce(day >= cutoff, F.lit(True)))
+    if wanted is not None:
+        kept = kept.where(F.coalesce(wanted, F.lit(False)))
+    if dropped is not None:
+        kept = kept.where(~F.coalesce(dropped, F.lit(False)))
+    once = last_wins(kept, [key], place)
+    fresh = (unseen(once, seen, [key]) if seen is not None else once).withColumn("requeued", F.lit(False))
+    if again is None:
+        return fresh
+    more = last_wins(again.where(F.col(key).isNotNull()), [key], place)
+    return fresh.unionByName(more.join(once.select(key), key, "left_anti").withColumn("requeued", F.lit(True)))
+
+
+# What became of a listed notice.
+OUTCOMES = ["missing_url", "region_prefilter", "result_notice", "ignored_notice_type", "missing_notice", "frozen", "unlinked_change", "change_applied", "matched", "not_matched"]
+
+
+def outcome(tests: dict[str, Column]) -> Column:
+    """The first outcome, in the order of ``OUTCOMES``, whose test holds; ``not_matched`` if none does. Null tests do not hold."""
+    if unknown := set(tests) - set(OUTCOMES):
+        raise ValueError(f"no such outcomes: {sorted(unknown)}")
+    return F.coalesce(*[F.when(tests[name], F.lit(name)) for name in OUTCOMES if name in tests], F.lit("not_matched"))
+
+
 def notice_kind(title: Column, change: list[str], original: list[str], ignored: list[str]) -> Column:
     """ignored before change before original; other titles are ignored."""
     hit = lambda words: any_word(title, words_literal(words))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import classify, extract
+from ..functions import classify, extract, temporal, text
 from ..functions.text import clean_text
-from ..operators import feedback, projects, scan
+from ..operators import feedback, listing, projects, scan, serve
 from ..runtime import small
 from ..tables import table
 from .registry import Registry
 from .states import _EV, _verdict_events
-from .texts import _CLEAN
+from .texts import _CLEAN, _TITLE
 
 query = Registry()
 
@@ -246,4 +246,94 @@ def cache_upkeep(spark: SparkSession, folder: str) -> DataFrame:
     return scan.kept_cache(scan.seeded_cache(empty, rows, "url", ["summary"], F.col("day")), t.where("batch_no > 0"), "url")
 
 
+@query(
+    f"""WITH l AS (SELECT * FROM tenders WHERE batch_no >= 7 AND canonical_url IS NOT NULL AND coalesce(cast(collected_at AS date) >= date '2025-02-01', true) AND coalesce(contains(title, '工程') OR contains(title, '服务'), false) AND NOT coalesce(contains(title, '谈判'), false)),
+    o AS (SELECT canonical_url, max(id) AS id FROM l GROUP BY canonical_url),
+    a AS (SELECT canonical_url, max(id) AS id FROM tenders WHERE batch_no BETWEEN 1 AND 6 AND canonical_url IS NOT NULL AND coalesce(trim(budget), '') = '' GROUP BY canonical_url)
+    SELECT id, canonical_url, false AS requeued FROM o WHERE canonical_url NOT IN (SELECT canonical_url FROM tenders WHERE batch_no = 0 AND canonical_url IS NOT NULL)
+    UNION ALL SELECT id, canonical_url, true FROM a WHERE canonical_url NOT IN (SELECT canonical_url FROM o)"""
+)
+def collected_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """A source composed of window, keyword and result filters, last listing per page, what was seen, and what is taken up again."""
+    t = table(spark, folder, "tenders").select("id", "batch_no", "canonical_url", "title", F.to_date("collected_at").alias("day"), "budget")
+    again = t.where("batch_no between 1 and 6 and coalesce(trim(budget), '') = ''").drop("batch_no")
+    wanted, dropped = F.contains("title", F.lit("工程")) | F.contains("title", F.lit("服务")), F.contains("title", F.lit("谈判"))
+    seen = t.where("batch_no = 0 and canonical_url is not null").select("canonical_url")
+    out = listing.collected(t.where("batch_no >= 7").drop("batch_no"), "canonical_url", ["id"], day=F.col("day"), cutoff=F.lit("2025-02-01").cast("date"), wanted=wanted, dropped=dropped, seen=seen, again=again)
+    return out.select("id", "canonical_url", "requeued")
+
+
+@query(
+    """SELECT notice_id, CASE WHEN trim(coalesce(url, '')) = '' THEN 'missing_url' WHEN contains(location, '白荻') THEN 'region_prefilter' WHEN contains(title, '询价') THEN 'result_notice' WHEN contains(title, '比选') THEN 'ignored_notice_type'
+    WHEN coalesce(project_content, '') = '' THEN 'missing_notice' WHEN review_status = 'confirmed' THEN 'frozen' WHEN len(matched_keywords) > 0 THEN 'matched' ELSE 'not_matched' END AS outcome FROM verified_notices"""
+)
+def notice_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    has = lambda c, w: F.contains(c, F.lit(w))
+    tests = {
+        "matched": F.size("matched_keywords") > 0, "missing_url": F.trim(F.coalesce("url", F.lit(""))) == "", "region_prefilter": has("location", "白荻"), "result_notice": has("title", "询价"),
+        "ignored_notice_type": has("title", "比选"), "missing_notice": F.coalesce("project_content", F.lit("")) == "", "frozen": F.col("review_status") == "confirmed",
+    }
+    return table(spark, folder, "verified_notices").select("notice_id", listing.outcome(tests).alias("outcome"))
+
+
+_LOOSE = temporal._LOOSE
+_L = lambda c: _CLEAN(c)
+_LP = lambda c, i, n: f"lpad(regexp_extract({_L(c)}, '{_LOOSE}', {i}), {n}, '0')"
+
+
+@query(
+    f"""SELECT notice_id, CASE WHEN regexp_matches({_L('bid_deadline')}, '{_LOOSE}') THEN {_LP('bid_deadline', 1, 4)} || '-' || {_LP('bid_deadline', 2, 2)} || '-' || {_LP('bid_deadline', 3, 2)} ||
+    CASE WHEN regexp_extract({_L('bid_deadline')}, '{_LOOSE}', 4) <> '' THEN ' ' || {_LP('bid_deadline', 4, 2)} || ':' || regexp_extract({_L('bid_deadline')}, '{_LOOSE}', 5) ELSE '' END ELSE {_L('bid_deadline')} END AS deadline FROM verified_notices"""
+)
+def loose_dates(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "verified_notices").select("notice_id", temporal.loose_date(F.col("bid_deadline"), True).alias("deadline"))
+
+
+@query(f"SELECT notice_id, {_TITLE(chr(114) + 'egexp_replace(coalesce(title, ' + chr(39) * 2 + '), ' + chr(39) + text._CHANGE_END + chr(39) + ', ' + chr(39) * 2 + ')')} AS key FROM verified_notices")
+def change_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "verified_notices").select("notice_id", text.change_key(F.col("title")).alias("key"))
+
+
+@query(
+    f"""WITH v AS (SELECT notice_id, title, review_status, coalesce(matched_keywords, []) AS m, trim(split_part(coalesce(project_content, ''), '。', 1)) AS q FROM verified_notices),
+    h AS (SELECT *, CASE WHEN contains({_CLEAN('title')}, '询价') THEN [] ELSE {_HITS(['施工', '安装', '种植'], 'q')} END AS h FROM v)
+    SELECT notice_id, array_to_string(CASE WHEN coalesce(review_status, '') = 'confirmed' THEN m ELSE h END, ',') AS words FROM h WHERE coalesce(review_status, '') = 'confirmed' OR len(h) > 0"""
+)
+def requalified(spark: SparkSession, folder: str) -> DataFrame:
+    """Notices that are not confirmed must still hit a keyword in their content as it is cut now."""
+    v = table(spark, folder, "verified_notices").select("notice_id", "title", "review_status", "matched_keywords", extract.before(F.col("project_content"), "。").alias("q"))
+    confirmed = F.coalesce(F.col("review_status") == "confirmed", F.lit(False))
+    hits = v.withColumn("h", classify.qualification_hits(F.col("title"), F.col("q"), ["询价"], ["施工", "安装", "种植"]))
+    kept = hits.where(confirmed | (F.size("h") > 0))
+    none = F.array().cast("array<string>")
+    return kept.select("notice_id", F.array_join(F.when(confirmed, F.coalesce("matched_keywords", none)).otherwise(F.col("h")), ",").alias("words"))
+
+
+@query(
+    """SELECT 'tenders' AS dataset, './tenders' AS path, count(*) AS "rows", count(DISTINCT url) AS "keys" FROM tenders UNION ALL SELECT 'notices', '', count(*), count(DISTINCT url) FROM verified_notices"""
+)
+def manifest(spark: SparkSession, folder: str) -> DataFrame:
+    datasets = {"tenders": table(spark, folder, "tenders").select("url"), "notices": table(spark, folder, "verified_notices").select("url", "source_name")}
+    return serve.run_documents(datasets, "url", table(spark, folder, "runs").where("error is not null"), {"tenders": "./tenders"})[0]
+
+
+@query(
+    """SELECT '2025-02-05' AS date, count(*) FILTER (WHERE d = date '2025-02-05') AS total, '2025-02-05 ' || count(*) FILTER (WHERE d = date '2025-02-05') AS message,
+    CASE WHEN count(*) FILTER (WHERE d > date '2025-06-01') > 0 THEN count(*) FILTER (WHERE d > date '2025-06-01') || ' later than today' END AS warning FROM (SELECT cast(collected_at AS date) AS d FROM tenders)"""
+)
+def digest_notes(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "tenders").select(F.to_date("collected_at").alias("day"))
+    return serve.digest_notes(rows, "day", F.lit("2025-02-05").cast("date"), F.lit("2025-06-01").cast("date"))
+
+
+@query(
+    f"""WITH v AS (SELECT *, first_value(notice_id) OVER (PARTITION BY {_PROJECT} ORDER BY strftime(first_seen_at, '%Y-%m-%d') DESC NULLS LAST, notice_id DESC) AS latest FROM verified_notices)
+    SELECT notice_id FROM v WHERE notice_id = latest AND location = '白荻市' AND starts_with(strftime(first_seen_at, '%Y-%m-%d'), '2025-') AND contains(lower(concat_ws(' ', nullif(trim(title), ''), nullif(trim(buyer), ''))), '工程')"""
+)
+def plan_filters(spark: SparkSession, folder: str) -> DataFrame:
+    v = table(spark, folder, "verified_notices").withColumns({"day": F.date_format("first_seen_at", "yyyy-MM-dd"), "prefecture": F.col("location")})
+    latest = projects.versions(v, projects.project_key(clean_text(F.col("project_name")), F.col("notice_id")), "notice_id", "day").where("is_latest").withColumn("planned_bid_time", F.col("day"))
+    return latest.where(serve.plan_filter(prefecture="白荻市", month="2025-", query="工程", fields=["title", "buyer"])).select("notice_id")
+
+
 QUERIES, SQL = query.QUERIES, query.SQL

@@ -3,8 +3,8 @@
 from datetime import date
 
 import pytest
-from noticeworks.functions import classify, extract
-from noticeworks.operators import feedback, projects, scan
+from noticeworks.functions import amounts, classify, extract, temporal, text
+from noticeworks.operators import feedback, listing, projects, scan, serve
 from noticeworks.sources import documents
 from pyspark.sql import functions as F
 
@@ -162,3 +162,43 @@ def test_tables_are_replaced_safely(spark, tmp_path):
         documents.replace_table(spark.range(n).withColumn("phone", F.lit("1")), path)
         assert spark.read.json(path).columns == ["id"] and spark.read.json(path).count() == n
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_collected_listing(spark):
+    rows = [("a", 1, "甲工程", "2025-02-02"), ("a", 2, "甲工程", "2025-02-02"), ("b", 3, "甲工程结果", "2025-02-02"), ("c", 4, "乙", "2025-02-02"), ("d", 5, "工程", "2025-01-01"), ("e", 6, "工程", None), (None, 7, "工程", "2025-02-02"), ("f", 8, None, "2025-02-02"), ("g", 9, "工程", "2025-02-02")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "url string, id int, title string, day string, rank string")
+    again = spark.createDataFrame([("a", 90, "t", None, "x"), ("z", 91, "t", None, "x"), ("z", 92, "t", None, "x"), (None, 93, "t", None, "x")], df.schema)
+    seen = spark.createDataFrame([("g",), ("g",)], "url string")
+    got = listing.collected(df, "url", ["id"], day=F.col("day"), cutoff=F.lit("2025-02-01"), wanted=F.contains("title", F.lit("工程")), dropped=F.contains("title", F.lit("结果")), seen=seen, again=again)
+    assert sorted((r["url"], r["id"], r["requeued"]) for r in got.collect()) == [("a", 2, False), ("e", 6, False), ("z", 92, True)]
+    assert listing.collected(df.where("false"), "url", ["id"]).count() == 0 and listing.collected(df, "url", ["id"]).count() == 7
+
+
+def test_outcomes_forms_and_amounts(spark):
+    df = spark.createDataFrame([(True, None), (None, None), (True, True)], "m boolean, f boolean")
+    assert [r[0] for r in df.select(listing.outcome({"matched": F.col("m"), "frozen": F.col("f")})).collect()] == ["matched", "not_matched", "frozen"]
+    with pytest.raises(ValueError):
+        listing.outcome({"other": F.lit(True)})
+    dates = spark.createDataFrame([("截止 2025-3月7日 9:05 止",), ("2025年3-07",), ("面议",), (None,)], "t string")
+    assert [r[0] for r in dates.select(temporal.loose_date(F.col("t"), True)).collect()] == ["2025-03-07 09:05", "2025-03-07", "面议", ""]
+    money = spark.createDataFrame([({"预算": "", "限价": "1,250,000"},), ({"预算": "35万元"},), ({"限价": "面议"},), ({},), (None,), ({"预算": "900"},)], "f map<string,string>")
+    assert [r[0] for r in money.select(amounts.mapped_amount(F.col("f"), ["预算", "限价"])).collect()] == ["125万元", "35万元", "面议", "", "", "900元"]
+    pair = spark.createDataFrame([(" a ", "a"), (None, "b"), ("", None)], "x string, y string")
+    assert [tuple(r) for r in pair.select(amounts.joined_once(F.col("x"), F.col("y")), amounts.first_said(F.col("x"), F.col("y"))).collect()] == [("a", " a "), ("b", "b"), ("", "")]
+    keys = spark.createDataFrame([("X项目 招标采购公告",), ("X项目",), (None,)], "t string")
+    assert [r[0] for r in keys.select(text.change_key(F.col("t"))).collect()][0] == [r[0] for r in keys.select(text.change_key(F.col("t"))).collect()][1]
+
+
+def test_readers_choices_and_documents(spark):
+    rows = spark.createDataFrame([(1, "u", "P", "D", "2025-06-01", "甲 A"), (2, "v", "P", None, None, None), (3, "w", None, "D", "2025-07-01", "甲")], "id int, url string, prefecture string, district string, planned_bid_time string, title string")
+    chosen = lambda **k: [r["id"] for r in rows.where(serve.plan_filter(**k)).collect()]
+    assert chosen() == [1, 2, 3] and chosen(prefecture="P") == [1, 2] and chosen(district="D", month="2025-06") == [1] and chosen(query="a", fields=["title"]) == [1]
+    there, kept = serve.kept_items(rows, spark.createDataFrame([("u",), ("u",), ("gone",)], "url string"), "url")
+    assert [r["id"] for r in there.collect()] == [1] and [r["url"] for r in kept.collect()] == ["u"]
+    days = spark.createDataFrame([(date(2025, 1, 1),), (date(2025, 1, 1),), (date(2025, 3, 1),), (None,)], "d date")
+    note = serve.digest_notes(days, "d", F.lit("2025-01-01").cast("date"), F.lit("2025-02-01").cast("date")).first()
+    assert tuple(note) == ("2025-01-01", 2, "2025-01-01 2", "1 later than today")
+    assert serve.digest_notes(days.where("false"), "d", F.lit("2025-01-01").cast("date"), F.lit("2025-02-01").cast("date")).first()["warning"] is None
+    named = rows.withColumn("source_name", F.when(F.col("id") < 3, " s "))
+    manifest, status, sources = serve.run_documents({"a": named, "b": rows}, "url", rows.where("false"), {"a": "./a"})
+    assert sorted(tuple(r) for r in manifest.collect()) == [("a", "./a", 3, 3), ("b", "", 3, 3)] and tuple(status.first()) == (6, 0, True) and [tuple(r) for r in sources.collect()] == [("a", "s")]
