@@ -226,3 +226,32 @@ def test_windows(spark):
     assert got[1][0] == "bootstrap" and got[2] == ("incremental", t(2026, 7, 1, 1)) and got[3][0] == "weekly"
     gaps = spark.createDataFrame([(g,) for g in (0, 1, 9, 29, 30)], "g int")
     assert [r[0] for r in gaps.select(catch_up_window(F.col("g"))).collect()] == ["td", "l3d", "l10d", "l1m", "l3m"]
+
+
+def test_watched_against_all_pairs(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    from noticeworks.functions.text import watch_name
+
+    random.seed(9)
+    signs = "甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳午未"
+    names = ["".join(random.choices(signs, k=random.randint(4, 24))) for _ in range(40)]
+    for base in list(names):
+        x = list(base)
+        for _ in range(random.randint(1, 4)):  # letters put in here and taken out there leave no long common run
+            x.insert(random.randrange(len(x)), random.choice(signs))
+            x.pop(random.randrange(len(x)))
+        names.append("".join(x) + random.choice(["", "招标公告", "工程" + base]))
+    names += [None, "", names[0], names[0] + "公告"]
+    notices = [(i, v if i % 3 else None, v, "clash") for i, v in enumerate(names)]
+    df = spark.createDataFrame(notices, "id int, project_name string, title string, w_name string")
+    watch = spark.createDataFrame([(x,) for x in names[::3]], "project_name string")
+    want = set()
+    for w in {watch_name(x) for x in names[::3]} - {""}:
+        for i, v in enumerate(names):
+            n = watch_name(v)
+            if n and (w == n or (min(len(w), len(n)) >= 8 and (w in n or n in w)) or SequenceMatcher(None, w, n).ratio() >= 0.82):
+                want.add((w, i, 1.0 if w == n else 0.96 if min(len(w), len(n)) >= 8 and (w in n or n in w) else round(SequenceMatcher(None, w, n).ratio(), 3)))
+    assert {tuple(r) for r in linkage.watched(watch, df).collect()} == want and len(want) > 30
+    assert linkage.watched(watch.where("false"), df).count() == 0 and linkage.watched(watch, df.where("false")).count() == 0
