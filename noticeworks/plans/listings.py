@@ -125,9 +125,19 @@ def location_parts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "tenders").select("id", parts["region"].alias("region"), parts["district"].alias("district"))
 
 
-@query()
+_LABEL, _BLANKS = r"(?:由|向)[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]*[:：]?[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]*", r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, text, regexp_split_to_array(text, '{_LABEL}') AS p, regexp_extract_all(text, '{_LABEL}') AS l FROM documents),
+    u AS (SELECT doc_id, text, i, length(p[i]) + length(l[i]) AS n FROM (SELECT doc_id, text, p, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
+    r AS (SELECT doc_id, i, substr(text, cast(sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS bigint) + 1, 120) AS rest FROM u),
+    n AS (SELECT doc_id, i, trim(regexp_replace(CASE WHEN regexp_matches(rest, '保管|报送|承担|对|在') THEN regexp_extract(rest, '(?s)^(.*?)(?:保管|报送|承担|对|在)', 1) ELSE rest END, '{_BLANKS}', ' ', 'g'), ' ：:，,。；;') AS name FROM r),
+    b AS (SELECT doc_id, arg_min(name, i) AS party FROM n WHERE length(name) BETWEEN 2 AND 80 AND NOT regexp_matches(name, '^(?:为|应|须|可)') AND NOT regexp_matches(name, '[。；;？?！!]') GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(party, '') AS party FROM documents d LEFT JOIN b ON d.doc_id = b.doc_id"""
+)
 def party_names(spark: SparkSession, folder: str) -> DataFrame:
-    """Who a text names as responsible; every occurrence is tried, which is beyond SQL."""
+    """Who a text names as responsible; every occurrence is tried."""
     who = extract.party(["由", "向"], r"保管|报送|承担|对|在")
     return table(spark, folder, "documents").select("doc_id", who("text").alias("party"))
 
