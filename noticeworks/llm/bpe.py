@@ -35,7 +35,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class State(dict):
     """Moves of one state by character: ``(next state, tokens put out)``, made when first asked for."""
 
-    __slots__ = ("machine", "last", "pending", "end")
+    __slots__ = ("machine", "last", "pending", "paths")
 
     def __missing__(self, ch: str) -> tuple[State, tuple[int, ...]]:
         step = self[ch] = self.machine.move(self, ch)
@@ -55,7 +55,7 @@ class Transducer:
         self.made = 0
         self.states: dict[tuple[int, bytes], State] = {}
         self.fits.clear()
-        self.start = self.state(-1, b"")
+        self.start = self.state(-1, b"", [()])
 
     def merged(self, text: bytes) -> list[int]:
         """What the merges make of ``text``, lowest rank first: the definition the transducer is compiled from."""
@@ -76,31 +76,29 @@ class Transducer:
             known = self.fits[left, right] = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
         return known
 
-    def paths(self, last: int, pending: bytes) -> list[tuple[int, ...] | None]:
-        """The tokens of each prefix of ``pending`` after ``last``, None where no token can end."""
-        found: list[tuple[int, ...] | None] = [()] + [None] * len(pending)
-        for end in range(1, len(pending) + 1):
-            for start in range(end):
-                before = found[start]
-                token = self.ranks.get(pending[start:end]) if before is not None else None
-                if token is not None and self.fit(before[-1] if before else last, token):
-                    found[end] = (*before, token)
-                    break
-        return found
-
-    def state(self, last: int, pending: bytes) -> State:
+    def state(self, last: int, pending: bytes, paths: list[tuple[int, ...] | None]) -> State:
+        """``paths``: the tokens of each prefix of ``pending`` after ``last``, None where no token can end."""
         key = (last, pending)
         found = self.states.get(key)
         if found is None:
             found = self.states[key] = State()
-            found.machine, found.last, found.pending = self, last, pending
-            found.end = self.paths(last, pending)[-1] or ()
+            found.machine, found.last, found.pending, found.paths = self, last, pending, paths
         return found
 
-    def step(self, last: int, pending: bytes) -> tuple[int, bytes, tuple[int, ...]]:
-        """What is unsettled after ``last`` and ``pending``, and the tokens settled on the way."""
-        found = self.paths(last, pending)
-        alive = [p for start, p in enumerate(found) if p is not None and (start == len(pending) or pending[start:] in self.prefixes)]
+    def move(self, state: State, ch: str) -> tuple[State, tuple[int, ...]]:
+        last, pending, paths = state.last, state.pending + ch.encode("utf-8", "surrogatepass"), list(state.paths)
+        ranks, prefixes = self.ranks, self.prefixes
+        for end in range(len(paths), len(pending) + 1):
+            here = None
+            for start in range(end):
+                before = paths[start]
+                if before is not None:
+                    token = ranks.get(pending[start:end])
+                    if token is not None and self.fit(before[-1] if before else last, token):
+                        here = (*before, token)
+                        break
+            paths.append(here)
+        alive = [p for start, p in enumerate(paths) if p is not None and (start == len(pending) or pending[start:] in prefixes)]
         shared = alive[0]
         for p in alive[1:]:
             n = 0
@@ -108,16 +106,12 @@ class Transducer:
                 n += 1
             shared = shared[:n]
         if shared:
-            last, pending = shared[-1], pending[sum(len(self.bytes_of[t]) for t in shared) :]
-        return last, pending, shared
-
-    def move(self, state: State, ch: str) -> tuple[State, tuple[int, ...]]:
-        last, pending, out = state.last, state.pending, ()
-        for byte in ch.encode("utf-8", "surrogatepass"):
-            last, pending, shared = self.step(last, pending + bytes([byte]))
-            out += shared
+            # a prefix has one way of tokens at most: what does not begin with the settled ones ends nowhere any more
+            k, done = len(shared), sum(len(self.bytes_of[t]) for t in shared)
+            last, pending = shared[-1], pending[done:]
+            paths = [p[k:] if p is not None and p[:k] == shared else None for p in paths[done:]]
         self.made += 1
-        return self.state(last, pending), out
+        return self.state(last, pending, paths), shared
 
     def word(self, text: str) -> tuple[int, ...]:
         if self.made > KEPT_MOVES:
@@ -127,7 +121,7 @@ class Transducer:
             row, settled = row[ch]
             if settled:
                 out += settled
-        out += row.end
+        out += row.paths[-1] or ()
         return tuple(out)
 
     def encode(self, text: str, out: array) -> None:
