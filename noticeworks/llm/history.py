@@ -146,12 +146,11 @@ def _bytes_in(chunks: Column, sizes: Column, other: Column) -> Column:
 class ChunkStore:
     """The lasting table from chunks to accepted records, below ``path``; a store that is there already is taken up again.
 
-    Per batch it holds three things: ``index/batch=N``, the rarest chunks of its accepted keys, dealt into buckets by chunk; ``keys-N``,
-    each key once with its owner; ``counts-N``, how often its chunks fall into each of ``SLOTS`` slots.
+    Per batch it holds two things: ``index/batch=N``, its keys under their rarest chunks, dealt into buckets by chunk, with the owner of
+    those that repeat another; and ``counts-N``, how often its chunks fall into each of ``SLOTS`` slots.
     """
 
-    INDEX = "chunk bigint, id bigint, digest binary, total int, chunks array<bigint>, sizes array<int>, batch int, bucket int"
-    KEYS = "digest binary, id bigint, owner bigint, covered double, total int, chunks array<bigint>, sizes array<int>"
+    INDEX = "chunk bigint, id bigint, digest binary, owner bigint, covered double, total int, chunks array<bigint>, sizes array<int>, batch int, bucket int"
 
     def __init__(self, spark, path: str | None = None, coverage: float = COVERAGE):
         self.spark, self.coverage = spark, coverage
@@ -176,9 +175,12 @@ class ChunkStore:
     def _at(self, what: str, batch: int) -> str:
         return f"{self.path}/{what}-{batch:06d}"
 
+    def _read(self, batches: list[int]) -> DataFrame:
+        return self.spark.read.schema(self.INDEX).option("basePath", f"{self.path}/index").parquet(*[self._index_of(b) for b in batches])
+
     def _index(self, keys: DataFrame | None = None) -> DataFrame:
-        """The index of all batches; for ``keys`` that touch few buckets only these are read."""
-        index = self.spark.read.schema(self.INDEX).option("basePath", f"{self.path}/index").parquet(*[self._index_of(b) for b in self.batches])
+        """The accepted records of all batches; for ``keys`` that touch few buckets only these are read."""
+        index = self._read(self.batches).where("owner is null").drop("owner", "covered")
         if keys is not None and self.buckets > 1:
             touched = [r[0] for r in keys.select(F.explode("chunks").alias("c")).select(F.pmod("c", F.lit(self.buckets)).cast("int")).distinct().collect()]
             if len(touched) < self.buckets:
@@ -218,20 +220,18 @@ class ChunkStore:
         if self.buckets is None:
             self.buckets = max(1, -(-int(new.sum()) // BUCKET_CHUNKS))
             write_bytes(self.spark, f"{self.path}/buckets", str(self.buckets).encode())
-        counts = sum(self.counts.values(), new)
+        known = _rarest(spread, sum(self.counts.values(), new), self.coverage)
         found = []
         if self.counts:
             found.append(self._found(spread, self._index(spread), small))
         if self.coverage < 1:  # equal keys are one key by now; alike ones may be in one batch
-            found.append(self._found(spread, _rarest(spread, counts, self.coverage).withColumn("chunk", F.explode(F.array_distinct("rare"))), small))
+            found.append(self._found(spread, known.withColumn("chunk", F.explode(F.array_distinct("rare"))), small))
         if found:
             best = found[0] if len(found) == 1 else found[0].unionByName(found[1]).groupBy("digest").agg(F.max(F.struct("covered", (-F.col("owner")).alias("first"))).alias("x")).select("digest", (-F.col("x.first")).alias("owner"), "x.covered")
-            decided = spread.join(F.broadcast(best) if small else best, "digest", "left")
+            decided = known.join(F.broadcast(best) if small else best, "digest", "left")
         else:
-            decided = spread.withColumns({"owner": F.lit(None).cast("bigint"), "covered": F.lit(None).cast("double")})
-        decided.select("digest", "id", "owner", "covered", "total", "chunks", "sizes").write.mode("overwrite").option("compression", "zstd").parquet(self._at("keys", batch))
-        accepted = _rarest(self.keys(batch).where("owner is null"), counts, self.coverage)
-        rows = accepted.select(F.explode(F.array_distinct("rare")).alias("chunk"), "id", "digest", "total", "chunks", "sizes")
+            decided = known.withColumns({"owner": F.lit(None).cast("bigint"), "covered": F.lit(None).cast("double")})
+        rows = decided.select(F.explode(F.array_distinct("rare")).alias("chunk"), "id", "digest", "owner", "covered", "total", "chunks", "sizes")
         rows = rows.withColumn("bucket", F.pmod("chunk", F.lit(self.buckets)).cast("int"))
         if self.buckets > 1:
             rows = rows.repartition("bucket").sortWithinPartitions("bucket", "chunk")
@@ -239,16 +239,14 @@ class ChunkStore:
         write_bytes(self.spark, self._at("counts", batch), new.tobytes())
         self.counts[batch] = new
 
-    def keys(self, batch: int) -> DataFrame:
-        return self.spark.read.schema(self.KEYS).parquet(self._at("keys", batch))
+    def keys(self) -> DataFrame:
+        """``batch, digest, id, owner, covered`` of each key of each batch; a key that is under several chunks comes once."""
+        rows = self._read(self.batches).select("batch", "digest", "id", "owner", "covered")
+        return rows if self.coverage == 1.0 else rows.dropDuplicates(["batch", "digest"])
 
     def owners(self) -> DataFrame:
         """``batch, digest, owner``: for each key of each batch the row that was accepted first."""
-        out = None
-        for b in self.batches:
-            part = self.keys(b).select(F.lit(b).alias("batch"), "digest", F.coalesce("owner", "id").alias("owner"))
-            out = part if out is None else out.unionByName(part)
-        return out
+        return self.keys().select("batch", "digest", F.coalesce("owner", "id").alias("owner"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -325,10 +323,7 @@ def alike(rows: DataFrame, columns: list[str], coverage: float = NEAR) -> DataFr
     store, keys = checked(content_keys(rows, columns), coverage)
     if store is None:
         return rows.sparkSession.createDataFrame([], "id bigint, near_id bigint, coverage double")
-    owned = None
-    for b in store.batches:
-        part = store.keys(b).select(F.lit(b).alias("batch"), "digest", F.col("id").alias("first"), "owner", "covered")
-        owned = part if owned is None else owned.unionByName(part)
+    owned = store.keys().withColumnRenamed("id", "first")
     out = keys.where("batch >= 1").join(owned, ["batch", "digest"])
     near = F.coalesce("owner", F.when(F.col("first") < F.col("id"), F.col("first")))
     return out.select("id", near.alias("near_id"), F.when(F.col("owner").isNotNull(), F.round("covered", 6)).otherwise(1.0).alias("coverage")).where("near_id is not null")
