@@ -4,8 +4,9 @@ A record is the set of its character trigrams. The trigrams are dealt into ``sha
 similarity, their parts in at least one shard do too, so each shard is searched by itself and nothing is lost. Inside a
 shard, DivideSkip: the short inverted lists (each record's rarest trigrams) are merged, and only the pairs they bring up
 are probed, by binary search, in the long lists until the required overlap is certain. Equal sets are searched once. Where
-a shard is too large for a task, its short lists are shuffled by key, so that each record is copied a bounded number of
-times. Pairs are then measured exactly.
+a shard is too large for a task, its short lists are dealt by the first token of their key, so that each record is copied a
+bounded number of times, and one shard is shuffled at a time, so that these copies never lie on disk for all shards at
+once. Pairs are then measured exactly.
 
 Defined results: null parts count as empty; records without content or with fewer than three letters have no partner;
 equal sets are similar (1.0), however many rows share one; repeated keys are rows of their own; an empty table gives an
@@ -24,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import written
+from ..runtime import release, written
 
 SIMILARITY = Fraction(3, 5)
 #: Parts the trigrams are dealt into, and records that one task holds of a shard.
 SHARDS, TASK_RECORDS = 16, 240_000
-#: Short lists a record is in, about (pairs of the six rarest of ten tokens): cells are made that many times as small.
-KEYS = 16
+#: First tokens of the short lists a record is in, about: cells are made that many times as small.
+KEYS = 8
 #: Slots in which tokens are counted where tasks must agree on what is rare (8 bytes each).
 SLOTS = 1 << 20
 #: Records dealt at once.
@@ -64,7 +65,7 @@ def _mixed(grams: np.ndarray) -> np.ndarray:
 
 
 def dealt_sets(texts: list[str], shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Shard, record and token of all trigrams, in this order; a token is a trigram in 31 bits.
+    """Shard, record and token of all trigrams, in this order; a token is a trigram in 24 bits.
 
     Where trigrams of a set fall on one token, each further one takes the next free number. So a set keeps its size, and two
     sets share at least as many tokens as trigrams: what is similar stays so.
@@ -73,7 +74,7 @@ def dealt_sets(texts: list[str], shards: int) -> tuple[np.ndarray, np.ndarray, n
     record = np.repeat(np.arange(len(sets)), [len(g) for g in sets])
     mixed = _mixed(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
     shard = ((mixed >> np.uint64(3)) % np.uint64(shards)).astype(np.int64)
-    token = (mixed >> np.uint64(33)).astype(np.int64)
+    token = (mixed >> np.uint64(40)).astype(np.int64)
     by = np.lexsort((token, record, shard))
     shard, record, token = shard[by], record[by], token[by]
     while True:
@@ -83,6 +84,19 @@ def dealt_sets(texts: list[str], shards: int) -> tuple[np.ndarray, np.ndarray, n
         token[again] = token[again - 1] + 1
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    """Tokens in three bytes each; in four if one was moved beyond 24 bits."""
+    four = tokens.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return (four if int(tokens.max(initial=0)) >> 24 else four[:, :3]).tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` tokens that ``_packed`` wrote."""
+    four = np.zeros((n, 4), np.uint8)
+    four[:, : len(data) // max(n, 1)] = np.frombuffer(data, np.uint8).reshape(n, -1) if n else 0
+    return four.view("<u4").ravel().astype(np.int64)
+
+
 def need(a: np.ndarray | int, b: np.ndarray | int, t: Fraction) -> np.ndarray | int:
     """Overlap that sets of sizes ``a`` and ``b`` need: the least o with o >= t (a + b - o)."""
     num, den = t.numerator, t.numerator + t.denominator
@@ -108,36 +122,62 @@ class _Sets:
         self.ranks = self.probe_key - self.doc * self.v
         self.starts = np.concatenate([[0], np.cumsum(sizes)])
 
-    def _pairs_of(self, docs: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each of ``docs`` all pairs of its ``prefix`` rarest tokens, as one number each, and whose they are."""
+    def _pairs_of(self, docs: np.ndarray, prefix: np.ndarray, cell: tuple[int, int] | None) -> tuple[np.ndarray, np.ndarray]:
+        """For each of ``docs`` all pairs of its ``prefix`` rarest tokens, as one number each, and whose they are; in a cell,
+        those whose first token falls into it."""
         keys, owners = [], []
-        for j in range(1, int(prefix.max(initial=0))):
-            mine = docs[prefix > j]
-            second = self.value[self.ranks[self.starts[mine] + j]]
-            for i in range(j):
-                keys.append(self.value[self.ranks[self.starts[mine] + i]] << 32 | second)
-                owners.append(mine)
+        for i in range(int(prefix.max(initial=0)) - 1):
+            long = prefix > i + 1
+            mine, most = docs[long], prefix[long]
+            first = self.value[self.ranks[self.starts[mine] + i]]
+            if cell is not None:
+                here = _cell_of(first, cell[1]) == cell[0]
+                mine, most, first = mine[here], most[here], first[here]
+            for j in range(i + 1, int(most.max(initial=0))):
+                some = most > j
+                keys.append(first[some] << 32 | self.value[self.ranks[self.starts[mine[some]] + j]])
+                owners.append(mine[some])
         return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.empty(0, np.int64), np.empty(0, np.int64))
 
-    def lists(self, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    def _prefixes(self, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+        """Of each record, how many of its rarest tokens cannot all be missed where it is listed, and where it asks, less one."""
+        least = -(-(t.numerator * self.sizes) // t.denominator)  # overlap with the smallest possible partner
+        return self.sizes - need(self.sizes, self.sizes, t), self.sizes - least
+
+    def _single(self, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+        """Which tokens are listed, and asked for, by themselves."""
+        sizes, doc = self.sizes, self.doc
+        listed, asked = self._prefixes(t)
+        place = np.arange(len(doc)) - self.starts[doc]
+        lone = sizes[doc] * t.numerator <= t.denominator  # one shared token may do
+        large = sizes[doc] * t.denominator > PAIRED * t.numerator
+        return (lone | large) & (place < listed[doc] + 1), (lone | (sizes > PAIRED)[doc]) & (place < asked[doc] + 1)
+
+    def lists(self, t: Fraction, cell: tuple[int, int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Short lists and who asks for them: ``(key, record listed, key, record asking)``.
 
         If two sets share o tokens, then of each one's |set| - o + k rarest they share k. Up to ``PAIRED`` tokens the short
         lists are merged for k = 2, by listing pairs of rare tokens; larger sets, and those so small that one may do, for k = 1.
         """
         sizes, doc = self.sizes, self.doc
-        least = -(-(t.numerator * sizes) // t.denominator)  # overlap with the smallest possible partner
-        listed, asked = sizes - need(sizes, sizes, t), sizes - least
-        paired = sizes <= PAIRED
-        two = np.flatnonzero(paired & (sizes > 1))
-        yield (*self._pairs_of(two, np.minimum(listed[two] + 2, sizes[two])), *self._pairs_of(two, np.minimum(asked[two] + 2, sizes[two])))
-        place = np.arange(len(doc)) - self.starts[doc]
-        lone = sizes[doc] * t.numerator <= t.denominator  # one shared token may do
-        large = sizes[doc] * t.denominator > PAIRED * t.numerator
-        in_list = (lone | large) & (place < listed[doc] + 1)
-        asks = (lone | ~paired[doc]) & (place < asked[doc] + 1)
+        listed, asked = self._prefixes(t)
+        two = np.flatnonzero((sizes <= PAIRED) & (sizes > 1))
+        yield (*self._pairs_of(two, np.minimum(listed[two] + 2, sizes[two]), cell), *self._pairs_of(two, np.minimum(asked[two] + 2, sizes[two]), cell))
+        in_list, asks = self._single(t)
+        if cell is not None:
+            here = (_cell_of(self.value, cell[1]) == cell[0])[self.ranks]
+            in_list, asks = in_list & here, asks & here
         yield self.value[self.ranks[in_list]], doc[in_list], self.value[self.ranks[asks]], doc[asks]
 
+    def visits(self, t: Fraction, cells: int) -> tuple[np.ndarray, np.ndarray]:
+        """Cells that hold a short list which a record is in or asks for, and the record; in order of the cells."""
+        place = np.arange(len(self.doc)) - self.starts[self.doc]
+        first = (self.sizes <= PAIRED)[self.doc] & (place < np.minimum(self._prefixes(t)[1] + 2, self.sizes)[self.doc] - 1)  # who asks goes farther than who is listed
+        in_list, asks = self._single(t)
+        some = first | in_list | asks
+        visit = np.unique(_cell_of(self.value, cells)[self.ranks[some]] * len(self.sizes) + self.doc[some])
+        return visit // len(self.sizes), visit % len(self.sizes)
+
 
 def _meetings(l_key: np.ndarray, l_doc: np.ndarray, q_key: np.ndarray, q_doc: np.ndarray, sizes: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Distinct (asking, listed) records that meet in a list, the asking one the larger (of equals the later)."""
@@ -168,14 +208,11 @@ def _meetings(l_key: np.ndarray, l_doc: np.ndarray, q_key: np.ndarray, q_doc: np
 def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction, weight: np.ndarray | None = None, cell: tuple[int, int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of records (by position) whose sets reach similarity ``t``. ``tokens``: all sets, one after the other.
 
-    ``cell``: (i, n), only the lists whose key falls into the i-th of n cells are merged; the same ``weight`` must hold in all.
+    ``cell``: (i, n), only the lists whose first token falls into the i-th of n cells are merged; the same ``weight`` must hold in all.
     """
     sets = _Sets(sizes, tokens, weight)
     probe_key, v, ranks, starts = sets.probe_key, sets.v, sets.ranks, sets.starts
-    for l_key, l_doc, q_key, q_doc in sets.lists(t):
-        if cell is not None:
-            mine, asking = _cell_of(l_key, cell[1]) == cell[0], _cell_of(q_key, cell[1]) == cell[0]
-            l_key, l_doc, q_key, q_doc = l_key[mine], l_doc[mine], q_key[asking], q_doc[asking]
+    for l_key, l_doc, q_key, q_doc in sets.lists(t, cell):
         for x, y in _meetings(l_key, l_doc, q_key, q_doc, sizes, t):
             for at in range(0, len(x), MERGED // 16):
                 px, py = x[at : at + MERGED // 16], y[at : at + MERGED // 16]
@@ -220,33 +257,41 @@ def bare_records(rows: DataFrame, key: str, parts: list[str]) -> DataFrame:
     return rows.select(F.col(key).cast("bigint").alias("id"), text.alias("t")).mapInArrow(run, "id bigint, bare string, digest binary")
 
 
-def token_weights(records: DataFrame, shards: int) -> np.ndarray:
-    """How often tokens occur in ``records``, in ``SLOTS`` slots: an order of rarity that is the same in all tasks."""
+def token_weights(dealt: DataFrame) -> np.ndarray:
+    """How often tokens occur in ``dealt``, in ``SLOTS`` slots: an order of rarity that is the same in all tasks."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, DEALT):
-                total += np.bincount(dealt_sets(batch.column(0).slice(at, DEALT).to_pylist(), shards)[2] % SLOTS, minlength=SLOTS)
+            for sizes, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total += np.bincount(_unpacked(tokens, int(np.frombuffer(sizes, np.int32).sum())) % SLOTS, minlength=SLOTS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["slot", "n"])
 
     weight = np.zeros(SLOTS, np.int64)
-    for slot, n in records.select("bare").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n")).collect():
+    for slot, n in dealt.select("sizes", "tokens").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n")).collect():
         weight[slot] = n
     return weight
 
 
+_DEALT = "cell int, ids binary, sizes binary, tokens binary"
+
+
+def _batch(rows: list[tuple[int, bytes, bytes, bytes]]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [(), (), (), ()]
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["cell", "ids", "sizes", "tokens"])
+
+
 def candidates(records: DataFrame, t: Fraction = SIMILARITY, shards: int = SHARDS, task_records: int = TASK_RECORDS) -> DataFrame:
-    """Pairs ``a < b`` of ``records`` (``id, bare``) whose sets reach ``t`` in some shard; each pair once.
+    """Pairs ``a < b`` of ``records`` (``id, bare``) whose sets reach ``t`` in some shard; each pair once, as a table.
 
-    Where a shard has more records than a task holds, its lists are dealt into cells by their key, and a record's part goes to
-    the cells of its own short lists: to ``KEYS`` or so at most, however many records and cells there are.
+    Where a shard has more records than a task holds, its lists are dealt into cells by the first token of their key, and a
+    record's part goes to the cells of its own short lists: to ``KEYS`` or so at most, however many records and cells there
+    are. All shards are then written once, and shuffled one after the other: what one has shuffled is removed before the next.
     """
     n = records.count()
     cells = 1 if n <= task_records else -(-KEYS * n // task_records)
-    weight = token_weights(records, shards) if cells > 1 else None
-    held = records.sparkSession.sparkContext.broadcast(weight)
+    spark = records.sparkSession
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,43 +299,73 @@ def candidates(records: DataFrame, t: Fraction = SIMILARITY, shards: int = SHARD
                 ids = batch.column(0).slice(at, DEALT).to_numpy(zero_copy_only=False).astype(np.int64)
                 shard, record, token = dealt_sets(batch.column(1).slice(at, DEALT).to_pylist(), shards)
                 bounds = np.searchsorted(shard, np.arange(shards + 1))
-                packed: list[tuple[int, bytes, bytes, bytes]] = []
+                rows = []
                 for s in range(shards):
                     r, k = record[bounds[s] : bounds[s + 1]], token[bounds[s] : bounds[s + 1]]
-                    who, first, counts = np.unique(r, return_index=True, return_counts=True)
-                    if not len(who):
-                        continue
-                    if cells == 1:
-                        packed.append((s, ids[who].tobytes(), counts.astype(np.int32).tobytes(), k.astype(np.uint32).tobytes()))
-                        continue
-                    visits = np.unique(np.concatenate([_cell_of(key, cells) * len(who) + doc for part in _Sets(counts, k, held.value).lists(t) for key, doc in (part[:2], part[2:])]))
-                    place, mine = visits // len(who), visits % len(who)
+                    who, counts = np.unique(r, return_counts=True)
+                    if len(who):
+                        rows.append((s, ids[who].tobytes(), counts.astype(np.int32).tobytes(), _packed(k)))
+                yield _batch(rows)
+
+    def joined(dealt: DataFrame, weight: np.ndarray | None = None) -> DataFrame:
+        """The pairs of all shards of ``dealt``, or, with ``weight``, of all cells of one."""
+        held = spark.sparkContext.broadcast(weight)
+
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for _, ids, sizes, tokens in zip(*[c.to_pylist() for c in batch.columns]):
+                    who, counts = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int32).astype(np.int64)
+                    k = _unpacked(tokens, int(counts.sum()))
+                    first = np.cumsum(counts) - counts
+                    place, mine = _Sets(counts, k, held.value).visits(t, cells)
                     edges = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True]) if len(place) else []
+                    rows = []
                     for low, high in zip(edges[:-1], edges[1:]):
                         some = mine[low:high]
                         c = counts[some]
                         at_token = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c) + np.repeat(first[some], c)
-                        packed.append((s * cells + int(place[low]), ids[who[some]].tobytes(), c.astype(np.int32).tobytes(), k[at_token].astype(np.uint32).tobytes()))
-                columns = list(zip(*packed)) or [(), (), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["cell", "ids", "sizes", "tokens"])
-
-    def join(key: tuple, group: pa.Table) -> pa.Table:
-        ids = np.frombuffer(b"".join(group.column("ids").to_pylist()), np.int64)
-        sizes = np.frombuffer(b"".join(group.column("sizes").to_pylist()), np.int32).astype(np.int64)
-        tokens = np.frombuffer(b"".join(group.column("tokens").to_pylist()), np.uint32).astype(np.int64)
-        found = [np.stack([ids[y], ids[x]]) for x, y in search(sizes, tokens, t, held.value, (key[0].as_py() % cells, cells) if cells > 1 else None)]
-        a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
-
-    dealt = records.select("id", "bare").mapInArrow(deal, "cell int, ids binary, sizes binary, tokens binary")
-    dealt = dealt.repartition(min(shards * cells, 100_000), "cell")
-    return dealt.groupBy("cell").applyInArrow(join, "a bigint, b bigint").distinct()
+                        rows.append((int(place[low]), who[some].tobytes(), c.astype(np.int32).tobytes(), _packed(k[at_token])))
+                    yield _batch(rows)
+
+        def join(key: tuple, group: pa.Table) -> pa.Table:
+            ids = np.frombuffer(b"".join(group.column("ids").to_pylist()), np.int64)
+            counts = [np.frombuffer(x, np.int32).astype(np.int64) for x in group.column("sizes").to_pylist()]
+            tokens = np.concatenate([_unpacked(x, int(c.sum())) for x, c in zip(group.column("tokens").to_pylist(), counts)])
+            found = [np.stack([ids[y], ids[x]]) for x, y in search(np.concatenate(counts), tokens, t, held.value, None if weight is None else (key[0].as_py(), cells))]
+            a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+            return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+        if weight is not None:
+            dealt = dealt.mapInArrow(send, _DEALT)
+        return dealt.repartition(shards if weight is None else min(cells, 100_000), "cell").groupBy("cell").applyInArrow(join, "a bigint, b bigint")
+
+    dealt = records.select("id", "bare").mapInArrow(deal, _DEALT)
+    if cells == 1:
+        found = written(joined(dealt).distinct(), "pairs")
+        release(spark)
+        return found
+    dealt = written(dealt, "dealt", ["cell"]).select("cell", "ids", "sizes", "tokens")
+    weight = token_weights(dealt)
+    met = []
+    for s in range(shards):
+        met.append(written(joined(dealt.where(F.col("cell") == s), weight), "met"))
+        release(spark)
+    release(spark, dealt)
+    every = met[0]
+    for x in met[1:]:
+        every = every.unionByName(x)
+    found = written(every.distinct(), "pairs")
+    release(spark, *met)
+    return found
 
 
 def similar_sets(rows: DataFrame, key: str, parts: list[str], t: Fraction = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Similar pairs of distinct sets (``a < b, similarity``) and the rows of each set (``set, id``); a set is named by its least row."""
+    spark = rows.sparkSession
     records = written(bare_records(rows, key, parts), "bare")
     sets = written(records.groupBy("digest").agg(F.min("id").alias("set"), F.min_by("bare", "id").alias("bare")), "sets")
+    members = written(records.join(sets.select("digest", "set"), "digest").select("set", "id"), "members")
+    release(spark, records)
     pairs = candidates(sets.select(F.col("set").alias("id"), "bare"), t)
     texts = sets.select(F.col("set"), "bare")
     both = pairs.join(texts.select(F.col("set").alias("a"), F.col("bare").alias("bare_a")), "a").join(texts.select(F.col("set").alias("b"), F.col("bare").alias("bare_b")), "b")
@@ -302,7 +377,6 @@ def similar_sets(rows: DataFrame, key: str, parts: list[str], t: Fraction = SIMI
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=["a", "b", "similarity"])
 
     measured = both.select("a", "b", "bare_a", "bare_b").mapInArrow(measure, "a bigint, b bigint, similarity double").where(F.col("similarity") >= least)
-    members = records.join(sets.select("digest", "set"), "digest").select("set", "id")
     return measured, members
 
 
@@ -327,7 +401,7 @@ def similar_groups(rows: DataFrame, key: str, parts: list[str], t: Fraction = SI
     from .history import components
 
     measured, members = similar_sets(rows, key, parts, t)
-    pairs, members = written(measured.select("a", "b"), "pairs"), written(members, "members")
+    pairs = written(measured.select("a", "b"), "pairs")
     sizes = members.groupBy("set").agg(F.count("*").alias("size"))
     turned = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     across = turned.join(sizes.select(F.col("set").alias("b"), "size"), "b").groupBy(F.col("a").alias("set")).agg(F.sum("size").alias("across"))

@@ -1,9 +1,11 @@
+import os
 import random
 from fractions import Fraction
 
 import numpy as np
 import pytest
 
+from noticeworks import runtime
 from noticeworks.llm import overlap
 
 
@@ -87,3 +89,32 @@ def test_groups(spark):
     got = overlap.similar_groups(df, "id", ["t"]).collect()
     assert {r["id"]: (r["links"], r["group_id"]) for r in got} == {i: (links[i], root[i]) for i in links}
     assert {r["class_id"] for r in got if r["id"] in (0, 100, 101)} == {0}
+
+
+def test_cells_hold_few_copies_and_lose_nothing():
+    random.seed(5)
+    base = [random.sample(range(4000), 16) for _ in range(80)]
+    sets = [sorted(set(random.choice(base)) ^ set(random.sample(range(4000), random.randint(0, 4)))) for _ in range(200)]
+    sizes, tokens = np.array([len(s) for s in sets]), np.concatenate(sets)
+    weight = np.bincount(tokens, minlength=4096)
+    place, record = overlap._Sets(sizes, tokens, weight).visits(overlap.SIMILARITY, 1000)
+    assert np.bincount(record).max() <= 10 and (np.diff(place) >= 0).all()  # pairs of tokens fell into 45 cells and more
+    found = lambda cell: {(a, b) for x, y in overlap.search(sizes, tokens, overlap.SIMILARITY, weight, cell) for a, b in zip(x.tolist(), y.tolist())}
+    whole = found(None)
+    assert len(whole) > 100 and set().union(*[found((c, 7)) for c in range(7)]) == whole
+
+
+def test_packed_tokens():
+    for tokens in ([], [0, 5, (1 << 24) - 1], [1, 1 << 24]):
+        data = overlap._packed(np.array(tokens, np.int64))
+        assert overlap._unpacked(data, len(tokens)).tolist() == tokens
+
+
+def test_nothing_is_left_of_dealt_shards(spark):
+    before = set(runtime.names_in(spark, os.path.dirname(runtime.scratch_path(spark, "x"))))
+    df = spark.createDataFrame(list(enumerate(texts(120))), "id long, t string")
+    overlap.candidates(overlap.bare_records(df, "id", ["t"]), task_records=60)
+    left = set(runtime.names_in(spark, os.path.dirname(runtime.scratch_path(spark, "x")))) - before
+    path = os.path.dirname(runtime.scratch_path(spark, "x")).removeprefix("file://")
+    assert not any(f.endswith(".parquet") for x in left if x.startswith(("dealt", "met")) for _, _, files in os.walk(os.path.join(path, x)) for f in files)
+    assert any(x.startswith("pairs") for x in left)
