@@ -255,3 +255,43 @@ def test_watched_against_all_pairs(spark):
                 want.add((w, i, 1.0 if w == n else 0.96 if min(len(w), len(n)) >= 8 and (w in n or n in w) else round(SequenceMatcher(None, w, n).ratio(), 3)))
     assert {tuple(r) for r in linkage.watched(watch, df).collect()} == want and len(want) > 30
     assert linkage.watched(watch.where("false"), df).count() == 0 and linkage.watched(watch, df.where("false")).count() == 0
+
+
+def test_common_in_order():
+    import random
+
+    import numpy as np
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    random.seed(3)
+    for size in (3, 40, 70, 200):
+        texts = [[random.randrange(9) for _ in range(random.randint(1, size))] for _ in range(30)]  # letter 9 is none
+        mine = [[random.randrange(9) for _ in range(random.randint(1, size))] for _ in range(3)]
+        masks, table = np.zeros((-(-size // 64), 3, 10), np.uint64), np.full((30, size), 9, np.int32)
+        for k, x in enumerate(mine):
+            for i, letter in enumerate(x):
+                masks[i >> 6, k, letter] |= np.uint64(1 << (i & 63))
+        for j, x in enumerate(texts):
+            table[j, : len(x)] = x
+        which, js = np.repeat(np.arange(3), 30), np.tile(np.arange(30), 3)
+        want = np.array([longest(mine[k], texts[j]) for k, j in zip(which, js)])
+        assert (linkage._common_in_order(masks, which, table[js], np.zeros(90, np.int64)) == want).all()
+        least = want + np.array([random.randint(-2, 2) for _ in want])
+        got = linkage._common_in_order(masks, which, table[js], least)
+        assert ((got == want) | ((got == -1) & (want < least))).all() and (got < least)[want < least].all()
+
+
+def test_values_of_notices_are_prepared_once_for_many_plans(spark):
+    import pyarrow as pa
+
+    plans, notices = spark.range(600).selectExpr("cast(id as string) AS p"), spark.range(50).selectExpr("cast(id as string) AS n")
+    seen = linkage.compared(plans, notices, lambda left, right: pa.table({"rows": pa.array([right.num_rows], pa.int64())}), "rows long").collect()
+    assert sum(r["rows"] for r in seen) == 50
