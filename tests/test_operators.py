@@ -295,3 +295,12 @@ def test_values_of_notices_are_prepared_once_for_many_plans(spark):
     plans, notices = spark.range(600).selectExpr("cast(id as string) AS p"), spark.range(50).selectExpr("cast(id as string) AS n")
     seen = linkage.compared(plans, notices, lambda left, right: pa.table({"rows": pa.array([right.num_rows], pa.int64())}), "rows long").collect()
     assert sum(r["rows"] for r in seen) == 50
+
+
+def test_best_links_read_the_pairs_once(spark):
+    rows = [(1, 10, "2026-01-02", 0.9, "high"), (2, 10, "2026-01-03", 0.88, "high"), (3, 10, None, 0.9, "high"), (4, 10, "2026-01-01", 0.8, "high"), (5, 11, "", 0.75, "high")]
+    pairs = spark.createDataFrame(rows, "plan_id long, notice_id long, plan_published_at string, confidence double, level string")
+    best = linkage.best_links(pairs.repartition(3, "plan_id"))
+    got = sorted((r["notice_id"], r["rank"], r["plan_id"], r["candidates"], r["level"], r["primary"]) for r in best.collect())
+    assert got == [(10, 1, 1, 3, "candidate", True), (10, 2, 3, 3, "candidate", False), (10, 3, 2, 3, "candidate", False), (11, 1, 5, 1, "high", True)]
+    assert best._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
