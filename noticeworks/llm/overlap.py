@@ -1,12 +1,12 @@
-"""Near-duplicate records by T-occurrence search over inverted lists (problem 6), exact at any number of records.
+"""Near-duplicate records by inverted lists of rare trigrams (problem 6), exact at any number of records.
 
 A record is the set of its character trigrams. The trigrams are dealt into ``shards`` by hash: where two sets reach the
 similarity, their parts in at least one shard do too, so each shard is searched by itself and nothing is lost. Inside a
-shard, DivideSkip: the short inverted lists (each record's rarest trigrams) are merged, and only the pairs they bring up
-are probed, by binary search, in the long lists until the required overlap is certain. Equal sets are searched once. Where
-a shard is too large for a task, its short lists are dealt by the first token of their key, so that each record is copied a
-bounded number of times, and one shard is shuffled at a time, so that these copies never lie on disk for all shards at
-once. Pairs are then measured exactly.
+shard, records meet in the lists of their rarest tokens; a list in which too many meet is divided by the next token they
+share, so that lists stay short as records grow in number. Who meets is compared by 64 bits, then by binary search of the
+tokens. Equal sets are searched once. Where a shard is too large for a task, its lists are dealt by their first token, so
+that each record is copied a bounded number of times, and one shard is shuffled at a time, so that these copies never lie
+on disk for all shards at once. Pairs are then measured exactly.
 
 Defined results: null parts count as empty; records without content or with fewer than three letters have no partner;
 equal sets are similar (1.0), however many rows share one; repeated keys are rows of their own; an empty table gives an
@@ -38,8 +38,8 @@ SLOTS = 1 << 20
 DEALT = 4_000
 #: Entries of merged lists held at once by one task.
 MERGED = 1_000_000
-#: Sets of up to so many tokens in a shard are listed by pairs of rare tokens.
-PAIRED = 48
+#: Meetings that cost as much as an entry of a list: where there are more, the list is divided. Entries of divided lists held at once.
+DEEPER, ENTRIES = 3, 1_000_000
 
 _DROP = re.compile(r"[\W_]+")
 
@@ -54,7 +54,15 @@ def grams_of(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     if len(points) < 3:
         return np.empty(0, np.int64)
-    return np.unique(points[:-2] << 42 | points[1:-1] << 21 | points[2:])
+    return _distinct(points[:-2] << 42 | points[1:-1] << 21 | points[2:])
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """As ``np.unique``, but by sorting, which is faster for numbers."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
 
 
 def _mixed(grams: np.ndarray) -> np.ndarray:
@@ -74,9 +82,8 @@ def dealt_sets(texts: list[str], shards: int) -> tuple[np.ndarray, np.ndarray, n
     record = np.repeat(np.arange(len(sets)), [len(g) for g in sets])
     mixed = _mixed(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
     shard = ((mixed >> np.uint64(3)) % np.uint64(shards)).astype(np.int64)
-    token = (mixed >> np.uint64(40)).astype(np.int64)
-    by = np.lexsort((token, record, shard))
-    shard, record, token = shard[by], record[by], token[by]
+    owner, token = np.divmod(np.sort((shard * len(sets) + record) << 24 | (mixed >> np.uint64(40)).astype(np.int64)), 1 << 24)
+    shard, record = np.divmod(owner, max(len(sets), 1))
     while True:
         again = np.flatnonzero((shard[1:] == shard[:-1]) & (record[1:] == record[:-1]) & (token[1:] <= token[:-1])) + 1
         if not len(again):
@@ -104,125 +111,133 @@ def need(a: np.ndarray | int, b: np.ndarray | int, t: Fraction) -> np.ndarray |
 
 
 class _Sets:
-    """Token sets of many records (one after the other, any order inside), each in order from its rarest token on.
+    """Token sets of many records (one after the other, any order inside), by size, each in order from its rarest token on.
 
-    Rarity is what ``weight`` says of a token (equal ones by number), or how many of these records have it.
+    Rarity is what ``weight`` says of a token (equal ones by number), or how many of these records have it; ``ordered`` sets come
+    from the rarest token on. ``record``: whose set each is.
     """
 
-    def __init__(self, sizes: np.ndarray, tokens: np.ndarray, weight: np.ndarray | None = None):
-        self.sizes = sizes
-        self.doc = np.repeat(np.arange(len(sizes)), sizes)
-        values, token, df = np.unique(tokens, return_inverse=True, return_counts=True)
-        rare = np.argsort(df if weight is None else weight[values % len(weight)], kind="stable")
-        self.v = len(values)
-        self.value = values[rare]
-        rank = np.empty(self.v, np.int64)
-        rank[rare] = np.arange(self.v)
-        self.probe_key = np.sort(self.doc * self.v + rank[token])  # a token in a record: by binary search
-        self.ranks = self.probe_key - self.doc * self.v
-        self.starts = np.concatenate([[0], np.cumsum(sizes)])
-
-    def _pairs_of(self, docs: np.ndarray, prefix: np.ndarray, cell: tuple[int, int] | None) -> tuple[np.ndarray, np.ndarray]:
-        """For each of ``docs`` all pairs of its ``prefix`` rarest tokens, as one number each, and whose they are; in a cell,
-        those whose first token falls into it."""
-        keys, owners = [], []
-        for i in range(int(prefix.max(initial=0)) - 1):
-            long = prefix > i + 1
-            mine, most = docs[long], prefix[long]
-            first = self.value[self.ranks[self.starts[mine] + i]]
-            if cell is not None:
-                here = _cell_of(first, cell[1]) == cell[0]
-                mine, most, first = mine[here], most[here], first[here]
-            for j in range(i + 1, int(most.max(initial=0))):
-                some = most > j
-                keys.append(first[some] << 32 | self.value[self.ranks[self.starts[mine[some]] + j]])
-                owners.append(mine[some])
-        return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.empty(0, np.int64), np.empty(0, np.int64))
-
-    def _prefixes(self, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
-        """Of each record, how many of its rarest tokens cannot all be missed where it is listed, and where it asks, less one."""
-        least = -(-(t.numerator * self.sizes) // t.denominator)  # overlap with the smallest possible partner
-        return self.sizes - need(self.sizes, self.sizes, t), self.sizes - least
-
-    def _single(self, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
-        """Which tokens are listed, and asked for, by themselves."""
-        sizes, doc = self.sizes, self.doc
-        listed, asked = self._prefixes(t)
-        place = np.arange(len(doc)) - self.starts[doc]
-        lone = sizes[doc] * t.numerator <= t.denominator  # one shared token may do
-        large = sizes[doc] * t.denominator > PAIRED * t.numerator
-        return (lone | large) & (place < listed[doc] + 1), (lone | (sizes > PAIRED)[doc]) & (place < asked[doc] + 1)
-
-    def lists(self, t: Fraction, cell: tuple[int, int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Short lists and who asks for them: ``(key, record listed, key, record asking)``.
-
-        If two sets share o tokens, then of each one's |set| - o + k rarest they share k. Up to ``PAIRED`` tokens the short
-        lists are merged for k = 2, by listing pairs of rare tokens; larger sets, and those so small that one may do, for k = 1.
+    def __init__(self, sizes: np.ndarray, tokens: np.ndarray, weight: np.ndarray | None = None, ordered: bool = False):
+        self.record = np.argsort(sizes, kind="stable")
+        self.sizes = sizes[self.record]
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), self.sizes)
+        self.v = int(tokens.max(initial=0)) + 1
+        if ordered:
+            first = (np.cumsum(sizes) - sizes)[self.record]
+            self.token = tokens[np.arange(len(tokens)) + np.repeat(first - self.starts[:-1], self.sizes)]
+        else:
+            values, token, df = np.unique(tokens, return_inverse=True, return_counts=True)
+            rare = np.argsort(df if weight is None else weight[values % len(weight)], kind="stable")
+            rank = np.empty(len(values), np.int64)
+            rank[rare] = np.arange(len(values))
+            place = np.empty(len(sizes), np.int64)
+            place[self.record] = np.arange(len(sizes))
+            self.token = values[rare][np.sort(np.repeat(place, sizes) * len(values) + rank[token]) - self.doc * np.int64(len(values))]
+        self.probe_key = np.sort(self.doc * np.int64(self.v) + self.token)  # a token in a record: by binary search
+
+    def last(self, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+        """Of each record the place up to which its first shared token must lie where it is listed, and where it asks.
+
+        If two sets share o tokens, the first of them is among each one's |set| - o + 1 rarest, the k-th among the |set| - o + k rarest.
         """
-        sizes, doc = self.sizes, self.doc
-        listed, asked = self._prefixes(t)
-        two = np.flatnonzero((sizes <= PAIRED) & (sizes > 1))
-        yield (*self._pairs_of(two, np.minimum(listed[two] + 2, sizes[two]), cell), *self._pairs_of(two, np.minimum(asked[two] + 2, sizes[two]), cell))
-        in_list, asks = self._single(t)
-        if cell is not None:
-            here = (_cell_of(self.value, cell[1]) == cell[0])[self.ranks]
-            in_list, asks = in_list & here, asks & here
-        yield self.value[self.ranks[in_list]], doc[in_list], self.value[self.ranks[asks]], doc[asks]
+        return self.sizes - need(self.sizes, self.sizes, t), self.sizes - -(-(t.numerator * self.sizes) // t.denominator)
 
     def visits(self, t: Fraction, cells: int) -> tuple[np.ndarray, np.ndarray]:
-        """Cells that hold a short list which a record is in or asks for, and the record; in order of the cells."""
-        place = np.arange(len(self.doc)) - self.starts[self.doc]
-        first = (self.sizes <= PAIRED)[self.doc] & (place < np.minimum(self._prefixes(t)[1] + 2, self.sizes)[self.doc] - 1)  # who asks goes farther than who is listed
-        in_list, asks = self._single(t)
-        some = first | in_list | asks
-        visit = np.unique(_cell_of(self.value, cells)[self.ranks[some]] * len(self.sizes) + self.doc[some])
+        """Cells in which a record may share its first token, and the record; in order of the cells."""
+        some = np.flatnonzero(np.arange(len(self.doc)) <= (self.starts[:-1] + self.last(t)[1])[self.doc])  # who asks goes farther than who is listed
+        visit = _distinct(_cell_of(self.token[some], cells) * len(self.sizes) + self.record[self.doc[some]])
         return visit // len(self.sizes), visit % len(self.sizes)
 
+    def signatures(self) -> np.ndarray:
+        """64 bits of each set, turned over once by every token: sets differ in as many tokens as bits at least."""
+        return np.bitwise_xor.reduceat(np.uint64(1) << (_mixed(self.token) >> np.uint64(58)), self.starts[:-1]) if len(self.doc) else np.empty(0, np.uint64)
+
+
+def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction, weight: np.ndarray | None = None, cell: tuple[int, int] | None = None, ordered: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of records (by position) whose sets, none empty, reach similarity ``t``. ``tokens``: all sets, one after the other.
 
-def _meetings(l_key: np.ndarray, l_doc: np.ndarray, q_key: np.ndarray, q_doc: np.ndarray, sizes: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct (asking, listed) records that meet in a list, the asking one the larger (of equals the later)."""
-    by = np.argsort(l_key, kind="stable")
-    l_key, l_doc = l_key[by], l_doc[by]
-    by = np.argsort(q_key, kind="stable")  # in order, the searches walk through memory instead of jumping
-    q_key, q_doc = q_key[by], q_doc[by]
-    low, high = np.searchsorted(l_key, q_key, "left"), np.searchsorted(l_key, q_key, "right")
-    met = high > low
-    q_doc, low, count = q_doc[met], low[met], (high - low)[met]
-    by = np.argsort(q_doc, kind="stable")
-    q_doc, low, count = q_doc[by], low[by], count[by]
-    n, at, total = len(sizes), 0, np.cumsum(count)
-    while at < len(q_doc):
-        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + MERGED, "right")))
-        while stop < len(q_doc) and q_doc[stop] == q_doc[stop - 1]:  # whole records, so that no pair comes twice
-            stop += 1
-        c = count[at:stop]
-        x = np.repeat(q_doc[at:stop], c)
-        y = l_doc[np.arange(len(x)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(low[at:stop], c)]
-        at = stop
-        sx, sy = sizes[x], sizes[y]
-        keep = ((sy < sx) | ((sy == sx) & (y < x))) & (sy * t.denominator >= sx * t.numerator)
-        pair = np.unique(x[keep] * n + y[keep])
-        yield pair // n, pair % n
-
-
-def search(sizes: np.ndarray, tokens: np.ndarray, t: Fraction, weight: np.ndarray | None = None, cell: tuple[int, int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of records (by position) whose sets reach similarity ``t``. ``tokens``: all sets, one after the other.
-
-    ``cell``: (i, n), only the lists whose first token falls into the i-th of n cells are merged; the same ``weight`` must hold in all.
+    Records meet in lists of those that hold a token among their rarest ones; a list in which too many meet is divided by the next
+    token they share, and again, as far as this makes the lists shorter. ``cell``: (i, n), only lists whose first token falls
+    into the i-th of n cells; the same ``weight`` must hold in all, as it must where sets come ``ordered`` by it.
     """
-    sets = _Sets(sizes, tokens, weight)
-    probe_key, v, ranks, starts = sets.probe_key, sets.v, sets.ranks, sets.starts
-    for l_key, l_doc, q_key, q_doc in sets.lists(t, cell):
-        for x, y in _meetings(l_key, l_doc, q_key, q_doc, sizes, t):
-            for at in range(0, len(x), MERGED // 16):
-                px, py = x[at : at + MERGED // 16], y[at : at + MERGED // 16]
+    sets = _Sets(sizes, tokens, weight, ordered)
+    sizes, doc, token, starts, probe_key, v = sets.sizes, sets.doc, sets.token, sets.starts, sets.probe_key, sets.v
+    listed, asks = (starts[:-1] + x for x in sets.last(t))
+    least = np.searchsorted(sizes, -(-(t.numerator * sizes) // t.denominator))  # the first record that is not too small for each
+    only = -(-(t.numerator * sizes) // t.denominator)  # tokens that it shares with the smallest possible partner
+    signs = sets.signatures()
+    sums = np.arange(2 * int(sizes.max(initial=0)) + 1)
+    room = sums - 2 * need(sums, 0, t)
+
+    def measured(x: np.ndarray, low: np.ndarray, count: np.ndarray, others: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Similar pairs of records ``x`` and their ``count`` records of ``others`` from ``low`` on, the larger (of equals the later) first."""
+        total, at = np.cumsum(count), 0
+        while at < len(x):
+            stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + MERGED, "right")))
+            c = count[at:stop]
+            px = np.repeat(x[at:stop], c)
+            py = others[np.arange(len(px)) + np.repeat(low[at:stop] - (np.cumsum(c) - c), c)]
+            at = stop
+            keep = np.flatnonzero((py < px) & (py >= least[px]))
+            px, py = px[keep], py[keep]
+            keep = np.flatnonzero(np.bitwise_count(signs[px] ^ signs[py]) <= room[sizes[px] + sizes[py]])
+            pair = _distinct(px[keep] * np.int64(len(sizes)) + py[keep])
+            for some in range(0, len(pair), MERGED // 16):
+                px, py = np.divmod(pair[some : some + MERGED // 16], len(sizes))
                 s = sizes[py]  # the smaller one's tokens are probed in the larger one
                 member = np.repeat(np.arange(len(px)), s)
-                pos = np.arange(int(s.sum())) - np.repeat(np.cumsum(s) - s, s) + starts[py][member]
-                wanted = px[member] * v + ranks[pos]
+                pos = np.arange(len(member)) + np.repeat(starts[py] - (np.cumsum(s) - s), s)
+                wanted = px[member] * v + token[pos]
                 hit = probe_key[np.minimum(np.searchsorted(probe_key, wanted), len(probe_key) - 1)] == wanted
-                good = np.bincount(member, hit, minlength=len(px)) >= need(sizes[px], sizes[py], t)
-                yield px[good], py[good]
+                good = np.bincount(member, hit, minlength=len(px)) >= need(sizes[px], s, t)
+                yield sets.record[px[good]], sets.record[py[good]]
+
+    def lists(key: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where lists of entries in order of ``key`` begin, how many are in each and how many listed, and which those are."""
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+        is_listed = at < listed[doc[at]] + depth
+        return first, np.diff(np.r_[first, len(key)]), np.add.reduceat(is_listed, first, dtype=np.int64) if len(first) else first, is_listed
+
+    def met(key: np.ndarray, at: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs that share the ``depth`` tokens of a ``key``; ``at``: place of the last of them in a record, by ``key``."""
+        first, entries, n, is_listed = lists(key, at, depth)
+        some = (entries > 1) & (n > 0)
+        inside = np.repeat(some, entries)
+        at, is_listed, entries, n = at[inside], is_listed[inside], entries[some], n[some]
+        if not len(at):
+            return
+        first, owner = np.cumsum(entries) - entries, np.repeat(np.arange(len(entries)), entries)
+        who = doc[at]
+        children = np.minimum(asks[who] + depth, starts[1:][who] - 1) - at
+        pairs, below = entries * n, np.add.reduceat(children, first)
+        deep = pairs > DEEPER * (below + entries)
+        low, others = np.cumsum(n) - n, who[is_listed]
+        chosen = np.flatnonzero(deep)
+        while len(chosen):
+            taken = max(1, int(np.searchsorted(np.cumsum(below[chosen]), ENTRIES, "right")))
+            mine, chosen = chosen[:taken], chosen[taken:]
+            entry = np.arange(int(entries[mine].sum())) + np.repeat(first[mine] - (np.cumsum(entries[mine]) - entries[mine]), entries[mine])
+            c = children[entry]
+            next_at = np.arange(int(c.sum())) + np.repeat(at[entry] + 1 - (np.cumsum(c) - c), c)
+            next_key = np.repeat(owner[entry], c) * np.int64(v) + token[next_at]
+            by = np.argsort(next_key)
+            next_key, next_at = next_key[by], next_at[by]
+            start, held, k, _ = lists(next_key, next_at, depth + 1)
+            left = np.bincount(next_key[start] // v, held * k * (held > 1), minlength=len(entries))
+            deep[mine] = shorter = 2 * left[mine] <= pairs[mine]
+            if not shorter.all():  # records much alike would meet again and again
+                inside = deep[next_key // v]
+                next_key, next_at = next_key[inside], next_at[inside]
+            yield from met(next_key, next_at, depth + 1)
+        now = ~deep[owner] | (only[who] <= depth)  # those that may share no more tokens ask in any case
+        yield from measured(who[now], low[owner[now]], n[owner[now]], others)
+
+    place = np.flatnonzero(np.arange(len(doc)) <= asks[doc])
+    if cell is not None:
+        place = place[_cell_of(token[place], cell[1]) == cell[0]]
+    place = place[np.argsort(token[place])]
+    yield from met(token[place], place, 1)
 
 
 def _cell_of(keys: np.ndarray, n: int) -> np.ndarray:
@@ -234,7 +249,8 @@ def similarity(a: str, b: str) -> float:
     x, y = grams_of(a), grams_of(b)
     if not len(x) or not len(y):
         return 0.0
-    both = len(np.intersect1d(x, y, assume_unique=True))
+    every = np.sort(np.concatenate([x, y]))
+    both = int(np.count_nonzero(every[1:] == every[:-1]))
     return both / (len(x) + len(y) - both)
 
 
@@ -316,23 +332,26 @@ def candidates(records: DataFrame, t: Fraction = SIMILARITY, shards: int = SHARD
                 for _, ids, sizes, tokens in zip(*[c.to_pylist() for c in batch.columns]):
                     who, counts = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int32).astype(np.int64)
                     k = _unpacked(tokens, int(counts.sum()))
-                    first = np.cumsum(counts) - counts
-                    place, mine = _Sets(counts, k, held.value).visits(t, cells)
+                    sets = _Sets(counts, k, held.value)
+                    place, mine = sets.visits(t, cells)
+                    first = np.empty(len(counts), np.int64)
+                    first[sets.record] = sets.starts[:-1]
                     edges = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True]) if len(place) else []
                     rows = []
                     for low, high in zip(edges[:-1], edges[1:]):
                         some = mine[low:high]
                         c = counts[some]
                         at_token = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c) + np.repeat(first[some], c)
-                        rows.append((int(place[low]), who[some].tobytes(), c.astype(np.int32).tobytes(), _packed(k[at_token])))
+                        rows.append((int(place[low]), who[some].tobytes(), c.astype(np.int32).tobytes(), _packed(sets.token[at_token])))
                     yield _batch(rows)
 
         def join(key: tuple, group: pa.Table) -> pa.Table:
             ids = np.frombuffer(b"".join(group.column("ids").to_pylist()), np.int64)
             counts = [np.frombuffer(x, np.int32).astype(np.int64) for x in group.column("sizes").to_pylist()]
             tokens = np.concatenate([_unpacked(x, int(c.sum())) for x, c in zip(group.column("tokens").to_pylist(), counts)])
-            found = [np.stack([ids[y], ids[x]]) for x, y in search(np.concatenate(counts), tokens, t, held.value, None if weight is None else (key[0].as_py(), cells))]
-            a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+            cell = None if weight is None else (key[0].as_py(), cells)
+            found = [x * len(ids) + y for x, y in search(np.concatenate(counts), tokens, t, cell=cell, ordered=cell is not None)]  # in cells, as ``send`` ordered them
+            a, b = (ids[i] for i in np.divmod(_distinct(np.concatenate([*found, np.empty(0, np.int64)])), max(len(ids), 1)))
             return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
         if weight is not None:

@@ -118,3 +118,37 @@ def test_nothing_is_left_of_dealt_shards(spark):
     path = os.path.dirname(runtime.scratch_path(spark, "x")).removeprefix("file://")
     assert not any(f.endswith(".parquet") for x in left if x.startswith(("dealt", "met")) for _, _, files in os.walk(os.path.join(path, x)) for f in files)
     assert any(x.startswith("pairs") for x in left)
+
+
+@pytest.mark.parametrize("entries", [50, 1_000_000])
+def test_long_lists_are_divided_and_lose_nothing(monkeypatch, entries):
+    random.seed(8)
+    sets = [set(random.sample(range(120), random.randint(3, 16))) for _ in range(400)]
+    sets += [set(random.choice(sets)) ^ set(random.sample(range(120), random.randint(0, 3))) for _ in range(200)] + [set(range(12)) | {i % 5 + 20} for i in range(40)]
+    sets = [s or {1} for s in sets]
+    sizes, tokens = np.array([len(s) for s in sets]), np.concatenate([sorted(s) for s in sets])
+    expected = {(i, j) for i in range(len(sets)) for j in range(i) if Fraction(len(sets[i] & sets[j]), len(sets[i] | sets[j])) >= overlap.SIMILARITY}
+    compared = []
+    count = np.bitwise_count
+    monkeypatch.setattr(overlap, "ENTRIES", entries)
+    monkeypatch.setattr(np, "bitwise_count", lambda x: compared.append(len(x)) or count(x))
+    costs = []
+    for deeper in (10**9, 0):
+        monkeypatch.setattr(overlap, "DEEPER", deeper)
+        compared.clear()
+        for how in ((None, None), (np.bincount(tokens), 3)):
+            cells = range(how[1] or 1)
+            pairs = [p for c in cells for p in overlap.search(sizes, tokens, overlap.SIMILARITY, how[0], how[1] and (c, how[1]))]
+            assert {(max(a, b), min(a, b)) for x, y in pairs for a, b in zip(x.tolist(), y.tolist())} == expected
+        costs.append(sum(compared))
+    assert costs[1] * 2 < costs[0]
+
+
+def test_ordered_sets_are_taken_as_they_come():
+    random.seed(9)
+    sets = [random.sample(range(60), random.randint(2, 12)) for _ in range(300)]
+    sizes, tokens = np.array([len(s) for s in sets]), np.concatenate(sets)
+    weight = np.bincount(tokens)
+    sorted_ = np.concatenate([sorted(s, key=lambda k: (weight[k], k)) for s in sets])
+    found = lambda *how, **more: {(a, b) for x, y in overlap.search(*how, **more) for a, b in zip(x.tolist(), y.tolist())}
+    assert found(sizes, sorted_, overlap.SIMILARITY, ordered=True, cell=(1, 2)) == found(sizes, tokens, overlap.SIMILARITY, weight, (1, 2))
