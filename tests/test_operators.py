@@ -304,3 +304,42 @@ def test_best_links_read_the_pairs_once(spark):
     got = sorted((r["notice_id"], r["rank"], r["plan_id"], r["candidates"], r["level"], r["primary"]) for r in best.collect())
     assert got == [(10, 1, 1, 3, "candidate", True), (10, 2, 3, 3, "candidate", False), (10, 3, 2, 3, "candidate", False), (11, 1, 5, 1, "high", True)]
     assert best._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def dated_cases():
+    days = ["", "2025-12-31", "2026-01-15", "2026-01-16", "2026-02-01", "2026-03-09", "2027-01-01"]
+    record = lambda i, k: (i, "", f"{PLACES[k % 3]}道路{k % 4}号改造采购项目", f"局{k % 5}", f"修建道路{k % 4}和桥梁三千米并安装路灯若干以及绿化工程{k % 3}", "C-7" if k % 9 == 0 else "", "", days[k % 7])
+    return [record(i, i) for i in range(12)], [record(100 + i, 5 * i + 1) for i in range(90)]
+
+
+@pytest.mark.parametrize("block, heads", [(4000, 100_000), (5, 0)])
+def test_links_in_blocks_by_month_against_all_pairs(spark, monkeypatch, block, heads):
+    plans, notices = dated_cases()
+    monkeypatch.setattr(linkage, "NOTICE_BLOCK", block)
+    monkeypatch.setattr(linkage, "HEADS", heads)
+    got = all_links(spark, plans, notices)
+    assert len(got) > 100 and got == all_links(spark, plans, notices, exact=True)
+
+
+def test_plans_later_than_a_block_are_not_compared(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(linkage, "NOTICE_BLOCK", 20)
+    plans = spark.createDataFrame([("早", "2026-01-01"), ("晚", "2026-06-01"), ("无", "")], "name string, day string")
+    notices = spark.createDataFrame([(f"n{i}", f"2026-{1 + i % 9:02d}-02") for i in range(180)] + [("u", "~")], "name string, day string")
+    near = lambda left, right: pa.table({"plans": pa.array([linkage._dated(left, right).num_rows]), "notices": pa.array([right.num_rows]), "last": pa.array([max(right.column("day").to_pylist())])})
+    seen = linkage.compared(plans, notices, near, "plans long, notices long, last string").where("notices > 0").collect()
+    assert sum(r["notices"] for r in seen) == 181 and {r["last"][5:7]: r["plans"] for r in seen if r["last"] != "~"} == {f"{m:02d}": 2 if m < 6 else 3 for m in range(1, 10)}
+
+
+def test_ranges_hold_all_days(monkeypatch):
+    monkeypatch.setattr(linkage, "NOTICE_BLOCK", 10)
+    assert linkage._ranges([]) == [("", 0, 1)] and linkage._ranges([("", 35)]) == [("", 0, 4)]
+    assert linkage._ranges([("2026-01", 4), ("2026-02", 7), ("2026-03", 25), ("2026-04", 1)]) == [("", 0, 2), ("2026-03", 2, 3), ("2026-04", 5, 1)]
+
+
+def test_known_heads_are_met_in_tasks(spark):
+    inner, outer = spark.createDataFrame([("甲乙",), ("𠀀丙丁",), ("x" * 40,)], "p_value string"), spark.createDataFrame([("子甲乙丑𠀀丙丁",), ("y" + "x" * 41,), ("x" * 39,)], "n_value string")
+    met = linkage.contained(inner, outer, "p_value", "n_value")
+    assert sorted(tuple(r) for r in met.collect()) == sorted([("甲乙", "子甲乙丑𠀀丙丁"), ("𠀀丙丁", "子甲乙丑𠀀丙丁"), ("x" * 40, "y" + "x" * 41)])
+    assert "Generate" not in met._jdf.queryExecution().optimizedPlan().toString()
