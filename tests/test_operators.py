@@ -343,3 +343,12 @@ def test_known_heads_are_met_in_tasks(spark):
     met = linkage.contained(inner, outer, "p_value", "n_value")
     assert sorted(tuple(r) for r in met.collect()) == sorted([("甲乙", "子甲乙丑𠀀丙丁"), ("𠀀丙丁", "子甲乙丑𠀀丙丁"), ("x" * 40, "y" + "x" * 41)])
     assert "Generate" not in met._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_best_links_prepare_every_notice_once(spark, data, monkeypatch):
+    from noticeworks.plans import states
+
+    calls, whole = [], linkage.prepared
+    monkeypatch.setattr(linkage, "prepared", lambda df: calls.append(1) or whole(df))
+    states.plan_notice_best(spark, data)
+    assert len(calls) == 1
